@@ -1,0 +1 @@
+"""Empty on purpose: every job this package re-creates is a batch job."""
