@@ -117,10 +117,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_rows(spark: SparkSession, sf_dir: str, session: str = SESSION) -> DataFrame:
     """Every event as a row of the log `source`, with its true time `ts`."""
     columns = {KEY: session, CLOCK: clock_with_gaps(spark_clock(0)), **EVENT_COLUMNS}
-    return events(spark, sf_dir).select(
-        F.col("event_type").alias("source"),
-        "ts",
-        *(F.expr(sql).alias(name) for name, sql in columns.items()),
+    return events(spark, sf_dir).selectExpr(
+        "event_type AS source", "ts", *(f"{sql} AS {name}" for name, sql in columns.items())
     )
 
 
@@ -137,7 +135,7 @@ def log_table(spark: SparkSession, sf_dir: str, spec: SourceSpec) -> DataFrame:
     return (
         events(spark, sf_dir)
         .where(F.col("event_type") == event_type_of(spec))
-        .select(*(F.expr(sql).alias(c) for c, sql in log_columns(spec, spark_clock).items()))
+        .selectExpr(*(f"{sql} AS {c}" for c, sql in log_columns(spec, spark_clock).items()))
     )
 
 

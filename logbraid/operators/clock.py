@@ -10,7 +10,8 @@ below runs on distinct ticks, which are narrow, and never on one group in one ta
 
 1. Ticks are range-partitioned over (group, sequence, clock). A group of any size spreads
    over many parts, and copies of a tick have been counted before the shuffle.
-2. Within a part, LAG and a running SUM give days counted from the part's first tick.
+2. Within a part, LAG and a running SUM give days counted from the part's first tick. Only
+   the ticks where a day starts or ends there are kept.
 3. Per group, the first and last clock and the day count of each part say how many days to
    add to the part. This step sees one row per part, whatever the data's size.
 
@@ -31,7 +32,7 @@ from logbraid.functions.times import DEFAULT_BASE_DATE, event_time
 
 # Up to these sizes day ranges are broadcast: some 10 MB in all, and a short scan per row.
 MAX_BROADCAST_RANGES = 100_000
-MAX_RANGES_PER_GROUP = 32
+MAX_RANGES_PER_GROUP = 64
 
 
 def _tick() -> Column:
@@ -51,24 +52,50 @@ def clock_ticks(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> D
 
 
 def _in_parts(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ticks with their `part`, the clock `previous` to them there, and the part's own `run`
-    of days since its first tick."""
+    """Ticks with their `part`; there the clock `previous` to them, the `run` of days since
+    the part's first tick, the rows `through` them, and whether a run `starts` or `ends`."""
     parts = ticks.repartitionByRange(*keys, "seq", "clock").withColumn(
         "part", F.spark_partition_id()
     )
-    in_part = Window.partitionBy(*keys, "part").orderBy("seq", "clock")
+    in_part = Window.partitionBy("part", *keys).orderBy("seq", "clock")
     so_far = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return parts.withColumn("previous", F.lag("clock").over(in_part)).withColumn(
-        "run", F.sum(wraps(F.col("clock"), F.col("previous"))).over(so_far)
+    beside = parts.select(
+        "*",
+        F.lag("clock").over(in_part).alias("previous"),
+        F.lead("clock").over(in_part).alias("following"),
+        F.lag(F.lit(False), 1, True).over(in_part).alias("opens"),
+        F.lead(F.lit(False), 1, True).over(in_part).alias("closes"),
+    )
+    wrapped = wraps(F.col("clock"), F.col("previous"))
+    return beside.select(
+        *keys,
+        "part",
+        "seq",
+        "clock",
+        "previous",
+        (F.col("opens") | (wrapped == 1)).alias("starts"),
+        (F.col("closes") | (wraps(F.col("following"), F.col("clock")) == 1)).alias("ends"),
+        F.sum(wrapped).over(so_far).alias("run"),
+        F.sum("n").over(so_far).alias("through"),
     )
 
 
-def _part_offsets(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Days to add per part, and the last clock `before` it.
+def _edges(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and part: its first and last tick and clock, days passed, rows held.
 
-    `edges` has one row per group and part: `first_clock`, `last_clock`, `runs` (days passed
-    within the part).
+    `bounds` are ticks that hold at least every start and end of a run.
     """
+    return bounds.groupBy(*keys, "part").agg(
+        F.min(_tick()).alias("first_tick"),
+        F.min_by("clock", _tick()).alias("first_clock"),
+        F.max_by("clock", _tick()).alias("last_clock"),
+        F.max("run").alias("runs"),
+        F.max("through").alias("n"),
+    )
+
+
+def _part_offsets(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Days to add per part, and the last clock `before` it."""
     by_part = Window.partitionBy(*keys).orderBy("part")
     so_far = by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     passed = wraps(F.col("first_clock"), F.col("before")) + F.col("runs_before")
@@ -79,39 +106,34 @@ def _part_offsets(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def day_ranges(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group and day: its `first` and `last` tick and the number `n` of rows."""
-    runs = materialize(
-        _in_parts(ticks, keys)
-        .groupBy(*keys, "part", "run")
-        .agg(F.min(_tick()).alias("first"), F.max(_tick()).alias("last"), F.sum("n").alias("n"))
-    )
-    edges = runs.groupBy(*keys, "part").agg(
-        F.min("first").alias("first_tick"),
-        F.min_by("first.clock", "first").alias("first_clock"),
-        F.max_by("last.clock", "last").alias("last_clock"),
-        F.max("run").alias("runs"),
-    )
+def run_bounds(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first and last tick of each run of one day within a part, materialized."""
+    return materialize(_in_parts(ticks, keys).where("starts OR ends"), "run_bounds")
+
+
+def group_sizes(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n): the number of rows, not ticks, of each group."""
+    return _edges(bounds, keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def day_ranges(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, day, first, last): the first and last tick of each group's days."""
+    offsets = _part_offsets(_edges(bounds, keys), keys)
     return (
-        runs.join(_part_offsets(edges, keys), [*keys, "part"])
+        bounds.join(offsets, [*keys, "part"])
         .groupBy(*keys, (F.col("run") + F.col("offset")).alias("day"))
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+        .agg(F.min(_tick()).alias("first"), F.max(_tick()).alias("last"))
     )
 
 
 def tick_days(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every distinct tick with its `previous` clock and its `day`: (keys, seq, clock,
-    previous, wrapped, day). Right for any number of midnights."""
-    parts = materialize(_in_parts(ticks, keys))
-    edges = parts.groupBy(*keys, "part").agg(
-        F.min(_tick()).alias("first_tick"),
-        F.min_by("clock", _tick()).alias("first_clock"),
-        F.max_by("clock", _tick()).alias("last_clock"),
-        F.max("run").alias("runs"),
-    )
+    """(keys, seq, clock, previous, wrapped, day) of every distinct tick. Right for any number
+    of midnights."""
+    parts = materialize(_in_parts(ticks, keys), "ticks")
+    offsets = _part_offsets(_edges(parts.where("starts OR ends"), keys), keys)
     opens_part = _tick() == F.col("first_tick")
     return (
-        parts.join(_part_offsets(edges, keys), [*keys, "part"])
+        parts.join(offsets, [*keys, "part"])
         .withColumn("previous", F.when(opens_part, F.col("before")).otherwise(F.col("previous")))
         .select(
             *keys,
@@ -180,7 +202,7 @@ def with_previous_clock(
 def with_day(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> DataFrame:
     """`df` with the `day` its clock has reached, counted from 0."""
     ticks = clock_ticks(df, keys, order, clock)
-    ranges = materialize(day_ranges(ticks, keys).drop("n"))
+    ranges = materialize(day_ranges(run_bounds(ticks, keys), keys), "day_ranges")
     if ranges_fit_broadcast(ranges, keys):
         return join_day_ranges(df, ranges, keys, order, clock)
     days = tick_days(ticks, keys).select(*keys, "seq", "clock", "day")

@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logbraid.functions.names import field, first_value, quoted
 from logbraid.functions.times import bucket, in_micros, micros
 from logbraid.operators.bandjoin import star_band_join
 
@@ -34,14 +35,16 @@ def fuse(
     An empty string counts as a value. A column only one log has passes through.
     """
     star = star_band_join(main, others, keys, ts, tolerance)
-    holders: dict[str, list[Column]] = {
-        c: [F.col(c)] for c in main.columns if c not in (*keys, ts)
+    holders: dict[str, list[str]] = {
+        c: [quoted(c)] for c in main.columns if c not in (*keys, ts)
     }
     for name, other in others.items():
         for c in other.columns:
             if c not in (*keys, ts):
-                holders.setdefault(c, []).append(F.col(f"{name}__{c}"))
-    return star.select(*keys, ts, *(F.coalesce(*cols).alias(c) for c, cols in holders.items()))
+                holders.setdefault(c, []).append(quoted(f"{name}__{c}"))
+    return star.selectExpr(
+        *map(quoted, (*keys, ts)), *(first_value(held, c) for c, held in holders.items())
+    )
 
 
 def fuse_latest(
@@ -96,7 +99,7 @@ def fuse_latest(
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
 
     in_time = (
-        Window.partitionBy(*keys, "__bucket")
+        Window.partitionBy("__bucket", *keys)
         .orderBy("__position", is_main)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -117,14 +120,12 @@ def fuse_latest(
         ),
     )
     columns = list(dict.fromkeys(c for cols in payload.values() for c in cols))
-    return in_band.select(
-        *keys,
-        ts,
+    holders = {c: [n for n in logs if c in payload[n]] for c in columns}
+    return in_band.selectExpr(
+        *map(quoted, (*keys, ts)),
         *(
-            F.coalesce(
-                *(F.col(f"{side}_{n}")[c] for side in ("log", "near") for n in logs if c in payload[n])
-            ).alias(c)
-            for c in columns
+            first_value((field(f"{side}_{n}", c) for side in ("log", "near") for n in held), c)
+            for c, held in holders.items()
         ),
-        source,
+        quoted(source),
     )

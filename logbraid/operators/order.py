@@ -27,7 +27,9 @@ def with_rank(df: DataFrame, columns: Sequence[str], into: str = "rank") -> Data
     Places are counted within the partitions of a distributed sort; only one count per
     partition meets in one task.
     """
-    placed = materialize(df.orderBy(*columns).withColumn("__at", F.monotonically_increasing_id()))
+    placed = materialize(
+        df.orderBy(*columns).withColumn("__at", F.monotonically_increasing_id()), "ordered"
+    )
     part = F.shiftright("__at", _PLACE_BITS)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logbraid.functions.names import quoted
 from logbraid.sources.registry import EVENT_TS, SEQUENCE
 
 
 def project_to_target(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The target's columns in its order and types; NULL where `df` has no such column."""
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *(
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({quoted(f.name) if f.name in present else 'NULL'} "
+            f"AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
             for f in schema
         )
     )
@@ -27,7 +29,7 @@ def collapse(df: DataFrame, keys: Sequence[str], sequence: str = SEQUENCE) -> Da
     columns in order, NULLs last.
 
     Spark keeps one row per key and task before the shuffle already, so a key may have any
-    number of rows.
+    number of rows. Sorting is fastest with a number or a time as the first key.
     """
     rest = [F.asc_nulls_last(c) for c in df.columns if c not in (*keys, sequence)]
     best_first = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(sequence), *rest)

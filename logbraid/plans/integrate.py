@@ -16,9 +16,11 @@ from logbraid.functions.times import DEFAULT_BASE_DATE, event_time
 from logbraid.operators.clock import (
     clock_ticks,
     day_ranges,
+    group_sizes,
     join_day_ranges,
     join_ticks,
     ranges_fit_broadcast,
+    run_bounds,
     tick_days,
 )
 from logbraid.operators.fuse import fuse_latest
@@ -75,25 +77,23 @@ def integrate(
     logs, rejected = {}, []
     for spec in target.sources:
         merged = [c for c in spec.merge_columns if c in target.columns and c != EVENT_TS]
-        placed = (
-            place(spec)
-            .withColumn(EVENT_TS, event_time(F.col(spec.clock), F.col("day"), base_date))
-            .select(*merged, EVENT_TS, "is_main")
-        )
-        valid, timeless = split_valid(placed)
-        logs[spec.name] = collapse(valid, [*target.keys, "is_main"])
+        timed, timeless = split_valid(place(spec), spec.clock)
+        moments = timed.withColumn(EVENT_TS, event_time(F.col(spec.clock), F.col("day"), base_date))
+        logs[spec.name] = collapse(moments.select(*merged, EVENT_TS, "is_main"), [EVENT_TS, KEY])
         rejected.append(
-            project_to_target(
-                timeless.where("is_main").withColumn(SOURCE_TABLE, F.lit(spec.name)),
-                target.schema,
-            )
+            timeless.where("is_main").select(*merged, F.lit(spec.name).alias(SOURCE_TABLE))
         )
     fused = fuse_latest(logs, [KEY], EVENT_TS, "is_main", tolerance, source=SOURCE_TABLE)
     return Integration(
-        project_to_target(fused, target.schema), reduce(DataFrame.unionByName, rejected)
+        project_to_target(fused, target.schema),
+        project_to_target(reduce(_union, rejected), target.schema),
     )
 
 
+def _union(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
+
+
 def _placement(
     target: TargetSpec, normalized: Mapping[str, DataFrame], sessions: list[str] | None
 ) -> Callable[[SourceSpec], DataFrame]:
@@ -103,13 +103,14 @@ def _placement(
         DataFrame.unionByName,
         (clock_ticks(logs[s.name], _GROUP, SEQUENCE, s.clock) for s in target.sources),
     )
-    ranges = day_ranges(ticks, _GROUP)
-    counts = ranges.groupBy(*_GROUP).agg(F.sum("n").alias("n"))
+    bounds = run_bounds(ticks, _GROUP)
+    spines = choose_main(group_sizes(bounds, _GROUP), list(logs))
     is_main = (F.col("source") == F.col("main")).alias("is_main")
     ranges = materialize(
-        ranges.join(choose_main(counts, list(logs)), KEY).select(
-            *_GROUP, "first", "last", "day", is_main
-        )
+        day_ranges(bounds, _GROUP)
+        .join(spines, KEY)
+        .select(*_GROUP, "first", "last", "day", is_main),
+        "day_ranges",
     )
     if sessions is not None:
         found = {row[0] for row in ranges.select(KEY).distinct().collect()}
@@ -124,10 +125,11 @@ def _placement(
             SEQUENCE,
             spec.clock,
         )
-    days = (
-        tick_days(ticks, _GROUP)
-        .select(*_GROUP, "seq", "clock", "day")
-        .join(ranges.select(*_GROUP, "is_main").distinct(), _GROUP)
+    mains = ranges.select(*_GROUP, "is_main").distinct()
+    days = materialize(
+        tick_days(ticks, _GROUP).select(*_GROUP, "seq", "clock", "day").join(mains, _GROUP),
+        "tick_days",
+        partition_by=["source"],
     )
     return lambda spec: join_ticks(
         logs[spec.name], days.where(F.col("source") == spec.name), _GROUP, SEQUENCE, spec.clock

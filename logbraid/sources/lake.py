@@ -52,7 +52,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, target: Tar
     Only partitions of sessions in `updates` are read and replaced. The updates are computed
     once, before anything is replaced.
     """
-    updates = materialize(updates.select(*target.columns))
+    updates = materialize(updates.select(*target.columns), "updates")
     merged = updates
     if _exists(spark, path):
         touched = updates.select(KEY).distinct()
