@@ -6,7 +6,7 @@ The driver's jar must be on the session's class path.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ class Connection:
     url: str
     driver: str
     user: str
-    password: str
+    password: str = field(repr=False)
     timeout_seconds: int = 0
 
     def options(self) -> dict[str, str]:

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import logging
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+import event_logs
+from logbraid import integrate
+from logbraid.operators import clock as clocks
+from logbraid.plans import integrate as plan
+from logbraid.sources.registry import MISSILE, PLANE_STATES, SOURCES
+
+
+def rows(df) -> Counter:
+    return Counter(map(tuple, df.collect()))
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def empty_tables(spark, target):
+    return {s.name: spark.createDataFrame([], s.schema) for s in target.sources}
+
+
+def clock(seconds: float) -> str:
+    return (datetime(1970, 1, 1, 10) + timedelta(seconds=seconds)).strftime("%H:%M:%S.%f")[:-3]
+
+
+@pytest.mark.parametrize("target", [MISSILE, PLANE_STATES], ids=lambda t: t.name)
+def test_no_rows(spark, target, caplog):
+    with caplog.at_level(logging.WARNING):
+        result = integrate(target, empty_tables(spark, target), ["S1"])
+    assert "No data found for session S1" in caplog.text
+    assert result.rows.count() == result.rejected.count() == 0
+    assert result.rows.schema.simpleString() == target.schema.simpleString()
+
+
+def test_one_session_by_hand(spark, log_frame):
+    """Spine `ir_msl`: two messages of one moment, a lone one, one without a clock."""
+    def row(seq, at, **more):
+        return {"sortie_number": "S1", "message_sequence_number": seq,
+                "satellite_guidance_time": at and clock(at)} | more
+
+    tables = empty_tables(spark, MISSILE)
+    tables["ir_msl"] = log_frame(
+        SOURCES["ir_msl"],
+        [row(1, 5, weapon_type="old"), row(2, 5, interception_flag="1"), row(3, 60), row(4, None)],
+    )
+    tables["aa_traj"] = log_frame(
+        SOURCES["aa_traj"],
+        [row(1, 4.0, target_id="early"), row(2, 4.5, target_id="near"), row(3, 6.0, weapon_type="W"),
+         row(4, 6.001, weapon_type="late"), row(5, 7.0)],
+    )
+    tables["ag_rtsn"] = log_frame(
+        SOURCES["ag_rtsn"],
+        [row(n, 5.2, weapon_type="G", aircraft_heading="90", aircraft_longitude="7") for n in range(9)],
+    )
+    result = integrate(MISSILE, tables, ["S1"])
+    got = {r.event_ts.minute * 60 + r.event_ts.second: r for r in result.rows.collect()}
+    assert set(got) == {5, 60}
+    assert got[5].message_sequence_number == 2 and got[5].source_table == "ir_msl"
+    # aa_traj's latest row in the band is the one at 6.0; it has no target.
+    assert (got[5].weapon_type, got[5].target_id) == ("W", None)
+    # A heading is merged from ag_rtsn, a carrier position is not.
+    assert (got[5].heading, got[5].longitude, got[5].interception_flag) == ("90", None, "1")
+    assert got[60].weapon_type is None
+    assert [r.message_sequence_number for r in result.rejected.collect()] == [4]
+
+
+def test_command_takes_part(spark, log_frame):
+    tables = empty_tables(spark, PLANE_STATES)
+    row = {"sortie_number": "S1", "message_sequence_number": 1, "satellite_guidance_time": clock(0)}
+    tables["command"] = log_frame(SOURCES["command"], [row | {"command_id": "c", "response_sequence_number": 5}])
+    tables["tspi"] = log_frame(SOURCES["tspi"], [row | {"roll": "1"}, row | {"roll": "2"}])
+    got = integrate(PLANE_STATES, tables).rows.first()
+    assert (got.command_id, got.response_sequence_number, got.roll, got.source_table) == ("c", 5, "1", "command")
+
+
+def test_sessions_in_one_job_equal_one_by_one(spark, sf_dir):
+    tables = event_logs.event_tables(spark, sf_dir)
+    together = rows(integrate(event_logs.EVENTS, tables, tolerance=timedelta(hours=2)).rows)
+    alone = sum(
+        (
+            rows(integrate(event_logs.EVENTS, tables, [s], tolerance=timedelta(hours=2)).rows)
+            for s in event_logs.SESSIONS
+        ),
+        Counter(),
+    )
+    assert together == alone and together.total() > 50
+
+
+def test_both_ways_to_find_the_day_agree(spark, sf_dir, monkeypatch):
+    tables = event_logs.log_tables(spark, sf_dir, PLANE_STATES)
+    by_range = rows(integrate(PLANE_STATES, tables, tolerance=event_logs.TOLERANCE).rows)
+    monkeypatch.setattr(clocks, "MAX_RANGES_PER_GROUP", 0)
+    by_tick = rows(integrate(PLANE_STATES, tables, tolerance=event_logs.TOLERANCE).rows)
+    assert by_range == by_tick and by_range.total() > 100
+
+
+def test_input_order_and_partitions_do_not_matter(spark, sf_dir):
+    tables = event_logs.event_tables(spark, sf_dir)
+    plain = rows(integrate(event_logs.EVENTS, tables, tolerance=event_logs.TOLERANCE).rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        mixed = {n: df.orderBy(F.rand(5)).repartition(4) for n, df in tables.items()}
+        assert rows(integrate(event_logs.EVENTS, mixed, tolerance=event_logs.TOLERANCE).rows) == plain
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_hot_moment_is_reduced_before_it_meets_others(spark, log_frame):
+    """A third of all rows in one session and one moment."""
+    rng = random.Random(1)
+    tables = empty_tables(spark, MISSILE)
+    row = lambda seq, at: {"sortie_number": "S1", "message_sequence_number": seq, "satellite_guidance_time": clock(at), "target_id": str(seq)}
+    tables["ag_traj"] = log_frame(SOURCES["ag_traj"], [row(n, 50) for n in range(3000)] + [row(3000 + n, 51 + n) for n in range(3000)])
+    tables["sa_traj"] = log_frame(SOURCES["sa_traj"], [row(n, 50 + n) for n in range(100)])
+    result = integrate(MISSILE, tables).rows
+    assert result.count() == 100
+    assert result.where("target_id IS NULL").count() == 0
+
+
+def test_plan(spark, sf_dir):
+    """Every log is reduced within its scan tasks, and all meet in one further shuffle; no
+    pair is formed by looking at all pairs."""
+    result = integrate(PLANE_STATES, event_logs.log_tables(spark, sf_dir, PLANE_STATES)).rows
+    text = plan_of(result)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "SortMergeJoin" not in text
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == len(PLANE_STATES.sources) + 1
+    assert text.count("Partial") == len(PLANE_STATES.sources)
