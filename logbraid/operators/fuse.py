@@ -11,13 +11,17 @@ from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logbraid.functions.lineage import materialize
 from logbraid.functions.names import field, first_value, quoted
 from logbraid.functions.times import bucket, in_micros, micros
 from logbraid.operators.bandjoin import star_band_join
 
+# Moments are broadcast as 8-byte hashes, so up to this many take some 100 MB.
+MAX_BROADCAST_MOMENTS = 2_000_000
+
 # A bucket of the fusing shuffle is this many band widths long; its last band is copied into
 # the next bucket, so 1/8 of the rows travel twice.
 BANDS_PER_BUCKET = 8
@@ -47,6 +51,45 @@ def fuse(
     )
 
 
+def near_spine(
+    logs: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    ts: str,
+    is_main: str,
+    tolerance: timedelta,
+    spine_rows: int,
+    spine_micros: int,
+) -> dict[str, DataFrame]:
+    """`logs` without rows that no spine row's band can reach, dropped before any shuffle.
+
+    The spine is the smallest log, so it often touches little of the time others record. Time
+    is cut into buckets as long as a band, of which each spine row touches two; their hashes
+    are broadcast, which may keep some row too many but loses none. `spine_rows` bounds their
+    number and `spine_micros`, the time the spines span, tells whether they are selective.
+    Beyond the bound, or if they are not, the logs come back as they are.
+    """
+    band = max(2 * in_micros(tolerance), 1)
+    touched = 2 * spine_rows
+    if touched > MAX_BROADCAST_MOMENTS or touched * band >= spine_micros:
+        return dict(logs)
+
+    def moment(us: Column) -> Column:
+        return F.xxhash64(*keys, bucket(us, band))
+
+    at, reach = micros(F.col(ts)), F.lit(in_micros(tolerance))
+    spine = reduce(
+        DataFrame.unionByName, (df.where(F.col(is_main)).select(*keys, ts) for df in logs.values())
+    )
+    moments = materialize(
+        spine.select(F.explode(F.array(moment(at - reach), moment(at + reach))).alias("__moment")).distinct(),
+        "moments",
+    )
+    return {
+        name: df.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
+        for name, df in logs.items()
+    }
+
+
 def fuse_latest(
     logs: Mapping[str, DataFrame],
     keys: Sequence[str],

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Iterable, Mapping
 from datetime import timedelta
 from functools import reduce
@@ -11,38 +10,16 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logbraid.functions.lineage import materialize
-from logbraid.functions.times import DEFAULT_BASE_DATE, event_time
-from logbraid.operators.clock import (
-    clock_ticks,
-    day_ranges,
-    group_sizes,
-    join_day_ranges,
-    join_ticks,
-    ranges_fit_broadcast,
-    run_bounds,
-    tick_days,
-)
-from logbraid.operators.fuse import fuse_latest
+from logbraid.functions.times import DEFAULT_BASE_DATE
+from logbraid.operators.fuse import fuse_latest, near_spine
 from logbraid.operators.normalize import normalize
-from logbraid.operators.profile import choose_main
 from logbraid.operators.target import collapse, project_to_target, split_valid
-from logbraid.sources.registry import (
-    EVENT_TS,
-    KEY,
-    SEQUENCE,
-    SOURCE_TABLE,
-    SourceSpec,
-    TargetSpec,
-)
-
-log = logging.getLogger(__name__)
+from logbraid.plans.placement import Placement
+from logbraid.sources.registry import EVENT_TS, KEY, SOURCE_TABLE, TargetSpec
 
 # Fixed value: how far apart in time rows may be to describe one moment.
 TOLERANCE = timedelta(seconds=1)
 
-_GROUP = ["source", KEY]
-
 
 class Integration(NamedTuple):
     """`rows` in the target's schema, one per key; `rejected` spine rows have no event time."""
@@ -66,24 +43,28 @@ def integrate(
     Sessions without rows in any log give none.
 
     One pass over keys and clocks alone counts rows, picks spines and finds the midnights.
-    Then each log is read once, placed in time, reduced to one row per moment, and shuffled
-    once more to meet the others, whatever the number of sessions and spines.
+    Then each log is read once, placed in time, stripped of rows far from any spine row,
+    reduced to one row per moment, and shuffled once more to meet the others, whatever the
+    number of sessions and spines.
     """
     sessions = None if sessions is None else list(dict.fromkeys(sessions))
     read = reader if callable(reader) else reader.__getitem__
     normalized = {s.name: normalize(read(s.name), s, sessions) for s in target.sources}
 
-    place = _placement(target, normalized, sessions)
-    logs, rejected = {}, []
+    placement = Placement(target, normalized, base_date)
+    if sessions is not None:
+        placement.warn_of_missing(sessions)
+    timed, rejected = {}, []
     for spec in target.sources:
-        merged = [c for c in spec.merge_columns if c in target.columns and c != EVENT_TS]
-        timed, timeless = split_valid(place(spec), spec.clock)
-        moments = timed.withColumn(EVENT_TS, event_time(F.col(spec.clock), F.col("day"), base_date))
-        logs[spec.name] = collapse(moments.select(*merged, EVENT_TS, "is_main"), [EVENT_TS, KEY])
+        merged = [c for c in spec.merge_columns if c in target.columns]
+        valid, timeless = split_valid(placement.place(spec), spec.clock)
+        timed[spec.name] = valid.select(*merged, "is_main")
         rejected.append(
             timeless.where("is_main").select(*merged, F.lit(spec.name).alias(SOURCE_TABLE))
         )
-    fused = fuse_latest(logs, [KEY], EVENT_TS, "is_main", tolerance, source=SOURCE_TABLE)
+    near = near_spine(timed, [KEY], EVENT_TS, "is_main", tolerance, *placement.spine_size)
+    moments = {name: collapse(df, [EVENT_TS, KEY]) for name, df in near.items()}
+    fused = fuse_latest(moments, [KEY], EVENT_TS, "is_main", tolerance, source=SOURCE_TABLE)
     return Integration(
         project_to_target(fused, target.schema),
         project_to_target(reduce(_union, rejected), target.schema),
@@ -92,45 +73,3 @@ def integrate(
 
 def _union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
-
-
-def _placement(
-    target: TargetSpec, normalized: Mapping[str, DataFrame], sessions: list[str] | None
-) -> Callable[[SourceSpec], DataFrame]:
-    """A function that gives the rows of a log with their `day` and `is_main`."""
-    logs = {s.name: normalized[s.name].withColumn("source", F.lit(s.name)) for s in target.sources}
-    ticks = reduce(
-        DataFrame.unionByName,
-        (clock_ticks(logs[s.name], _GROUP, SEQUENCE, s.clock) for s in target.sources),
-    )
-    bounds = run_bounds(ticks, _GROUP)
-    spines = choose_main(group_sizes(bounds, _GROUP), list(logs))
-    is_main = (F.col("source") == F.col("main")).alias("is_main")
-    ranges = materialize(
-        day_ranges(bounds, _GROUP)
-        .join(spines, KEY)
-        .select(*_GROUP, "first", "last", "day", is_main),
-        "day_ranges",
-    )
-    if sessions is not None:
-        found = {row[0] for row in ranges.select(KEY).distinct().collect()}
-        for missing in (s for s in sessions if s not in found):
-            log.warning("No data found for session %s", missing)
-
-    if ranges_fit_broadcast(ranges, _GROUP):
-        return lambda spec: join_day_ranges(
-            logs[spec.name],
-            ranges.where(F.col("source") == spec.name),
-            _GROUP,
-            SEQUENCE,
-            spec.clock,
-        )
-    mains = ranges.select(*_GROUP, "is_main").distinct()
-    days = materialize(
-        tick_days(ticks, _GROUP).select(*_GROUP, "seq", "clock", "day").join(mains, _GROUP),
-        "tick_days",
-        partition_by=["source"],
-    )
-    return lambda spec: join_ticks(
-        logs[spec.name], days.where(F.col("source") == spec.name), _GROUP, SEQUENCE, spec.clock
-    )
