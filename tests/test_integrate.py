@@ -134,3 +134,35 @@ def test_plan(spark, sf_dir):
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == len(PLANE_STATES.sources) + 1
     assert text.count("Partial") == len(PLANE_STATES.sources)
+
+
+def test_job_from_landed_logs_to_target(spark, sf_dir):
+    """The command line: land, integrate two sessions, then all; the target holds each key once."""
+    from logbraid.__main__ import main
+    from logbraid.functions.lineage import fresh_folder
+    from logbraid.sources.lake import land_log, read_table
+
+    tables, into = fresh_folder(spark, "tables"), fresh_folder(spark, "into")
+    logs = event_logs.log_tables(spark, sf_dir, PLANE_STATES)
+    for name, df in logs.items():
+        land_log(df, f"{tables}/{name}")
+    command = [PLANE_STATES.name, "--tables", tables, "--into", into]
+    main([*command, "--sortie", "S1", "--sortie", "S3"])
+    path = f"{into}/{PLANE_STATES.name}"
+    some = read_table(spark, path, PLANE_STATES.schema)
+    assert {r[0] for r in some.select("sortie_number").distinct().collect()} == {"S1", "S3"}
+    main(command)
+    expected = integrate(PLANE_STATES, logs).rows
+    got = read_table(spark, path, PLANE_STATES.schema).select(*PLANE_STATES.columns)
+    assert rows(got) == rows(expected)
+
+
+def test_rows_far_from_the_spine_are_dropped_before_the_shuffle(spark, log_frame):
+    """A sparse spine: the dense log is cut by a broadcast join to the spine's moments."""
+    tables = empty_tables(spark, MISSILE)
+    row = lambda seq, at, log: {"sortie_number": "S1", "message_sequence_number": seq, "satellite_guidance_time": clock(at), "target_id": f"{log}{seq}"}
+    tables["rtkn"] = log_frame(SOURCES["rtkn"], [row(n, 1000 * n, "k") | {"target_id": None} for n in range(4)])
+    tables["aa_traj"] = log_frame(SOURCES["aa_traj"], [row(n, n, "a") for n in range(3500)])
+    result = integrate(MISSILE, tables).rows
+    assert plan_of(result).count("LeftSemi") == len(MISSILE.sources)
+    assert {r.target_id for r in result.collect()} == {"a1", "a1001", "a2001", "a3001"}
