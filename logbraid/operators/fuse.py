@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,60 +51,56 @@ def fuse(
 
 
 def near_spine(
-    logs: Mapping[str, DataFrame],
+    rows: DataFrame,
     keys: Sequence[str],
     ts: str,
     is_main: str,
     tolerance: timedelta,
     spine_rows: int,
     spine_micros: int,
-) -> dict[str, DataFrame]:
-    """`logs` without rows that no spine row's band can reach, dropped before any shuffle.
+) -> DataFrame:
+    """`rows` without those that no spine row's band can reach, dropped before any shuffle.
 
     The spine is the smallest log, so it often touches little of the time others record. Time
     is cut into buckets as long as a band, of which each spine row touches two; their hashes
     are broadcast, which may keep some row too many but loses none. `spine_rows` bounds their
     number and `spine_micros`, the time the spines span, tells whether they are selective.
-    Beyond the bound, or if they are not, the logs come back as they are.
+    Beyond the bound, or if they are not, all rows come back.
     """
     band = max(2 * in_micros(tolerance), 1)
     touched = 2 * spine_rows
     if touched > MAX_BROADCAST_MOMENTS or touched * band >= spine_micros:
-        return dict(logs)
+        return rows
 
     def moment(us: Column) -> Column:
-        return F.xxhash64(*keys, bucket(us, band))
+        return F.xxhash64(*keys, bucket(us, band)).alias("__moment")
 
     at, reach = micros(F.col(ts)), F.lit(in_micros(tolerance))
-    spine = reduce(
-        DataFrame.unionByName, (df.where(F.col(is_main)).select(*keys, ts) for df in logs.values())
-    )
+    spine = rows.where(F.col(is_main))
     moments = materialize(
-        spine.select(F.explode(F.array(moment(at - reach), moment(at + reach))).alias("__moment")).distinct(),
+        spine.select(moment(at - reach)).union(spine.select(moment(at + reach))).distinct(),
         "moments",
     )
-    return {
-        name: df.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
-        for name, df in logs.items()
-    }
+    return rows.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
 
 
 def fuse_latest(
-    logs: Mapping[str, DataFrame],
+    rows: DataFrame,
+    columns: Mapping[str, Sequence[str]],
     keys: Sequence[str],
     ts: str,
+    source: str,
     is_main: str,
     tolerance: timedelta,
-    source: str = "source_table",
 ) -> DataFrame:
-    """One record per row of each session's spine, fused with the latest row in its band of
-    every other log.
+    """One record per spine row, fused with the latest row in its band of every other log.
 
-    `logs`, in declared order, hold at most one row per keys and `ts`, all with `ts`; rows of
-    the session's spine have `is_main` true. Values are coalesced from the spine, then in
-    declared order; `source` names the spine.
+    `rows` are those of all logs in one layout, at most one per keys, `ts` and `source`, all
+    with `ts`. Those of their session's spine have `is_main` true. `columns` has, per log in
+    declared order, the columns that log fills. Values are coalesced from the spine, then in
+    declared order, and `source` names the spine.
 
-    All logs meet in one shuffle on (keys, bucket of time). Within a bucket, ordered by time,
+    All logs meet in one shuffle on (bucket of time, keys). Within a bucket, ordered by time,
     the latest row of each log so far is carried along; a spine row stands at the end of its
     band, ts + tolerance, and takes what has been carried there unless it is older than
     ts - tolerance. A bucket holds at most one row per log and instant, so its size is
@@ -114,61 +109,44 @@ def fuse_latest(
     reach = in_micros(tolerance)
     band = max(2 * reach, 1)
     width = BANDS_PER_BUCKET * band
-    payload = {
-        name: [c for c in df.columns if c not in (*keys, ts, is_main)] for name, df in logs.items()
-    }
-
-    placed = []
-    for name, df in logs.items():
-        at = micros(F.col(ts))
-        position = F.when(F.col(is_main), at + F.lit(reach)).otherwise(at)
-        own = bucket(F.col("__position"), width)
-        also_next = ~F.col(is_main) & (
-            F.pmod(F.col("__position"), F.lit(width)) >= F.lit(width - band)
-        )
-        placed.append(
-            df.select(
-                *keys,
-                ts,
-                is_main,
-                F.lit(name).alias(source),
-                F.struct(F.col(ts), *payload[name]).alias(f"log_{name}"),
-                position.alias("__position"),
-            ).withColumn(
-                "__bucket",
-                F.explode(F.when(also_next, F.array(own, own + F.lit(width))).otherwise(F.array(own))),
-            )
-        )
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
+    at, main = micros(F.col(ts)), F.col(is_main)
 
+    placed = rows.withColumn("__position", F.when(main, at + F.lit(reach)).otherwise(at))
+    own = bucket(F.col("__position"), width)
+    in_last_band = F.pmod(F.col("__position"), F.lit(width)) >= F.lit(width - band)
+    buckets = F.when(~main & in_last_band, F.array(own, own + F.lit(width))).otherwise(F.array(own))
     in_time = (
         Window.partitionBy("__bucket", *keys)
         .orderBy("__position", is_main)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = together.select(
-        "*",
-        *(F.last(f"log_{n}", ignorenulls=True).over(in_time).alias(f"last_{n}") for n in logs),
-    ).where(F.col(is_main))
-    in_band = carried.select(
-        *keys,
-        ts,
-        source,
-        *(f"log_{n}" for n in logs),
-        *(
-            F.when(F.col(f"last_{n}")[ts] >= F.col(ts) - F.lit(tolerance), F.col(f"last_{n}")).alias(
-                f"near_{n}"
+    carried = (
+        placed.withColumn("__bucket", F.explode(buckets))
+        .select("*", *(F.last(_row_of(n, source, ts, columns[n]), True).over(in_time).alias(f"near_{n}") for n in columns))
+        .where(main)
+    )
+    near = carried.withColumns(
+        {
+            f"near_{n}": F.when(
+                F.col(f"near_{n}")[ts] >= F.col(ts) - F.lit(tolerance), F.col(f"near_{n}")
             )
-            for n in logs
-        ),
+            for n in columns
+        }
     )
-    columns = list(dict.fromkeys(c for cols in payload.values() for c in cols))
-    holders = {c: [n for n in logs if c in payload[n]] for c in columns}
-    return in_band.selectExpr(
+    filled = dict.fromkeys(c for cols in columns.values() for c in cols if c not in (*keys, ts))
+    return near.selectExpr(
         *map(quoted, (*keys, ts)),
         *(
-            first_value((field(f"{side}_{n}", c) for side in ("log", "near") for n in held), c)
-            for c, held in holders.items()
+            first_value(
+                [quoted(c), *(field(f"near_{n}", c) for n in columns if c in columns[n])], c
+            )
+            for c in filled
         ),
         quoted(source),
     )
+
+
+def _row_of(name: str, source: str, ts: str, columns: Sequence[str]) -> Column:
+    """The row as a struct if it is of the log `name`, else NULL."""
+    fields = ", ".join(map(quoted, dict.fromkeys((ts, *columns))))
+    return F.when(F.col(source) == name, F.expr(f"struct({fields})"))

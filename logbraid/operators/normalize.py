@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logbraid.functions.names import quoted
 from logbraid.functions.times import DEFAULT_BASE_DATE, valid_clock
 from logbraid.operators.clock import unwrap_clock
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, SourceSpec
@@ -20,7 +21,9 @@ def of_sessions(df: DataFrame, sessions: Iterable[str] | None = None, key: str =
 
 
 def rename_columns(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    return df.select(*spec.columns).withColumnsRenamed(dict(spec.renames))
+    return df.selectExpr(
+        *(f"{quoted(c)} AS {quoted(spec.renames.get(c, c))}" for c in spec.columns)
+    )
 
 
 def normalize(

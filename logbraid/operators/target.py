@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,10 @@ def collapse(df: DataFrame, keys: Sequence[str], sequence: str = SEQUENCE) -> Da
     Spark keeps one row per key and task before the shuffle already, so a key may have any
     number of rows. Sorting is fastest with a number or a time as the first key.
     """
-    rest = [F.asc_nulls_last(c) for c in df.columns if c not in (*keys, sequence)]
-    best_first = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(sequence), *rest)
-    return df.withColumn("__rank", F.row_number().over(best_first)).where("__rank = 1").drop("__rank")
+    rest = [f"{quoted(c)} ASC NULLS LAST" for c in df.columns if c not in (*keys, sequence)]
+    best_first = ", ".join([f"{quoted(sequence)} DESC NULLS LAST", *rest])
+    rank = f"row_number() OVER (PARTITION BY {', '.join(map(quoted, keys))} ORDER BY {best_first})"
+    return df.selectExpr("*", f"{rank} AS __rank").where("__rank = 1").drop("__rank")
 
 
 def split_valid(df: DataFrame, ts: str = EVENT_TS) -> tuple[DataFrame, DataFrame]:

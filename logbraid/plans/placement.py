@@ -1,10 +1,10 @@
-"""Placing the rows of a target's logs in time, for every session at once."""
+"""Placing the rows of many logs in time, for every session at once."""
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
-from functools import cached_property, reduce
+from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from logbraid.operators.clock import (
     tick_days,
 )
 from logbraid.operators.profile import choose_main
-from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SourceSpec, TargetSpec
+from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE
 
 log = logging.getLogger(__name__)
 
@@ -31,48 +31,45 @@ _GROUP = ["source", KEY]
 
 class Placement:
     """What one pass over keys and clocks tells: the days of every log and session, how many
-    rows each has, and which log is the spine of each session."""
+    rows each has, and which log is the spine of each session.
+
+    `rows` are those of all logs in one layout, each with the name of its log as `source`;
+    `declared` has the names in order.
+    """
 
     def __init__(
-        self, target: TargetSpec, normalized: Mapping[str, DataFrame], base_date: str
+        self, rows: DataFrame, clock: str, declared: Sequence[str], base_date: str
     ) -> None:
-        self._base_date = base_date
-        self._logs = {
-            s.name: normalized[s.name].withColumn("source", F.lit(s.name)) for s in target.sources
-        }
-        self._ticks = reduce(
-            DataFrame.unionByName,
-            (clock_ticks(self._logs[s.name], _GROUP, SEQUENCE, s.clock) for s in target.sources),
-        )
+        self._rows, self._clock, self._base_date = rows, clock, base_date
+        self._ticks = clock_ticks(rows, _GROUP, SEQUENCE, clock)
         bounds = run_bounds(self._ticks, _GROUP)
         sizes = group_sizes(bounds, _GROUP)
-        spines = choose_main(sizes, list(self._logs))
         is_main = (F.col("source") == F.col("main")).alias("is_main")
         self._ranges = materialize(
             day_ranges(bounds, _GROUP)
             .join(sizes, _GROUP)
-            .join(spines, KEY)
+            .join(choose_main(sizes, declared), KEY)
             .select(*_GROUP, "first", "last", "day", "n", is_main),
             "day_ranges",
         )
 
-    def warn_of_missing(self, sessions: list[str]) -> None:
+    def warn_of_missing(self, sessions: Sequence[str]) -> None:
         found = {row[0] for row in self._ranges.select(KEY).distinct().collect()}
         for missing in (s for s in sessions if s not in found):
             log.warning("No data found for session %s", missing)
 
-    def place(self, spec: SourceSpec) -> DataFrame:
-        """The rows of a log with `event_ts`, NULL without a clock, and `is_main`."""
-        rows = self._logs[spec.name]
-        of_log = F.col("source") == spec.name
-        if self._by_range:
-            ranges = self._ranges.where(of_log).drop("n")
-            placed = join_day_ranges(rows, ranges, _GROUP, SEQUENCE, spec.clock)
+    @property
+    def placed(self) -> DataFrame:
+        """The rows with `event_ts`, NULL without a clock, and `is_main`."""
+        if ranges_fit_broadcast(self._ranges, _GROUP):
+            ranges = self._ranges.drop("n")
+            placed = join_day_ranges(self._rows, ranges, _GROUP, SEQUENCE, self._clock)
         else:
-            placed = join_ticks(rows, self._days.where(of_log), _GROUP, SEQUENCE, spec.clock)
+            placed = join_ticks(self._rows, self._days(), _GROUP, SEQUENCE, self._clock)
+        day = F.col("day")
         return placed.withColumn(
-            EVENT_TS, event_time(F.col(spec.clock), F.col("day"), self._base_date)
-        )
+            EVENT_TS, event_time(F.col(self._clock), day, self._base_date)
+        ).drop("day")
 
     @cached_property
     def spine_size(self) -> tuple[int, int]:
@@ -91,12 +88,7 @@ class Placement:
         ).first()
         return size.n or 0, size.us or 0
 
-    @cached_property
-    def _by_range(self) -> bool:
-        return ranges_fit_broadcast(self._ranges, _GROUP)
-
-    @cached_property
     def _days(self) -> DataFrame:
         mains = self._ranges.select(*_GROUP, "is_main").distinct()
         days = tick_days(self._ticks, _GROUP).select(*_GROUP, "seq", "clock", "day")
-        return materialize(days.join(mains, _GROUP), "tick_days", partition_by=["source"])
+        return days.join(mains, _GROUP)

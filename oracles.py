@@ -104,7 +104,7 @@ def _integrated(
     the band of each spine moment."""
     names = [s.name for s in target.sources]
     merged = {
-        s.name: [c for c in s.merge_columns if c in target.columns] for s in target.sources
+        s.name: [c for c in target.columns if c in s.merge_columns] for s in target.sources
     }
     ctes = [f"p_{n} AS MATERIALIZED ({processed[n]})" for n in names]
     ctes += [

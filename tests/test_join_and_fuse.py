@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
 from pyspark.sql import Window
@@ -104,7 +105,12 @@ def test_latest_is_one_of_the_combinations(spark, tolerance, spread):
     """`fuse_latest` equals picking from `fuse`'s combinations the one with the latest
     partners."""
     logs, main_of = placed_logs(spark, spread, spread)
-    got = fuse_latest(logs, ["k"], "ts", "is_main", tolerance, source="source_table")
+    together = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        (df.withColumn("log", F.lit(n)) for n, df in logs.items()),
+    )
+    columns = {n: df.columns[3:] for n, df in logs.items()}
+    got = fuse_latest(together, columns, ["k"], "ts", "log", "is_main", tolerance)
     expected = Counter()
     for session, name in main_of.items():
         of_session = {
@@ -116,5 +122,5 @@ def test_latest_is_one_of_the_combinations(spark, tolerance, spread):
         latest = Window.partitionBy("ts").orderBy(*(F.desc_nulls_last(f"at_{n}") for n in of_session))
         picked = pairs.withColumn("rn", F.row_number().over(latest)).where("rn = 1")
         expected += rows(picked.select("k", "ts", "p", "q", "s", F.lit(name)))
-    assert rows(got.select("k", "ts", "p", "q", "s", "source_table")) == expected
+    assert rows(got.select("k", "ts", "p", "q", "s", "log")) == expected
     assert got.count() == 50
