@@ -146,16 +146,9 @@ def tick_days(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def ranges_fit_broadcast(ranges: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether day ranges, already materialized, are few in all and few per group."""
-    size = (
-        ranges.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("total"), F.max("n").alias("largest"))
-        .first()
-    )
-    total, largest = size.total or 0, size.largest or 0
-    return total <= MAX_BROADCAST_RANGES and largest <= MAX_RANGES_PER_GROUP
+def fit_broadcast(total: int, largest_group: int) -> bool:
+    """Whether so many day ranges, in all and in the largest group, may be broadcast."""
+    return total <= MAX_BROADCAST_RANGES and largest_group <= MAX_RANGES_PER_GROUP
 
 
 def join_day_ranges(
@@ -163,7 +156,7 @@ def join_day_ranges(
 ) -> DataFrame:
     """`df` with all further columns of the day range that holds its tick.
 
-    Only for ranges that `ranges_fit_broadcast`. `df` is not shuffled.
+    Only for as many ranges as `fit_broadcast`. `df` is not shuffled.
     """
     side = ranges.withColumnsRenamed({k: f"range_{k}" for k in keys})
     tick = F.struct(F.col(order).cast("bigint").alias("seq"), F.col(clock).alias("clock"))
@@ -203,7 +196,13 @@ def with_day(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> Data
     """`df` with the `day` its clock has reached, counted from 0."""
     ticks = clock_ticks(df, keys, order, clock)
     ranges = materialize(day_ranges(run_bounds(ticks, keys), keys), "day_ranges")
-    if ranges_fit_broadcast(ranges, keys):
+    size = (
+        ranges.groupBy(*keys)
+        .count()
+        .agg(F.sum("count").alias("total"), F.max("count").alias("largest"))
+        .first()
+    )
+    if fit_broadcast(size.total or 0, size.largest or 0):
         return join_day_ranges(df, ranges, keys, order, clock)
     days = tick_days(ticks, keys).select(*keys, "seq", "clock", "day")
     return join_ticks(df, days, keys, order, clock)

@@ -84,6 +84,29 @@ def near_spine(
     return rows.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
 
 
+def pack(name: str, columns: Sequence[str]) -> str:
+    """SQL for a row of the log `name` as one struct that orders as its columns do,
+    ascending with NULLs last.
+
+    Wide rows travel packed: moved column by column through sorts and windows, dozens of
+    columns make generated code too long for the JVM to compile.
+    """
+    pairs = (f"isnull({quoted(c)}) AS {quoted('no ' + c)}, {quoted(c)}" for c in columns)
+    return f"struct({', '.join(pairs)}) AS {quoted('log_' + name)}"
+
+
+def unpack(columns: Mapping[str, Sequence[str]], sides: Sequence[str] = ("log_",)) -> list[str]:
+    """SQL for each column of any log: the first value on a side, there in declared order."""
+    holders: dict[str, list[str]] = {}
+    for name, cols in columns.items():
+        for c in cols:
+            holders.setdefault(c, []).append(name)
+    return [
+        first_value((field(side + n, c) for side in sides for n in names), c)
+        for c, names in holders.items()
+    ]
+
+
 def fuse_latest(
     rows: DataFrame,
     columns: Mapping[str, Sequence[str]],
@@ -95,10 +118,10 @@ def fuse_latest(
 ) -> DataFrame:
     """One record per spine row, fused with the latest row in its band of every other log.
 
-    `rows` are those of all logs in one layout, at most one per keys, `ts` and `source`, all
-    with `ts`. Those of their session's spine have `is_main` true. `columns` has, per log in
-    declared order, the columns that log fills. Values are coalesced from the spine, then in
-    declared order, and `source` names the spine.
+    `rows` are those of all logs, at most one per keys, `ts` and `source`, all with `ts`.
+    Those of their session's spine have `is_main` true. `columns` has, per log in declared
+    order, its columns, which are packed in `log_<name>`; other logs' structs are NULL.
+    Values are coalesced from the spine, then in declared order, and `source` names the spine.
 
     All logs meet in one shuffle on (bucket of time, keys). Within a bucket, ordered by time,
     the latest row of each log so far is carried along; a spine row stands at the end of its
@@ -120,33 +143,18 @@ def fuse_latest(
         .orderBy("__position", is_main)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = (
-        placed.withColumn("__bucket", F.explode(buckets))
-        .select("*", *(F.last(_row_of(n, source, ts, columns[n]), True).over(in_time).alias(f"near_{n}") for n in columns))
-        .where(main)
-    )
-    near = carried.withColumns(
-        {
-            f"near_{n}": F.when(
-                F.col(f"near_{n}")[ts] >= F.col(ts) - F.lit(tolerance), F.col(f"near_{n}")
-            )
-            for n in columns
-        }
-    )
-    filled = dict.fromkeys(c for cols in columns.values() for c in cols if c not in (*keys, ts))
-    return near.selectExpr(
-        *map(quoted, (*keys, ts)),
-        *(
-            first_value(
-                [quoted(c), *(field(f"near_{n}", c) for n in columns if c in columns[n])], c
-            )
-            for c in filled
-        ),
-        quoted(source),
-    )
 
+    def latest(name: str) -> Column:
+        row = F.when(F.col(f"log_{name}").isNotNull(), F.struct(ts, f"log_{name}"))
+        return F.last(row, ignorenulls=True).over(in_time).alias(f"last_{name}")
 
-def _row_of(name: str, source: str, ts: str, columns: Sequence[str]) -> Column:
-    """The row as a struct if it is of the log `name`, else NULL."""
-    fields = ", ".join(map(quoted, dict.fromkeys((ts, *columns))))
-    return F.when(F.col(source) == name, F.expr(f"struct({fields})"))
+    def if_near(name: str) -> Column:
+        last = F.col(f"last_{name}")
+        near = F.when(last[ts] >= F.col(ts) - F.lit(tolerance), last[f"log_{name}"])
+        return near.alias(f"near_{name}")
+
+    carried = placed.withColumn("__bucket", F.explode(buckets)).select("*", *map(latest, columns))
+    near = carried.where(main).select(*rows.columns, *map(if_near, columns))
+    return near.selectExpr(
+        *map(quoted, (*keys, ts)), *unpack(columns, ("log_", "near_")), quoted(source)
+    )

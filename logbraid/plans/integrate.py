@@ -8,15 +8,13 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logbraid.functions.times import DEFAULT_BASE_DATE
-from logbraid.operators.fuse import fuse_latest, near_spine
+from logbraid.operators.fuse import fuse_latest, near_spine, pack, unpack
 from logbraid.operators.normalize import normalize
 from logbraid.operators.target import collapse, project_to_target, split_valid
 from logbraid.plans.placement import Placement
-from logbraid.sources.registry import EVENT_TS, KEY, SOURCE_TABLE, SourceSpec, TargetSpec
+from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, TargetSpec
 
 # Fixed value: how far apart in time rows may be to describe one moment.
 TOLERANCE = timedelta(seconds=1)
@@ -44,17 +42,30 @@ def integrate(
     Sessions without rows in any log give none.
 
     One pass over keys and clocks alone counts rows, picks spines and finds the midnights.
-    Then all logs, as one table in the target's layout, are placed in time, stripped of rows
-    far from any spine row, reduced to one row per log and moment, and shuffled once more to
-    meet each other, whatever the number of sessions and spines.
+    Then all logs, as one table, are placed in time, stripped of rows far from any spine row,
+    reduced to one row per log and moment, and shuffled once more to meet each other, whatever
+    the number of sessions and spines.
     """
     sessions = None if sessions is None else list(dict.fromkeys(sessions))
     read = reader if callable(reader) else reader.__getitem__
+    columns = {
+        s.name: [c for c in target.columns if c in s.merge_columns and c not in target.keys]
+        for s in target.sources
+    }
     rows = reduce(
-        DataFrame.unionByName,
-        (_in_layout(read(s.name), s, target, sessions) for s in target.sources),
+        _union,
+        (
+            normalize(read(s.name), s, sessions).selectExpr(
+                KEY,
+                SEQUENCE,
+                f"{s.clock} AS clock",
+                f"'{s.name}' AS source",
+                pack(s.name, columns[s.name]),
+            )
+            for s in target.sources
+        ),
     )
-    placement = Placement(rows, "clock", [s.name for s in target.sources], base_date)
+    placement = Placement(rows, "clock", list(columns), base_date)
     if sessions is not None:
         placement.warn_of_missing(sessions)
     valid, timeless = split_valid(placement.placed, "clock")
@@ -63,30 +74,13 @@ def integrate(
         valid.drop("clock"), [KEY], EVENT_TS, "is_main", tolerance, *placement.spine_size
     )
     moments = collapse(near, [EVENT_TS, KEY, "source"])
-    fused = fuse_latest(
-        moments,
-        {s.name: [c for c in s.merge_columns if c in target.columns] for s in target.sources},
-        [KEY],
-        EVENT_TS,
-        "source",
-        "is_main",
-        tolerance,
-    )
-    return Integration(_to_target(fused, target), _to_target(timeless.where("is_main"), target))
+    fused = fuse_latest(moments, columns, [KEY], EVENT_TS, "source", "is_main", tolerance)
+    rejected = timeless.where("is_main").selectExpr(KEY, "source", *unpack(columns))
+    return Integration(_to_target(fused, target), _to_target(rejected, target))
 
 
-def _in_layout(
-    df: DataFrame, spec: SourceSpec, target: TargetSpec, sessions: list[str] | None
-) -> DataFrame:
-    """A log in the target's layout, still without event time, with its `source` and `clock`."""
-    unmerged = [c for c in spec.normalized_columns if c not in spec.merge_columns]
-    normalized = normalize(df, spec, sessions).withColumnsRenamed(
-        {c: f"unmerged_{c}" for c in unmerged}
-    )
-    named = normalized.withColumns({"clock": F.col(spec.clock), "source": F.lit(spec.name)})
-    layout = [f for f in target.schema if f.name not in (EVENT_TS, SOURCE_TABLE)]
-    control = [T.StructField("source", T.StringType()), T.StructField("clock", T.StringType())]
-    return project_to_target(named, T.StructType([*layout, *control]))
+def _union(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
 
 
 def _to_target(df: DataFrame, target: TargetSpec) -> DataFrame:

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
@@ -14,10 +14,10 @@ from logbraid.functions.times import event_time, micros
 from logbraid.operators.clock import (
     clock_ticks,
     day_ranges,
+    fit_broadcast,
     group_sizes,
     join_day_ranges,
     join_ticks,
-    ranges_fit_broadcast,
     run_bounds,
     tick_days,
 )
@@ -61,32 +61,36 @@ class Placement:
     @property
     def placed(self) -> DataFrame:
         """The rows with `event_ts`, NULL without a clock, and `is_main`."""
-        if ranges_fit_broadcast(self._ranges, _GROUP):
+        if fit_broadcast(self._size.ranges or 0, self._size.largest or 0):
             ranges = self._ranges.drop("n")
             placed = join_day_ranges(self._rows, ranges, _GROUP, SEQUENCE, self._clock)
         else:
             placed = join_ticks(self._rows, self._days(), _GROUP, SEQUENCE, self._clock)
-        day = F.col("day")
         return placed.withColumn(
-            EVENT_TS, event_time(F.col(self._clock), day, self._base_date)
+            EVENT_TS, event_time(F.col(self._clock), F.col("day"), self._base_date)
         ).drop("day")
 
-    @cached_property
+    @property
     def spine_size(self) -> tuple[int, int]:
         """(rows, microseconds from first to last) of all spines together."""
-        per_spine = (
-            self._ranges.where("is_main")
-            .groupBy(*_GROUP)
-            .agg(
-                F.first("n").alias("n"),
-                F.min(micros(event_time(F.col("first.clock"), F.col("day")))).alias("began"),
-                F.max(micros(event_time(F.col("last.clock"), F.col("day")))).alias("ended"),
-            )
+        return self._size.spine_rows or 0, self._size.spine_micros or 0
+
+    @cached_property
+    def _size(self) -> Row:
+        def at(tick: str) -> Column:
+            return micros(event_time(F.col(tick)["clock"], F.col("day")))
+
+        per_group = self._ranges.groupBy(*_GROUP, "is_main").agg(
+            F.count(F.lit(1)).alias("ranges"),
+            F.first("n").alias("n"),
+            (F.max(at("last")) - F.min(at("first"))).alias("span"),
         )
-        size = per_spine.agg(
-            F.sum("n").alias("n"), F.sum(F.col("ended") - F.col("began")).alias("us")
+        return per_group.agg(
+            F.sum("ranges").alias("ranges"),
+            F.max("ranges").alias("largest"),
+            F.sum(F.when(F.col("is_main"), F.col("n"))).alias("spine_rows"),
+            F.sum(F.when(F.col("is_main"), F.col("span"))).alias("spine_micros"),
         ).first()
-        return size.n or 0, size.us or 0
 
     def _days(self) -> DataFrame:
         mains = self._ranges.select(*_GROUP, "is_main").distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import event_logs
 from logbraid import integrate
 from logbraid.operators import clock as clocks
-from logbraid.plans import integrate as plan
+from logbraid.operators.fuse import pack
 from logbraid.sources.registry import MISSILE, PLANE_STATES, SOURCES
 
 
@@ -126,14 +126,31 @@ def test_a_hot_moment_is_reduced_before_it_meets_others(spark, log_frame):
 
 
 def test_plan(spark, sf_dir):
-    """Every log is reduced within its scan tasks, and all meet in one further shuffle; no
-    pair is formed by looking at all pairs."""
+    """Rows are reduced within their scan tasks, cross one shuffle to be reduced for good and
+    one to meet each other; no pair is formed by looking at all pairs."""
     result = integrate(PLANE_STATES, event_logs.log_tables(spark, sf_dir, PLANE_STATES)).rows
     text = plan_of(result)
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "SortMergeJoin" not in text
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == len(PLANE_STATES.sources) + 1
-    assert text.count("Partial") == len(PLANE_STATES.sources)
+    assert len(exchanges) == 2
+    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
+    assert len(limits) == 2 and "Partial" in limits[-1]
+
+
+def test_clock_pass_reads_keys_and_clocks_only(spark, tmp_path):
+    """Wide columns do not reach the scan of the narrow pass."""
+    spec = SOURCES["aa_traj"]
+    path = f"{tmp_path}/{spec.name}"
+    spark.createDataFrame([], spec.schema).write.parquet(path)
+    packed = spark.read.parquet(path).selectExpr(
+        "sortie_number", "message_sequence_number", "satellite_guidance_time AS clock",
+        "'aa_traj' AS source", pack(spec.name, spec.columns),
+    )
+    ticks = clocks.clock_ticks(packed, ["source", "sortie_number"], "message_sequence_number", "clock")
+    read = plan_of(ticks).split("ReadSchema: ")[1]
+    assert read.startswith(
+        "struct<sortie_number:string,satellite_guidance_time:string,message_sequence_number:bigint>"
+    )
 
 
 def test_job_from_landed_logs_to_target(spark, sf_dir):
@@ -164,5 +181,6 @@ def test_rows_far_from_the_spine_are_dropped_before_the_shuffle(spark, log_frame
     tables["rtkn"] = log_frame(SOURCES["rtkn"], [row(n, 1000 * n, "k") | {"target_id": None} for n in range(4)])
     tables["aa_traj"] = log_frame(SOURCES["aa_traj"], [row(n, n, "a") for n in range(3500)])
     result = integrate(MISSILE, tables).rows
-    assert plan_of(result).count("LeftSemi") == len(MISSILE.sources)
+    plan = plan_of(result)
+    assert plan.count("LeftSemi") == 1 and plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")
     assert {r.target_id for r in result.collect()} == {"a1", "a1001", "a2001", "a3001"}

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logbraid.operators.bandjoin import band_left_join, star_band_join
-from logbraid.operators.fuse import fuse, fuse_latest
+from logbraid.operators.fuse import fuse, fuse_latest, pack
 
 SECOND = timedelta(seconds=1)
 LEFT = "k string, ts timestamp_ntz, l string"
@@ -105,11 +105,14 @@ def test_latest_is_one_of_the_combinations(spark, tolerance, spread):
     """`fuse_latest` equals picking from `fuse`'s combinations the one with the latest
     partners."""
     logs, main_of = placed_logs(spark, spread, spread)
+    columns = {n: df.columns[3:] for n, df in logs.items()}
     together = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        (df.withColumn("log", F.lit(n)) for n, df in logs.items()),
+        (
+            df.selectExpr("k", "ts", "is_main", f"'{n}' AS log", pack(n, columns[n]))
+            for n, df in logs.items()
+        ),
     )
-    columns = {n: df.columns[3:] for n, df in logs.items()}
     got = fuse_latest(together, columns, ["k"], "ts", "log", "is_main", tolerance)
     expected = Counter()
     for session, name in main_of.items():
