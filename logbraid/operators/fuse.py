@@ -73,13 +73,12 @@ def near_spine(
         return rows
 
     def moment(us: Column) -> Column:
-        return F.xxhash64(*keys, bucket(us, band)).alias("__moment")
+        return F.xxhash64(*keys, bucket(us, band))
 
     at, reach = micros(F.col(ts)), F.lit(in_micros(tolerance))
-    spine = rows.where(F.col(is_main))
+    both = F.array(moment(at - reach), moment(at + reach))
     moments = materialize(
-        spine.select(moment(at - reach)).union(spine.select(moment(at + reach))).distinct(),
-        "moments",
+        rows.where(F.col(is_main)).select(F.explode(both).alias("__moment")).distinct(), "moments"
     )
     return rows.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
 

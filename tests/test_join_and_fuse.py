@@ -127,3 +127,26 @@ def test_latest_is_one_of_the_combinations(spark, tolerance, spread):
         expected += rows(picked.select("k", "ts", "p", "q", "s", F.lit(name)))
     assert rows(got.select("k", "ts", "p", "q", "s", "log")) == expected
     assert got.count() == 50
+
+
+def test_no_time_zone_shifts_the_bands(spark):
+    """Local times that daylight saving skips or repeats are still times."""
+    at = lambda h, m, s: datetime(2024, 3, 10, h, m, s)
+    left = spark.createDataFrame([("S1", at(1, 59, 59), "a"), ("S1", at(3, 0, 0), "b")], LEFT)
+    right = spark.createDataFrame([("S1", at(2, 0, 0), "x"), ("S1", at(2, 59, 59), "y")], RIGHT)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = rows(band_left_join(left, right, ["k"], "ts", SECOND).select("l", "r"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == Counter({("a", "x"): 1, ("b", "y"): 1})
+
+
+def test_star_plan_does_not_grow_by_doubling(spark):
+    """Each join of the star scans main's rows once more for their instants, and no more."""
+    main = spark.range(5).selectExpr("'S1' AS k", "timestamp_ntz'1970-01-01 10:00:00' AS ts", "id AS l")
+    other = main.withColumnRenamed("l", "r")
+    scans = lambda n: star_band_join(
+        main, {f"o{i}": other for i in range(n)}, ["k"], "ts", SECOND
+    )._jdf.queryExecution().executedPlan().toString().count("Range (0, 5")
+    assert scans(4) - scans(3) == scans(3) - scans(2) == scans(2) - scans(1)
