@@ -52,7 +52,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     connection = oracle(sf_dir)
     sql, failed = entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in sql:
             continue
         began = time.time()
         columns, got = spark_rows(query(spark, sf_dir))

@@ -11,14 +11,14 @@ def connection(sf_dir):
     return oracle(sf_dir)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.own_queries())
 def test_query_equals_its_sql(spark, sf_dir, connection, name):
-    got = spark_rows(entry.queries()[name](spark, sf_dir))
+    got = spark_rows(entry.own_queries()[name](spark, sf_dir))
     assert got == oracle_rows(connection, entry.oracle_sql()[name])
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.own_queries().keys() <= entry.oracle_sql().keys()
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
