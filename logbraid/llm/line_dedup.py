@@ -78,8 +78,10 @@ def drop_repeated_lines(
     as the results are replaced, others pass through.
     """
     hashes = materialize(line_hashes(docs, doc_id, text, min_length), "line_hashes")
+    # As a table of its own, so that a hot key's rows can be split on the other side of the join.
+    repeated = materialize(repeated_keys(hashes, min_docs), "repeated_lines")
     lost = (
-        hashes.join(repeated_keys(hashes, min_docs), ["h1", "h2"])
+        hashes.join(repeated, ["h1", "h2"])
         .where(~F.col("id").eqNullSafe(F.col("owner")))
         .groupBy(F.col("id").alias("lost_id"), F.col("version").alias("lost_version"))
         .agg(F.collect_set("position").alias("lost"))

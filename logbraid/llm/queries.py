@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
+from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
 from logbraid.llm.mixing import mix, with_sizes
+from logbraid.llm.pieces import encode_texts
 from logbraid.llm.sharding import shuffle_into_shards
+from logbraid.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,10 +39,38 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
+    profiles = learn_profiles(docs.where("NOT held_out"))
+    return predict_language(docs.drop("lang"), profiles).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+def simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return grouped.select("doc_id", "fingerprint", "component_id")
+
+
+def pieces_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op2_budget_mix": budget_mix,
     "op3_two_pass_shards": two_pass_shards,
     "op5_line_dedup": line_dedup,
+    "op8_rank_order_language": rank_order_language,
+    "op9_simhash_bk_trees": simhash_bk_trees,
+    "op10_pieces_round_trip": pieces_round_trip,
 }
 
 _LINE_DEDUP_SQL = """
