@@ -9,16 +9,32 @@ from pyspark.sql import functions as F
 from logbraid.functions.lineage import materialize
 from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
+from logbraid.llm.main_text import extract_main_text
 from logbraid.llm.mixing import mix, with_sizes
 from logbraid.llm.pieces import encode_texts
 from logbraid.llm.sharding import shuffle_into_shards
 from logbraid.llm.simhash import near_duplicates
+from logbraid.llm.url_rules import Rule, judge_urls
+
+# The rules that the query judges urls by.
+URL_RULES = (
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def main_text_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = with_sizes(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
     mixed = mix(materialize(sized.drop("text"), "sizes_of_documents"))
@@ -39,6 +55,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_rule_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
@@ -65,9 +86,11 @@ def pieces_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": main_text_of_pages,
     "op2_budget_mix": budget_mix,
     "op3_two_pass_shards": two_pass_shards,
     "op5_line_dedup": line_dedup,
+    "op7_url_rule_sweep": url_rule_sweep,
     "op8_rank_order_language": rank_order_language,
     "op9_simhash_bk_trees": simhash_bk_trees,
     "op10_pieces_round_trip": pieces_round_trip,
@@ -92,4 +115,21 @@ SELECT doc_id, count(*) AS n_lines, sum(dropped::INT)::BIGINT AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op5_line_dedup": _LINE_DEDUP_SQL}
+_URL_RULES_SQL = """
+WITH rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END
+    AS r FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fitting AS (
+  SELECT page_id, host, path, h || p AS rule, v,
+    row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h || p) DESC NULLS LAST) AS n
+  FROM split LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fitting WHERE n = 1
+"""
+
+ORACLES = {"op5_line_dedup": _LINE_DEDUP_SQL, "op7_url_rule_sweep": _URL_RULES_SQL}
