@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
+from logbraid.llm.collisions import nearest_by_inner_product
 from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
 from logbraid.llm.main_text import extract_main_text
@@ -55,6 +56,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def collision_counting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest_by_inner_product(table, F.pmod("vec_id", F.lit(20)) == 0, 20)
+
+
 def url_rule_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -90,6 +96,7 @@ QUERIES = {
     "op2_budget_mix": budget_mix,
     "op3_two_pass_shards": two_pass_shards,
     "op5_line_dedup": line_dedup,
+    "op6_collision_counting": collision_counting_search,
     "op7_url_rule_sweep": url_rule_sweep,
     "op8_rank_order_language": rank_order_language,
     "op9_simhash_bk_trees": simhash_bk_trees,
