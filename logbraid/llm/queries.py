@@ -12,6 +12,7 @@ from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
 from logbraid.llm.main_text import extract_main_text
 from logbraid.llm.mixing import mix, with_sizes
+from logbraid.llm.neighbours import link_near_duplicates
 from logbraid.llm.pieces import encode_texts
 from logbraid.llm.sharding import shuffle_into_shards
 from logbraid.llm.simhash import near_duplicates
@@ -56,6 +57,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nn_descent_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_near_duplicates(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def collision_counting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return nearest_by_inner_product(table, F.pmod("vec_id", F.lit(20)) == 0, 20)
@@ -95,6 +100,7 @@ QUERIES = {
     "op1_main_text": main_text_of_pages,
     "op2_budget_mix": budget_mix,
     "op3_two_pass_shards": two_pass_shards,
+    "op4_nn_descent": nn_descent_links,
     "op5_line_dedup": line_dedup,
     "op6_collision_counting": collision_counting_search,
     "op7_url_rule_sweep": url_rule_sweep,

@@ -8,6 +8,10 @@ Hamming distance to the parent, and a search follows only edges that the radius
 
 A tree keeps its members' components as it grows and hands on one edge per member and component,
 not one per pair. Components over all trees are found in rounds over stars.
+
+Texts of a given similarity differ in more bits than blocks can be cut for. For those, shards are
+the documents that share a smallest hash of a shingle, the trees' radius is wide, and what a tree
+finds is verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -25,11 +29,16 @@ from logbraid.functions.lineage import materialize
 from logbraid.functions.names import quoted
 from logbraid.llm.arrow import in_parts, texts_of
 from logbraid.llm.components import Forest, connected_components
-from logbraid.llm.rows import unpacked
+from logbraid.llm.rows import packed, unpacked
 
 # The seed of the shingles' hashes and the width of a fingerprint.
 SEED, WIDTH = 42, 64
 TREE_SIZE = 4096
+# Trees of whole shingle sets are smaller.
+SET_TREE_SIZE = 512
+# Of two texts whose shingles are as similar as 0.8, one in 600 pairs shares none of so many
+# smallest hashes, and about one in 100,000 differs in more bits.
+SMALLEST, SIMILAR_RADIUS = 4, 24
 RESULTS = ("fingerprint", "component_id")
 _HASHES_AT_ONCE = 1 << 17
 
@@ -96,7 +105,7 @@ class BKTree:
         self.children: list[dict[int, int]] = []
 
     def near(self, value: int) -> list[int]:
-        """Members at most the radius away."""
+        """Places, in order of adding, of members at most the radius away."""
         if not self.values:
             return []
         radius, values, children, found, stack = self.radius, self.values, self.children, [], [0]
@@ -104,7 +113,7 @@ class BKTree:
             node = stack.pop()
             away = (values[node] ^ value).bit_count()
             if away <= radius:
-                found.append(values[node])
+                found.append(node)
             for edge, child in children[node].items():
                 if -radius <= edge - away <= radius:
                     stack.append(child)
@@ -140,11 +149,12 @@ def _search_trees(radius: int):
         shard, tree, forest = None, BKTree(radius), Forest()
         for batch in batches:
             edges = []
-            columns = (batch.column(n).to_pylist() for n in ("block", "bits", "tree", "member", "value"))
+            names = ("block", "bits", "tree", "member", "value")
+            columns = (batch.column(n).to_pylist() for n in names)
             for block, bits, number, member, value in zip(*columns):
                 if (block, bits, number) != shard:
                     shard, tree, forest = (block, bits, number), BKTree(radius), Forest()
-                found = tree.near(value & (1 << WIDTH) - 1)
+                found = [tree.values[x] for x in tree.near(value & (1 << WIDTH) - 1)]
                 # One edge for each component that the tree has so far.
                 edges += [(value, root) for root in {forest.root(_signed(x)) for x in found}]
                 if member:
@@ -188,6 +198,230 @@ def near_links(values: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> Da
     )
 
 
+def _smallest_hashes(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Per run of `counts` hashes its smallest under each of `SMALLEST` mixings."""
+    starts = (np.cumsum(counts) - counts)[counts > 0]
+    out = []
+    for n in range(SMALLEST):
+        mixed = hashes ^ np.uint64(0x9E3779B97F4A7C15 * (n + 1) & (1 << 64) - 1)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(29)
+        out.append(np.minimum.reduceat(mixed, starts) if len(starts) else mixed)
+    return out
+
+
+def _sketches(words: int):
+    """Of each text its fingerprint and smallest hashes; none of a text without words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_parts(batch, "text"):
+                hashes = [shingle_hashes(t, words) for t in texts_of(part, "text")]
+                counts = np.array([len(h) for h in hashes], dtype=np.int64)
+                flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
+                prints = majority_bits(flat, counts).view(np.int64)
+                some = np.flatnonzero(counts)
+                smallest = np.stack(_smallest_hashes(flat, counts), axis=1).view(np.int64)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(some) + 1) * SMALLEST, pa.int32()),
+                    pa.array(smallest.ravel(), pa.int64()),
+                )
+                places = np.full(len(counts), -1, dtype=np.int64)
+                places[some] = np.arange(len(some))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in ("id", "v1", "v2")),
+                        pa.array(prints, pa.int64()),
+                        lists.take(pa.array(places, mask=places < 0)),
+                    ],
+                    ["id", "v1", "v2", "value", "smallest"],
+                )
+
+    return run
+
+
+def _shingle_sets(words: int):
+    """Of each text its distinct shingles' hashes in order, cut to 32 bits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_parts(batch, "text"):
+                sets = [
+                    np.unique(np.array(shingle_hashes(t, words), dtype=np.uint64).astype("<u4"))
+                    for t in texts_of(part, "text")
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.array([x.tobytes() for x in sets], pa.binary())],
+                    ["node", "shingles"],
+                )
+
+    return run
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted arrays without repeats."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int((b[at] == a).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def _search_sets(similarity: float, radius: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, tree, forest = None, BKTree(radius), Forest()
+        nodes: list[int] = []
+        sets: list[np.ndarray] = []
+        for batch in batches:
+            edges = []
+            names = ("block", "bits", "tree", "member", "node", "value")
+            columns = (batch.column(n).to_pylist() for n in names)
+            raw = batch.column("shingles")
+            for i, (block, bits, number, member, node, value) in enumerate(zip(*columns)):
+                if (block, bits, number) != shard:
+                    shard, tree, forest = (block, bits, number), BKTree(radius), Forest()
+                    nodes, sets = [], []
+                value &= (1 << WIDTH) - 1
+                own = np.frombuffer(raw[i].as_py(), dtype="<u4")
+                found = sorted(tree.near(value), key=lambda x: (tree.values[x] ^ value).bit_count())
+                linked: set[int] = set()
+                # Once linked with a component of the tree, its other members add nothing.
+                for x in found:
+                    if (root := forest.root(nodes[x])) not in linked:
+                        if jaccard(own, sets[x]) >= similarity:
+                            linked.add(root)
+                edges += [(node, root) for root in linked]
+                if member:
+                    tree.add(value)
+                    nodes.append(node)
+                    sets.append(own)
+                    for root in linked:
+                        forest.join(node, root)
+            columns = list(zip(*edges)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return run
+
+
+def near_copy_groups(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+) -> DataFrame:
+    """(v1, v2, component_id): for each distinct text of `docs`, by two hashes, the smallest id of
+    its group. Groups are what links between texts connect whose sets of shingles have a Jaccard
+    similarity of at least `similarity`, candidates being found as described above.
+
+    Texts without words are alike and one group, NULL with them. Fewer words than a shingle has
+    are one shingle. Rows may repeat. A NULL id is never the smallest unless there is no other.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(F.col(doc_id).alias("id"), *text_key(whole), whole.alias("text"))
+    sketched = materialize(
+        texts.mapInArrow(
+            _sketches(words), "id long, v1 long, v2 long, value long, smallest array<long>"
+        ),
+        "sketches",
+    )
+    distinct = sketched.groupBy("v1", "v2").agg(
+        F.min("id").alias("id"), F.first("value").alias("value"), F.first("smallest").alias("smallest")
+    )
+    distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "texts")
+    keyed = materialize(
+        distinct.where("smallest IS NOT NULL").select(
+            "node", "value", "id", "v1", "v2", F.posexplode("smallest").alias("block", "bits")
+        ),
+        "smallest",
+    )
+    shards = materialize(
+        keyed.groupBy(F.col("block").alias("b"), F.col("bits").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("b", "v", F.ceil(F.col("n") / SET_TREE_SIZE).cast("int").alias("trees")),
+        "shards",
+    )
+    shared = keyed.join(shards, (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
+    shared = materialize(shared.drop("b", "v"), "shared")
+    wanted = materialize(
+        shared.select("node", *(F.col(c).alias(f"w_{c}") for c in ("id", "v1", "v2"))).distinct(),
+        "wanted",
+    )
+    same = (
+        (F.col("v1") == F.col("w_v1"))
+        & (F.col("v2") == F.col("w_v2"))
+        & F.col("id").eqNullSafe(F.col("w_id"))
+    )
+    sets = materialize(
+        texts.join(wanted, same)
+        .select("node", "text")
+        .mapInArrow(_shingle_sets(words), "node long, shingles binary"),
+        "shingle_sets",
+    ).withColumnRenamed("node", "set_node")
+    # Rows that repeat an id and a text have one set.
+    sets = sets.dropDuplicates(["set_node"])
+    own = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
+    visits = (
+        shared.withColumn("own", own)
+        .select(
+            "node", "value", "block", "bits", "own",
+            F.explode(F.sequence("own", F.col("trees") - 1)).alias("tree"),
+        )
+        .withColumn("member", F.col("tree") == F.col("own"))
+        .join(sets, F.col("node") == F.col("set_node"))
+        .select("block", "bits", "tree", "member", "node", "value", "shingles")
+    )
+    edges = (
+        visits.repartition("block", "bits", "tree")
+        .sortWithinPartitions("block", "bits", "tree", F.desc("member"))
+        .mapInArrow(_search_sets(similarity, SIMILAR_RADIUS), "a long, b long")
+    )
+    roots = connected_components(edges).withColumnsRenamed({"node": "n", "root": "r"})
+    # Texts without words are one group although no shingle links them.
+    empty = F.when(F.col("smallest").isNull(), F.lit(-1).cast("long"))
+    rooted = materialize(
+        distinct.join(roots, F.col("node") == F.col("n"), "left").select(
+            "v1", "v2", "id", F.coalesce(empty, "r", "node").alias("root")
+        ),
+        "rooted",
+    )
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("id").alias("component_id"))
+    least = materialize(least, "component_ids")
+    return rooted.join(least, F.col("root") == F.col("r")).select("v1", "v2", "component_id")
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    """Two hashes of the whole text."""
+    return F.xxhash64(text).alias("v1"), F.xxhash64(F.lit("second"), text).alias("v2")
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+) -> DataFrame:
+    """The rows of `docs` with the smallest id of each group of near copies, as
+    `near_copy_groups` has them; rows that repeat an id and its text stay once."""
+    groups = near_copy_groups(docs, doc_id, text, words, similarity)
+    kept = materialize(groups, "kept").select(
+        F.col("v1").alias("k1"), F.col("v2").alias("k2"), F.col("component_id").alias("kept_id")
+    )
+    v1, v2 = text_key(F.coalesce(F.col(text), F.lit("")))
+    rows = packed(docs, id=F.col(doc_id), v1=v1, v2=v2)
+    same = (
+        (F.col("v1") == F.col("k1"))
+        & (F.col("v2") == F.col("k2"))
+        & F.col("id").eqNullSafe(F.col("kept_id"))
+    )
+    return unpacked(
+        rows.join(kept, same, "left_semi").dropDuplicates(["id", "v1", "v2"]), docs.columns, []
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
