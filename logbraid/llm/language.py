@@ -26,7 +26,7 @@ from logbraid.llm.rows import packed, unpacked
 PROFILE = 300
 UNDETERMINED = "und"
 RESULTS = ("lang_pred", "score")
-_BITS = 21  # of a code point
+_BITS, _GAP = 21, 1  # of a code point; no letter has code point 1
 # N-grams a learning task holds before it hands its counts on.
 _HELD = 1 << 20
 
@@ -54,9 +54,10 @@ def ngrams(text: str) -> np.ndarray:
     letters = letters[is_letter | np.r_[False, is_letter[:-1]] | np.r_[is_letter[1:], False]]
     letters = letters[np.r_[True, (letters[1:] != 0) | (letters[:-1] != 0)]]
     one = letters[letters != 0]
-    two = letters[:-1] << _BITS | letters[1:]
-    three = two[:-1] << _BITS | letters[2:]
-    # A single letter in a word of its own is told from a 2-gram by its place in the code.
+    # A gap has a code too, or a word's first letter and the letter alone would be one n-gram.
+    marked = np.where(letters == 0, _GAP, letters)
+    two = marked[:-1] << _BITS | marked[1:]
+    three = two[:-1] << _BITS | marked[2:]
     return np.concatenate([one, two, three[letters[1:-1] != 0]])
 
 
