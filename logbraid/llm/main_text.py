@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logbraid.functions.names import quoted
 from logbraid.llm.arrow import in_parts, texts_of
-from logbraid.llm.rows import unpacked
+from logbraid.llm.rows import row_of, unpacked
 
 # About so many labelled pages, picked by a hash of the page, are learned from.
 LABELLED_PAGES = 2000
@@ -175,15 +174,12 @@ def tokens(html: str) -> Iterator[Token]:
 
 
 def weights_from(counts: Mapping[str, tuple[int, int]]) -> dict[str, float]:
-    """A weight per feature from how often it is (inside, outside) labelled content: log odds
-    against all features, words positive, tags and all in boilerplate negative."""
-    inside = 1 + sum(a for a, _ in counts.values())
-    outside = 1 + sum(b for _, b in counts.values())
+    """A weight per feature from how often it is (inside, outside) labelled content: the log odds,
+    words positive, tags and all in boilerplate negative."""
     out = {}
     for feature, (a, b) in counts.items():
-        odds = log((a + 1) / inside) - log((b + 1) / outside)
         low, high = {"word": _WORDS, "-word": _BOILERPLATE_WORDS}.get(feature, _TAGS)
-        out[feature] = min(max(odds, low), high)
+        out[feature] = min(max(log((a + 1) / (b + 1)), low), high)
     return out
 
 
@@ -289,8 +285,8 @@ def extract_main_text(
                 )
 
     without = [c for c in pages.columns if c.lower() != html.lower()]
-    row = F.struct(F.lit(0).alias("none"), *(pages[quoted(c)] for c in without))
-    rows = pages.select(row.alias("row"), F.col(html).cast("string").alias("html"))
+    row = row_of(pages, without)
+    rows = pages.select(row, F.col(html).cast("string").alias("html"))
     schema = (
         T.StructType([rows.schema["row"]])
         .add("text", T.StringType())

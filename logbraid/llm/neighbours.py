@@ -319,7 +319,7 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root): the number of rows each node links with in other nodes of its part,
     in one row per pair of blocks, and the smallest node that those links reach there.
 
-    `members` has node, part, vector and copies. Parts of up to a block are put together; larger
+    `members` has node, part, dim, vector and copies. Parts of up to a block are put together; larger
     ones are cut into blocks, every one of which meets every other of its part unless their
     balls are too far apart, or so near that all their nodes link.
     """
@@ -330,14 +330,14 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
         "part_sizes",
     )
     placed = members.join(sizes, F.col("part") == F.col("p")).select(
-        "node", "part", "vector", "copies", "blocks",
+        "node", "part", "dim", "vector", "copies", "blocks",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
     placed = materialize(placed, "placed")
     # Small parts: a few blocks' worth of nodes in a group.
     bins = placed.count() // (2 * BLOCK) + 1
     small = placed.where("blocks = 1").select(
-        "node", "part", "vector", "copies",
+        "node", "part", "dim", "vector", "copies",
         F.lit(0).alias("block"), F.lit(0).alias("other"),
         F.pmod(F.xxhash64("part"), F.lit(bins)).cast("long").alias("bin"),
     )
@@ -381,12 +381,12 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
     )
     unsure = judged.where("NOT all_link").select("p", "a", "b")
     left = large.join(unsure, in_block).select(
-        "node", "part", "vector", "copies", "block", F.col("b").alias("other"),
+        "node", "part", "dim", "vector", "copies", "block", F.col("b").alias("other"),
         F.lit(-1).cast("long").alias("bin"),
     )
     right_block = (F.col("part") == F.col("p")) & (F.col("block") == F.col("b"))
     right = large.join(unsure, right_block).select(
-        "node", "part", "vector", "copies", F.col("a").alias("block"), F.col("b").alias("other"),
+        "node", "part", "dim", "vector", "copies", F.col("a").alias("block"), F.col("b").alias("other"),
         F.lit(-1).cast("long").alias("bin"),
     )
 
@@ -395,7 +395,7 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
         group = F.when(F.col("bin") < 0, F.xxhash64("part")).otherwise(F.col("bin"))
         named = df.withColumn("group", group).drop("bin")
         named = named.select(*(F.col(c).alias(prefix + c) for c in named.columns))
-        return named.groupBy(prefix + "group", prefix + "block", prefix + "other")
+        return named.groupBy(*(prefix + c for c in ("group", "dim", "block", "other")))
 
     compared = (
         grouped(left.unionByName(small.select(*left.columns)), "")
@@ -439,9 +439,9 @@ def link_near_duplicates(
         if recall >= AUDIT_RECALL:
             break
     members = (
-        nodes.select("node", "vector", "copies")
+        nodes.select("node", "dim", "vector", "copies")
         .join(_parts(edges), F.col("node") == F.col("of"))
-        .select("node", "part", "vector", "copies")
+        .select("node", "part", "dim", "vector", "copies")
     )
     links = materialize(exact_links(members, threshold), "links")
     counted = links.groupBy(F.col("node").alias("linked")).agg(F.sum("links").alias("links"))

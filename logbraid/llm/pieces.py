@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logbraid.functions.names import quoted
 from logbraid.llm.arrow import in_parts, texts_of
-from logbraid.llm.rows import unpacked
+from logbraid.llm.rows import row_of, unpacked
 
 # How the model writes a space, and the text of an unknown piece.
 SPACE = "▁"
@@ -367,8 +366,8 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
     # The text itself need not travel to Python and back.
     without = [c for c in docs.columns if c.lower() != text.lower()]
-    row = F.struct(F.lit(0).alias("none"), *(docs[quoted(c)] for c in without))
-    rows = docs.select(row.alias("row"), F.col(text).cast("string").alias("text"))
+    row = row_of(docs, without)
+    rows = docs.select(row, F.col(text).cast("string").alias("text"))
     schema = (
         T.StructType([rows.schema["row"]])
         .add("ids", T.BinaryType())

@@ -14,10 +14,15 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def row_of(df: DataFrame, columns: Sequence[str]) -> Column:
+    """These columns of `df` as one struct `row`."""
+    fields = [df[quoted(c)] for c in columns] or [F.lit(0).alias("nothing")]
+    return F.struct(*fields).alias("row")
+
+
 def packed(df: DataFrame, **own: Column) -> DataFrame:
     """The row of `df` as one struct `row`, beside columns of the operator's own."""
-    row = F.struct(*(df[quoted(c)] for c in df.columns)) if df.columns else F.struct(F.lit(None))
-    return df.select(row.alias("row"), *(c.alias(name) for name, c in own.items()))
+    return df.select(row_of(df, df.columns), *(c.alias(name) for name, c in own.items()))
 
 
 def unpacked(df: DataFrame, columns: Sequence[str], results: Sequence[str]) -> DataFrame:

@@ -26,10 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.names import quoted
 from logbraid.llm.arrow import in_parts, texts_of
 from logbraid.llm.components import Forest, connected_components
-from logbraid.llm.rows import packed, unpacked
+from logbraid.llm.rows import packed, row_of, unpacked
 
 # The seed of the shingles' hashes and the width of a fingerprint.
 SEED, WIDTH = 42, 64
@@ -90,8 +89,8 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3) -> Dat
                 )
 
     without = [c for c in docs.columns if c.lower() != text.lower()]
-    row = F.struct(F.lit(0).alias("none"), *(docs[quoted(c)] for c in without))
-    rows = docs.select(row.alias("row"), F.col(text).cast("string").alias("text"))
+    row = row_of(docs, without)
+    rows = docs.select(row, F.col(text).cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"]]).add("fingerprint", T.LongType())
     return unpacked(rows.mapInArrow(run, schema), without, ["fingerprint"])
 
@@ -438,8 +437,8 @@ def near_duplicates(
     empty result, and columns named as the results are replaced.
     """
     without = [c for c in docs.columns if c.lower() != text.lower()]
-    row = F.struct(F.lit(0).alias("none"), *(docs[quoted(c)] for c in without))
-    own = docs.select(row.alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    row = row_of(docs, without)
+    own = docs.select(row, F.col(doc_id).alias("id"), F.col(text).alias("text"))
     printed = materialize(with_fingerprint(own, words=words), "fingerprints")
     members = members_of(printed, radius)
     joined = printed.join(members, printed["fingerprint"] == members["value"])
