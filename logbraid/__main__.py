@@ -1,44 +1,110 @@
-"""Run an integration job: python -m logbraid <target> --tables <folder> --into <folder> [--sortie S ...]
+"""Run an integration job: python -m logbraid <target> --tables <where> --into <where> [options]
 
-`--tables` holds one landed log per source, by name; `--into` gets the target as a table
-partitioned by session. Without `--sortie` every session is integrated. Submit it to a
-cluster with spark-submit; the master and all resources come from there.
+Logs and target are folders, or database tables if `--database` names a connection: a JSON file
+with url, driver, user, the name of the environment variable that holds the password, and, to
+read all sessions, the split of each scan (lower, upper, parts). `--tables` and `--into` are then
+prefixes of table names, and `--merge` names a file with the statement that puts the staging
+table `<into><target>_staging` into the keyed target.
+
+Rows without an event time go to `<target>_rejected`. Without `--sortie` every session is
+integrated. Submit it to a cluster with spark-submit; the master and all resources come from
+there.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import logging
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from logbraid.functions.lineage import materialize, scratch
 from logbraid.plans.integrate import integrate
-from logbraid.sources.lake import read_table, upsert_table
-from logbraid.sources.registry import SOURCES, TARGETS
+from logbraid.sources import jdbc
+from logbraid.sources.lake import land_log, read_table, upsert_table
+from logbraid.sources.registry import SOURCES, TARGETS, TargetSpec
 
 log = logging.getLogger("logbraid")
 
 
-def main(arguments: Sequence[str] | None = None) -> None:
+def _arguments(arguments: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="logbraid")
     parser.add_argument("target", choices=TARGETS)
     parser.add_argument("--tables", required=True)
     parser.add_argument("--into", required=True)
     parser.add_argument("--sortie", action="append", dest="sessions")
+    parser.add_argument("--database", type=Path)
+    parser.add_argument("--merge", type=Path)
     options = parser.parse_args(arguments)
+    if options.database and not options.merge:
+        parser.error("--database needs --merge")
+    return options
 
-    spark = SparkSession.builder.appName(options.target).getOrCreate()
-    target = TARGETS[options.target]
-    result = integrate(
-        target,
-        lambda name: read_table(
-            spark, f"{options.tables}/{name}", SOURCES[name].schema, options.sessions
+
+def connection_from(path: Path) -> tuple[jdbc.Connection, jdbc.Split | None]:
+    """A connection file's content; the password stays in the environment."""
+    named = json.loads(path.read_text())
+    split = named.get("split")
+    return (
+        jdbc.Connection(
+            named["url"], named["driver"], named["user"], os.environ[named["password_variable"]]
         ),
-        options.sessions,
+        jdbc.Split(**split) if split else None,
     )
-    upsert_table(spark, f"{options.into}/{target.name}", result.rows, target)
-    log.info("%s integrated into %s", target.name, options.into)
+
+
+Reader = Callable[[str], DataFrame]
+Writer = Callable[[DataFrame, DataFrame], None]
+
+
+def _folders(
+    spark: SparkSession, options: argparse.Namespace, target: TargetSpec
+) -> tuple[Reader, Writer]:
+    def read(name: str) -> DataFrame:
+        return read_table(spark, f"{options.tables}/{name}", SOURCES[name].schema, options.sessions)
+
+    def write(rows: DataFrame, rejected: DataFrame) -> None:
+        upsert_table(spark, f"{options.into}/{target.name}", rows, target, options.sessions)
+        land_log(rejected, f"{options.into}/{target.name}_rejected")
+
+    return read, write
+
+
+def _database(
+    spark: SparkSession, options: argparse.Namespace, target: TargetSpec
+) -> tuple[Reader, Writer]:
+    connection, split = connection_from(options.database)
+
+    def read(name: str) -> DataFrame:
+        table = f"{options.tables}{name}"
+        return jdbc.read_table(spark, connection, table, options.sessions, split)
+
+    def write(rows: DataFrame, rejected: DataFrame) -> None:
+        into = f"{options.into}{target.name}"
+        jdbc.write_staged(rows, connection, f"{into}_staging", options.merge.read_text())
+        jdbc.write_table(rejected, connection, f"{into}_rejected")
+
+    return read, write
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    options = _arguments(arguments)
+    spark = SparkSession.builder.appName(options.target).getOrCreate()
+    target = TARGETS[options.target]
+    read, write = (_database if options.database else _folders)(spark, options, target)
+    with scratch(spark):
+        result = integrate(target, read, options.sessions)
+        rows = materialize(result.rows, "rows")
+        rejected = materialize(result.rejected, "rejected")
+        write(rows, rejected)
+        log.info(
+            "%s: %d rows integrated into %s, %d rejected",
+            target.name, rows.count(), options.into, rejected.count(),
+        )
 
 
 if __name__ == "__main__":

@@ -12,6 +12,9 @@ CLOCK_FORMAT = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\.[0-9]{3}$"
 
 DEFAULT_BASE_DATE = "1970-01-01"
 
+# Days beyond this, some 274,000 years, are no time: a timestamp ends soon after.
+LAST_DAY = 100_000_000
+
 
 def valid_clock(clock: Column) -> Column:
     """The clock if it is a well-formed time of day, else NULL.
@@ -22,9 +25,10 @@ def valid_clock(clock: Column) -> Column:
 
 
 def event_time(clock: Column, day: Column, base_date: str = DEFAULT_BASE_DATE) -> Column:
-    """`base_date` + `day` days + `clock`; NULL if any part is."""
+    """`base_date` + `day` days + `clock`; NULL if any part is, or the day is past `LAST_DAY`."""
     first_day = F.concat(F.lit(f"{base_date} "), clock).try_cast("timestamp_ntz")
-    return first_day + F.make_dt_interval(days=day.cast("int"))
+    days = F.when(day.between(0, LAST_DAY), day).cast("int")
+    return first_day + F.make_dt_interval(days=days)
 
 
 def micros(ts: Column) -> Column:

@@ -89,7 +89,8 @@ def star_band_join(
     """`main` band-joined to each of `others` in turn, always on main's own time.
 
     Columns of an other log come out as `<log>__<column>`. A row of `main` appears once per
-    combination of matches.
+    combination of matches, so the result holds the product of its matches in all logs. It is
+    for those who want them all; no job uses it.
     """
     star = main
     for name, other in others.items():

@@ -10,14 +10,14 @@ below runs on distinct ticks, which are narrow, and never on one group in one ta
 
 1. Ticks are range-partitioned over (group, sequence, clock). A group of any size spreads
    over many parts, and copies of a tick have been counted before the shuffle.
-2. Within a part, LAG and a running SUM give days counted from the part's first tick. Only
-   the ticks where a day starts or ends there are kept.
+2. Within a part, LAG and a running SUM give days counted from the part's first tick. This
+   pass runs once; its narrow outcome is kept as a table.
 3. Per group, the first and last clock and the day count of each part say how many days to
    add to the part. This step sees one row per part, whatever the data's size.
 
-Ticks of one day follow each other, so a group's days are a handful of ranges. Rows look
-their day up in those by a broadcast join and are not shuffled. Where clocks jitter so much
-that the ranges are many, rows are joined to their ticks instead.
+Ticks of one day follow each other, so a group's days are mostly a handful of ranges. Rows of
+such a calm group look their day up in the group's ranges, after a join on the group alone.
+Only rows of a group whose clock jitters, so that its ranges are many, are joined to ticks.
 """
 
 from __future__ import annotations
@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 from logbraid.functions.lineage import materialize
 from logbraid.functions.times import DEFAULT_BASE_DATE, event_time
 
-# Up to these sizes day ranges are broadcast: some 10 MB in all, and a short scan per row.
-MAX_BROADCAST_RANGES = 100_000
+# A group of up to so many ranges is calm: each of its rows scans them.
 MAX_RANGES_PER_GROUP = 64
 
 
@@ -106,18 +105,23 @@ def _part_offsets(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def run_bounds(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The first and last tick of each run of one day within a part, materialized."""
-    return materialize(_in_parts(ticks, keys).where("starts OR ends"), "run_bounds")
+def clock_parts(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The outcome of the clock pass, materialized: each tick in its part."""
+    return materialize(_in_parts(ticks, keys), "ticks")
 
 
-def group_sizes(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _bounds(parts: DataFrame) -> DataFrame:
+    return parts.where("starts OR ends")
+
+
+def group_sizes(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, n): the number of rows, not ticks, of each group."""
-    return _edges(bounds, keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+    return _edges(_bounds(parts), keys).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def day_ranges(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+def day_ranges(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, day, first, last): the first and last tick of each group's days."""
+    bounds = _bounds(parts)
     offsets = _part_offsets(_edges(bounds, keys), keys)
     return (
         bounds.join(offsets, [*keys, "part"])
@@ -126,11 +130,22 @@ def day_ranges(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def tick_days(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
+def group_ranges(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, ranges): the day ranges of each group, NULL where they are many."""
+    in_order = Window.partitionBy(*keys).orderBy("day")
+    place = F.row_number().over(in_order)
+    few = day_ranges(parts, keys).withColumn("place", place)
+    # One more than may be kept tells that there are too many.
+    few = few.where(F.col("place") <= MAX_RANGES_PER_GROUP + 1)
+    ranges = F.collect_list(F.struct("first", "last", "day"))
+    calm = F.count(F.lit(1)) <= MAX_RANGES_PER_GROUP
+    return few.groupBy(*keys).agg(F.when(calm, ranges).alias("ranges"))
+
+
+def tick_days(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, seq, clock, previous, wrapped, day) of every distinct tick. Right for any number
     of midnights."""
-    parts = materialize(_in_parts(ticks, keys), "ticks")
-    offsets = _part_offsets(_edges(parts.where("starts OR ends"), keys), keys)
+    offsets = _part_offsets(_edges(_bounds(parts), keys), keys)
     opens_part = _tick() == F.col("first_tick")
     return (
         parts.join(offsets, [*keys, "part"])
@@ -146,26 +161,6 @@ def tick_days(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_broadcast(total: int, largest_group: int) -> bool:
-    """Whether so many day ranges, in all and in the largest group, may be broadcast."""
-    return total <= MAX_BROADCAST_RANGES and largest_group <= MAX_RANGES_PER_GROUP
-
-
-def join_day_ranges(
-    df: DataFrame, ranges: DataFrame, keys: Sequence[str], order: str, clock: str
-) -> DataFrame:
-    """`df` with all further columns of the day range that holds its tick.
-
-    Only for as many ranges as `fit_broadcast`. `df` is not shuffled.
-    """
-    side = ranges.withColumnsRenamed({k: f"range_{k}" for k in keys})
-    tick = F.struct(F.col(order).cast("bigint").alias("seq"), F.col(clock).alias("clock"))
-    same_group = [df[k] == side[f"range_{k}"] for k in keys]
-    return df.join(
-        F.broadcast(side), [*same_group, tick >= side["first"], tick <= side["last"]], "left"
-    ).drop(*(f"range_{k}" for k in keys), "first", "last")
-
-
 def join_ticks(
     df: DataFrame, ticks: DataFrame, keys: Sequence[str], order: str, clock: str
 ) -> DataFrame:
@@ -188,24 +183,36 @@ def with_previous_clock(
 ) -> DataFrame:
     """`df` with the clock `previous` to each row's tick in sequence order, whether the clock
     `wrapped` since, and the `day` it has reached."""
-    days = tick_days(clock_ticks(df, keys, order, clock), keys)
-    return join_ticks(df, days, keys, order, clock)
+    parts = clock_parts(clock_ticks(df, keys, order, clock), keys)
+    return join_ticks(df, tick_days(parts, keys), keys, order, clock)
 
 
 def with_day(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> DataFrame:
-    """`df` with the `day` its clock has reached, counted from 0."""
-    ticks = clock_ticks(df, keys, order, clock)
-    ranges = materialize(day_ranges(run_bounds(ticks, keys), keys), "day_ranges")
-    size = (
-        ranges.groupBy(*keys)
-        .count()
-        .agg(F.sum("count").alias("total"), F.max("count").alias("largest"))
-        .first()
+    """`df` with the `day` its clock has reached, counted from 0.
+
+    Each group goes its own way: rows of calm groups find their day in the group's ranges, rows
+    of the others by their tick. The join on the group leaves it to Spark whether the groups are
+    broadcast, and can be split where a group holds many rows.
+    """
+    parts = clock_parts(clock_ticks(df, keys, order, clock), keys)
+    groups = materialize(group_ranges(parts, keys), "group_ranges")
+    side = groups.withColumnsRenamed({k: f"group_{k}" for k in keys}).withColumn(
+        "jittery", F.col("ranges").isNull()
     )
-    if fit_broadcast(size.total or 0, size.largest or 0):
-        return join_day_ranges(df, ranges, keys, order, clock)
-    days = tick_days(ticks, keys).select(*keys, "seq", "clock", "day")
-    return join_ticks(df, days, keys, order, clock)
+    grouped = df.join(side, [df[k] == side[f"group_{k}"] for k in keys], "left").drop(
+        *(f"group_{k}" for k in keys)
+    )
+    tick = F.struct(F.col(order).cast("bigint").alias("seq"), F.col(clock).alias("clock"))
+    own = F.filter("ranges", lambda r: (tick >= r["first"]) & (tick <= r["last"]))
+    calm = grouped.where(~F.coalesce("jittery", F.lit(False)))
+    calm = calm.withColumn("day", F.get(own, 0)["day"]).drop("ranges", "jittery")
+    jittery_groups = groups.where(F.col("ranges").isNull()).select(*keys)
+    if jittery_groups.isEmpty():
+        return calm
+    jittery = df.join(jittery_groups, list(keys), "left_semi").select(*df.columns)
+    theirs = tick_days(parts.join(jittery_groups, list(keys), "left_semi"), keys)
+    days = theirs.select(*keys, "seq", "clock", "day")
+    return calm.unionByName(join_ticks(jittery, days, keys, order, clock))
 
 
 def unwrap_clock(

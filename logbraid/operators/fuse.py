@@ -2,7 +2,8 @@
 
 `fuse` keeps every combination of matches. `fuse_latest` gives directly the one record per
 moment that a target keyed by session and event time can hold, without forming the
-combinations first, and for all sessions and spines at once.
+combinations first, and for all sessions and spines at once. It chooses partners on narrow rows
+first, sessions, logs and times alone; only rows chosen then meet, with all their columns.
 """
 
 from __future__ import annotations
@@ -13,14 +14,10 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logbraid.functions.lineage import materialize
 from logbraid.functions.names import field, first_value, quoted
 from logbraid.functions.times import bucket, in_micros, micros
 from logbraid.operators.bandjoin import star_band_join
 
-# Moments are broadcast as 8-byte hashes, so up to this many take some 100 MB.
-MAX_BROADCAST_MOMENTS = 2_000_000
-
 # A bucket of the fusing shuffle is this many band widths long; its last band is copied into
 # the next bucket, so 1/8 of the rows travel twice.
 BANDS_PER_BUCKET = 8
@@ -35,7 +32,8 @@ def fuse(
 ) -> DataFrame:
     """The band star with same-named columns coalesced: main first, then `others` in order.
 
-    An empty string counts as a value. A column only one log has passes through.
+    An empty string counts as a value. A column only one log has passes through. The result
+    holds the product of each row's matches in all logs; no job uses it.
     """
     star = star_band_join(main, others, keys, ts, tolerance)
     holders: dict[str, list[str]] = {
@@ -50,39 +48,6 @@ def fuse(
     )
 
 
-def near_spine(
-    rows: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    is_main: str,
-    tolerance: timedelta,
-    spine_rows: int,
-    spine_micros: int,
-) -> DataFrame:
-    """`rows` without those that no spine row's band can reach, dropped before any shuffle.
-
-    The spine is the smallest log, so it often touches little of the time others record. Time
-    is cut into buckets as long as a band, of which each spine row touches two; their hashes
-    are broadcast, which may keep some row too many but loses none. `spine_rows` bounds their
-    number and `spine_micros`, the time the spines span, tells whether they are selective.
-    Beyond the bound, or if they are not, all rows come back.
-    """
-    band = max(2 * in_micros(tolerance), 1)
-    touched = 2 * spine_rows
-    if touched > MAX_BROADCAST_MOMENTS or touched * band >= spine_micros:
-        return rows
-
-    def moment(us: Column) -> Column:
-        return F.xxhash64(*keys, bucket(us, band))
-
-    at, reach = micros(F.col(ts)), F.lit(in_micros(tolerance))
-    both = F.array(moment(at - reach), moment(at + reach))
-    moments = materialize(
-        rows.where(F.col(is_main)).select(F.explode(both).alias("__moment")).distinct(), "moments"
-    )
-    return rows.join(F.broadcast(moments), moment(at) == F.col("__moment"), "left_semi")
-
-
 def pack(name: str, columns: Sequence[str]) -> str:
     """SQL for a row of the log `name` as one struct that orders as its columns do,
     ascending with NULLs last.
@@ -106,34 +71,35 @@ def unpack(columns: Mapping[str, Sequence[str]], sides: Sequence[str] = ("log_",
     ]
 
 
-def fuse_latest(
-    rows: DataFrame,
-    columns: Mapping[str, Sequence[str]],
+def latest_partners(
+    instants: DataFrame,
+    names: Sequence[str],
     keys: Sequence[str],
     ts: str,
     source: str,
     is_main: str,
     tolerance: timedelta,
 ) -> DataFrame:
-    """One record per spine row, fused with the latest row in its band of every other log.
+    """Which row serves which moment of the spine: (keys, `moment`, `main`, then the row's own
+    columns).
 
-    `rows` are those of all logs, at most one per keys, `ts` and `source`, all with `ts`.
-    Those of their session's spine have `is_main` true. `columns` has, per log in declared
-    order, its columns, which are packed in `log_<name>`; other logs' structs are NULL.
-    Values are coalesced from the spine, then in declared order, and `source` names the spine.
+    `instants` are narrow: keys, `ts`, `source`, `is_main` and what else tells a row, one per
+    keys, log and instant. A moment has its own row of the log `main`, and of every other log
+    the latest within its band.
 
     All logs meet in one shuffle on (bucket of time, keys). Within a bucket, ordered by time,
-    the latest row of each log so far is carried along; a spine row stands at the end of its
+    the latest instant of each log so far is carried along; a spine row stands at the end of its
     band, ts + tolerance, and takes what has been carried there unless it is older than
-    ts - tolerance. A bucket holds at most one row per log and instant, so its size is
-    bounded by the clock's resolution and not by the data.
+    ts - tolerance. A bucket holds at most one row per log and instant, so its size is bounded
+    by the clock's resolution, the number of logs and the tolerance, and not by the data.
     """
     reach = in_micros(tolerance)
     band = max(2 * reach, 1)
     width = BANDS_PER_BUCKET * band
     at, main = micros(F.col(ts)), F.col(is_main)
+    own_columns = [c for c in instants.columns if c not in (*keys, source, is_main)]
 
-    placed = rows.withColumn("__position", F.when(main, at + F.lit(reach)).otherwise(at))
+    placed = instants.withColumn("__position", F.when(main, at + F.lit(reach)).otherwise(at))
     own = bucket(F.col("__position"), width)
     in_last_band = F.pmod(F.col("__position"), F.lit(width)) >= F.lit(width - band)
     buckets = F.when(~main & in_last_band, F.array(own, own + F.lit(width))).otherwise(F.array(own))
@@ -144,16 +110,85 @@ def fuse_latest(
     )
 
     def latest(name: str) -> Column:
-        row = F.when(F.col(f"log_{name}").isNotNull(), F.struct(ts, f"log_{name}"))
-        return F.last(row, ignorenulls=True).over(in_time).alias(f"last_{name}")
+        of_log = F.when((F.col(source) == name) & ~main, F.struct(*own_columns))
+        return F.last(of_log, ignorenulls=True).over(in_time).alias(f"__last_{name}")
 
-    def if_near(name: str) -> Column:
-        last = F.col(f"last_{name}")
-        near = F.when(last[ts] >= F.col(ts) - F.lit(tolerance), last[f"log_{name}"])
-        return near.alias(f"near_{name}")
+    def as_partner(name: str, row: Column) -> Column:
+        return F.struct(F.lit(name).alias(source), *(row[c].alias(c) for c in own_columns))
 
-    carried = placed.withColumn("__bucket", F.explode(buckets)).select("*", *map(latest, columns))
-    near = carried.where(main).select(*rows.columns, *map(if_near, columns))
-    return near.selectExpr(
+    carried = placed.withColumn("__bucket", F.explode(buckets)).select(
+        *instants.columns, *map(latest, names)
+    )
+    itself = F.struct(source, *own_columns)
+    near = [
+        F.when(
+            F.col(f"__last_{n}")[ts] >= F.col(ts) - F.lit(tolerance),
+            as_partner(n, F.col(f"__last_{n}")),
+        )
+        for n in names
+    ]
+    moments = carried.where(main).select(
+        *keys,
+        F.col(ts).alias("moment"),
+        F.col(source).alias("main"),
+        F.explode(F.array_compact(F.array(itself, *near))).alias("__partner"),
+    )
+    return moments.select(*keys, "moment", "main", "__partner.*")
+
+
+def fuse_chosen(
+    rows: DataFrame,
+    partners: DataFrame,
+    columns: Mapping[str, Sequence[str]],
+    keys: Sequence[str],
+    same_row: Sequence[tuple[str, str]],
+    ts: str,
+    source: str,
+) -> DataFrame:
+    """One record per moment out of the `rows` that `partners` choose.
+
+    `rows` have keys, `source` and `log_<name>`, the columns of each log packed; `same_row`
+    pairs their columns that, with keys and source, tell a row with those of `partners`. Of
+    several rows told alike the least is taken, once per task before they travel. Values are
+    coalesced from the spine, then in declared order, and `source` names the spine.
+    """
+    renamed = partners.withColumnsRenamed({c: f"__{c}" for c in partners.columns})
+    alike = [F.col(k) == F.col(f"__{k}") for k in (*keys, source)]
+    alike += [F.col(a).eqNullSafe(F.col(f"__{b}")) for a, b in same_row]
+    chosen = rows.join(renamed, alike)
+    is_spine = F.col(source) == F.col("__main")
+    # Flags that order NULLs have done their work then, and stay behind.
+    best = [
+        F.min(F.when(of_side, F.col(f"log_{n}"))).alias(f"{side}{n}")
+        for side, of_side in (("log_", is_spine), ("near_", ~is_spine))
+        for n in columns
+    ]
+    fused = chosen.groupBy(
+        *(F.col(f"__{k}").alias(k) for k in keys),
+        F.col("__moment").alias(ts),
+        F.col("__main").alias(source),
+    ).agg(*best)
+    return fused.selectExpr(
         *map(quoted, (*keys, ts)), *unpack(columns, ("log_", "near_")), quoted(source)
     )
+
+
+def fuse_latest(
+    rows: DataFrame,
+    columns: Mapping[str, Sequence[str]],
+    keys: Sequence[str],
+    ts: str,
+    source: str,
+    is_main: str,
+    tolerance: timedelta,
+) -> DataFrame:
+    """One record per spine row, fused with the latest row in its band of every other log.
+
+    `rows` are those of all logs, at most one per keys, `ts` and `source`, all with `ts`.
+    Those of their session's spine have `is_main` true. `columns` has, per log in declared
+    order, its columns, which are packed in `log_<name>`; other logs' structs are NULL.
+    """
+    partners = latest_partners(
+        rows.select(*keys, ts, source, is_main), list(columns), keys, ts, source, is_main, tolerance
+    )
+    return fuse_chosen(rows, partners, columns, keys, [(ts, ts)], ts, source)

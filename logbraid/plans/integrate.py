@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from datetime import timedelta
-from functools import reduce
-from typing import NamedTuple
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
+from logbraid.functions.lineage import materialize
 from logbraid.functions.times import DEFAULT_BASE_DATE
-from logbraid.operators.fuse import fuse_latest, near_spine, pack, unpack
+from logbraid.operators.fuse import fuse_chosen, latest_partners, pack, unpack
 from logbraid.operators.normalize import normalize
-from logbraid.operators.target import collapse, project_to_target, split_valid
+from logbraid.operators.target import project_to_target
 from logbraid.plans.placement import Placement
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, TargetSpec
 
@@ -20,11 +20,22 @@ from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, Tar
 TOLERANCE = timedelta(seconds=1)
 
 
-class Integration(NamedTuple):
-    """`rows` in the target's schema, one per key; `rejected` spine rows have no event time."""
+class Integration:
+    """`rows` in the target's schema, one per key; `rejected` spine rows have no event time.
 
-    rows: DataFrame
-    rejected: DataFrame
+    Each is planned on first use; both share one pass over keys and clocks.
+    """
+
+    def __init__(self, build_rows: Callable[[], DataFrame], build_rejected: Callable[[], DataFrame]):
+        self._build_rows, self._build_rejected = build_rows, build_rejected
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self._build_rows()
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return self._build_rejected()
 
 
 def integrate(
@@ -41,10 +52,9 @@ def integrate(
     from the other logs in declared order, from each by its latest row within `tolerance`.
     Sessions without rows in any log give none.
 
-    One pass over keys and clocks alone counts rows, picks spines and finds the midnights.
-    Then all logs, as one table, are placed in time, stripped of rows far from any spine row,
-    reduced to one row per log and moment, and shuffled once more to meet each other, whatever
-    the number of sessions and spines.
+    One pass over keys and clocks alone counts rows, picks spines, finds the midnights and, on
+    its ticks, chooses which row of each log serves which moment. Then the logs, as one table,
+    are joined to the chosen ticks, and only chosen rows are shuffled once more to meet.
     """
     sessions = None if sessions is None else list(dict.fromkeys(sessions))
     read = reader if callable(reader) else reader.__getitem__
@@ -68,15 +78,21 @@ def integrate(
     placement = Placement(rows, "clock", list(columns), base_date)
     if sessions is not None:
         placement.warn_of_missing(sessions)
-    valid, timeless = split_valid(placement.placed, "clock")
 
-    near = near_spine(
-        valid.drop("clock"), [KEY], EVENT_TS, "is_main", tolerance, *placement.spine_size
-    )
-    moments = collapse(near, [EVENT_TS, KEY, "source"])
-    fused = fuse_latest(moments, columns, [KEY], EVENT_TS, "source", "is_main", tolerance)
-    rejected = timeless.where("is_main").selectExpr(KEY, "source", *unpack(columns))
-    return Integration(_to_target(fused, target), _to_target(rejected, target))
+    def fused() -> DataFrame:
+        partners = latest_partners(
+            placement.instants, list(columns), [KEY], EVENT_TS, "source", "is_main", tolerance
+        )
+        # As a table its size is known, so that few chosen ticks are broadcast to the logs.
+        partners = materialize(partners, "partners")
+        same_tick = [(SEQUENCE, "seq"), ("clock", "clock")]
+        chosen = fuse_chosen(rows, partners, columns, [KEY], same_tick, EVENT_TS, "source")
+        return _to_target(chosen, target)
+
+    def rejected() -> DataFrame:
+        return _to_target(placement.timeless.selectExpr(KEY, "source", *unpack(columns)), target)
+
+    return Integration(fused, rejected)
 
 
 def _union(a: DataFrame, b: DataFrame) -> DataFrame:

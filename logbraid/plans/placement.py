@@ -6,21 +6,12 @@ import logging
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.times import event_time, micros
-from logbraid.operators.clock import (
-    clock_ticks,
-    day_ranges,
-    fit_broadcast,
-    group_sizes,
-    join_day_ranges,
-    join_ticks,
-    run_bounds,
-    tick_days,
-)
+from logbraid.functions.times import event_time
+from logbraid.operators.clock import clock_parts, clock_ticks, group_sizes, tick_days
 from logbraid.operators.profile import choose_main
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE
 
@@ -30,69 +21,67 @@ _GROUP = ["source", KEY]
 
 
 class Placement:
-    """What one pass over keys and clocks tells: the days of every log and session, how many
-    rows each has, and which log is the spine of each session.
+    """What one pass over keys and clocks tells: when the ticks of every log and session were,
+    how many rows each has, and which log is the spine of each session.
 
     `rows` are those of all logs in one layout, each with the name of its log as `source`;
-    `declared` has the names in order.
+    `declared` has the names in order. Everything is computed on first use.
     """
 
     def __init__(
         self, rows: DataFrame, clock: str, declared: Sequence[str], base_date: str
     ) -> None:
-        self._rows, self._clock, self._base_date = rows, clock, base_date
-        self._ticks = clock_ticks(rows, _GROUP, SEQUENCE, clock)
-        bounds = run_bounds(self._ticks, _GROUP)
-        sizes = group_sizes(bounds, _GROUP)
-        is_main = (F.col("source") == F.col("main")).alias("is_main")
-        self._ranges = materialize(
-            day_ranges(bounds, _GROUP)
-            .join(sizes, _GROUP)
-            .join(choose_main(sizes, declared), KEY)
-            .select(*_GROUP, "first", "last", "day", "n", is_main),
-            "day_ranges",
-        )
+        self._rows, self._clock, self._declared = rows, clock, declared
+        self._base_date = base_date
+
+    @cached_property
+    def _parts(self) -> DataFrame:
+        return clock_parts(clock_ticks(self._rows, _GROUP, SEQUENCE, self._clock), _GROUP)
+
+    @cached_property
+    def mains(self) -> DataFrame:
+        """(session, main): the spine of each session."""
+        return materialize(choose_main(group_sizes(self._parts, _GROUP), self._declared), "mains")
 
     def warn_of_missing(self, sessions: Sequence[str]) -> None:
-        found = {row[0] for row in self._ranges.select(KEY).distinct().collect()}
+        found = {row[0] for row in self.mains.select(KEY).collect()}
         for missing in (s for s in sessions if s not in found):
             log.warning("No data found for session %s", missing)
 
     @property
-    def placed(self) -> DataFrame:
-        """The rows with `event_ts`, NULL without a clock, and `is_main`."""
-        if fit_broadcast(self._size.ranges or 0, self._size.largest or 0):
-            ranges = self._ranges.drop("n")
-            placed = join_day_ranges(self._rows, ranges, _GROUP, SEQUENCE, self._clock)
-        else:
-            placed = join_ticks(self._rows, self._days(), _GROUP, SEQUENCE, self._clock)
-        return placed.withColumn(
-            EVENT_TS, event_time(F.col(self._clock), F.col("day"), self._base_date)
-        ).drop("day")
+    def instants(self) -> DataFrame:
+        """(session, event_ts, source, seq, clock, is_main): per log and instant the tick with
+        the highest sequence number. At one instant all ticks of a log have one clock."""
+        timed = tick_days(self._parts, _GROUP).select(
+            *_GROUP,
+            event_time(F.col("clock"), F.col("day"), self._base_date).alias(EVENT_TS),
+            "seq",
+            "clock",
+        )
+        latest = (
+            timed.where(F.col(EVENT_TS).isNotNull())
+            .groupBy(KEY, EVENT_TS, "source")
+            .agg(F.max("seq").alias("seq"), F.first("clock").alias("clock"))
+        )
+        is_main = (F.col("source") == F.col("main")).alias("is_main")
+        return latest.join(self.mains, KEY).select(*latest.columns, is_main)
 
     @property
-    def spine_size(self) -> tuple[int, int]:
-        """(rows, microseconds from first to last) of all spines together."""
-        return self._size.spine_rows or 0, self._size.spine_micros or 0
-
-    @cached_property
-    def _size(self) -> Row:
-        def at(tick: str) -> Column:
-            return micros(event_time(F.col(tick)["clock"], F.col("day")))
-
-        per_group = self._ranges.groupBy(*_GROUP, "is_main").agg(
-            F.count(F.lit(1)).alias("ranges"),
-            F.first("n").alias("n"),
-            (F.max(at("last")) - F.min(at("first"))).alias("span"),
+    def timeless(self) -> DataFrame:
+        """Spine rows without an event time."""
+        mains = self.mains.withColumnRenamed(KEY, "main_key")
+        spine = self._rows.join(
+            mains, (F.col(KEY) == F.col("main_key")) & (F.col("source") == F.col("main"))
+        ).select(*self._rows.columns)
+        lost = tick_days(self._parts, _GROUP).where(
+            event_time(F.col("clock"), F.col("day"), self._base_date).isNull()
+            & F.col("clock").isNotNull()
         )
-        return per_group.agg(
-            F.sum("ranges").alias("ranges"),
-            F.max("ranges").alias("largest"),
-            F.sum(F.when(F.col("is_main"), F.col("n"))).alias("spine_rows"),
-            F.sum(F.when(F.col("is_main"), F.col("span"))).alias("spine_micros"),
-        ).first()
-
-    def _days(self) -> DataFrame:
-        mains = self._ranges.select(*_GROUP, "is_main").distinct()
-        days = tick_days(self._ticks, _GROUP).select(*_GROUP, "seq", "clock", "day")
-        return days.join(mains, _GROUP)
+        # A clock is missing, or its day is past all timestamps.
+        lost = lost.select(*(F.col(c).alias(f"lost_{c}") for c in (*_GROUP, "seq", "clock")))
+        same = [F.col(c) == F.col(f"lost_{c}") for c in (*_GROUP, "clock")]
+        same.append(
+            F.col(SEQUENCE).cast("bigint").eqNullSafe(F.col("lost_seq"))
+        )
+        untimed = F.col(self._clock).isNull()
+        return spine.where(untimed).unionByName(spine.where(~untimed).join(lost, same, "left_semi"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.operators.normalize import of_sessions
-from logbraid.sources.registry import SEQUENCE, TIMES_OF_DAY
+from logbraid.sources.registry import KEY, SEQUENCE, TIMES_OF_DAY
 
 
 @dataclass(frozen=True)
@@ -68,18 +68,20 @@ class Sink:
         return {"batchsize": str(self.batch_size), "isolationLevel": "READ_COMMITTED"}
 
 
-def read_options(connection: Connection, table: str, split: Split | None = None) -> dict[str, str]:
-    return {
-        **connection.options(),
-        "dbtable": table,
-        **(split.options() if split else {}),
-    }
+def read_options(connection: Connection, table: str, split: Split) -> dict[str, str]:
+    return {**connection.options(), "dbtable": table, **split.options()}
 
 
 def write_options(connection: Connection, table: str, sink: Sink = Sink()) -> dict[str, str]:
     return {**connection.options(), "dbtable": table, **sink.options()}
 
 
+def session_predicates(sessions: Iterable[str]) -> list[str]:
+    """SQL conditions, one per session, each of which one task reads."""
+    quoted = (s.replace("'", "''") for s in dict.fromkeys(sessions))
+    return [f"{KEY} = '{s}'" for s in quoted]
+
+
 def read_table(
     spark: SparkSession,
     connection: Connection,
@@ -87,9 +89,22 @@ def read_table(
     sessions: Iterable[str] | None = None,
     split: Split | None = None,
 ) -> DataFrame:
-    """A database table. The session filter and the column choice run in the database."""
-    df = spark.read.format("jdbc").options(**read_options(connection, table, split)).load()
-    return clocks_as_text(df if sessions is None else of_sessions(df, sessions))
+    """A database table, cut into tasks by `split` or else by the named sessions.
+
+    One of the two must be given, as a table read in one piece goes through a single task. The
+    session filter and the column choice run in the database.
+    """
+    sessions = None if sessions is None else list(sessions)
+    if split is not None:
+        df = spark.read.format("jdbc").options(**read_options(connection, table, split)).load()
+        return clocks_as_text(df if sessions is None else of_sessions(df, sessions))
+    if not sessions:
+        raise ValueError(f"name sessions of {table}, or give a split")
+    properties = {k: v for k, v in connection.options().items() if k != "url"}
+    df = spark.read.jdbc(
+        connection.url, table, predicates=session_predicates(sessions), properties=properties
+    )
+    return clocks_as_text(df)
 
 
 def clocks_as_text(df: DataFrame) -> DataFrame:
@@ -105,9 +120,28 @@ def clocks_as_text(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, connection: Connection, table: str, sink: Sink = Sink()) -> None:
-    """Append to a database table.
+    """Append to a database table. A second run meets the table's key; see `write_staged`."""
+    df.write.format("jdbc").options(**write_options(connection, table, sink)).mode("append").save()
+
+
+def write_staged(
+    df: DataFrame, connection: Connection, staging: str, merge: str, sink: Sink = Sink()
+) -> None:
+    """Fill the table `staging` anew and run the statement `merge`, the database's own way to
+    put its rows into the keyed target. Doing it twice changes nothing more.
 
-    The format cannot upsert. To be safe to repeat, write to an empty staging table, or keep
-    the target as files and use their upsert.
+    Tasks write the rows; the driver only has the database run the statement.
     """
-    df.write.format("jdbc").options(**write_options(connection, table, sink)).mode("append").save()
+    options = {**write_options(connection, staging, sink), "truncate": "true"}
+    df.write.format("jdbc").options(**options).mode("overwrite").save()
+    jvm = df.sparkSession._jvm
+    jvm.java.lang.Class.forName(connection.driver)
+    database = jvm.java.sql.DriverManager.getConnection(
+        connection.url, connection.user, connection.password
+    )
+    try:
+        statement = database.createStatement()
+        statement.setQueryTimeout(connection.timeout_seconds)
+        statement.executeUpdate(merge)
+    finally:
+        database.close()

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
 from logbraid.operators.normalize import of_sessions
 from logbraid.operators.order import in_order
+from logbraid.operators.target import collapse
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, TargetSpec
 
 
@@ -40,24 +44,54 @@ def land_log(df: DataFrame, path: str, mode: str = "append") -> None:
 def upsert_by_key(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`existing` with rows of equal keys replaced by, and other rows added from, `updates`.
 
-    `updates` holds each key once. Doing it twice changes nothing more.
+    `updates` holds each key once, as from `valid_updates`. Doing it twice changes nothing more.
     """
     kept = existing.join(updates.select(*keys), list(keys), "left_anti")
     return kept.select(*updates.columns).unionByName(updates)
 
 
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, target: TargetSpec) -> None:
-    """Upsert into the target at `path`, in order of event time within each session.
+def valid_updates(updates: DataFrame, target: TargetSpec) -> tuple[DataFrame, DataFrame]:
+    """(updates that the target can hold, those without a whole key). Of updates with one key
+    the first holds one, chosen as `collapse` does."""
+    whole = reduce(and_, (F.col(k).isNotNull() for k in target.keys))
+    valid = updates.where(whole)
+    others = [c for c in target.columns if c not in target.keys]
+    sequence = SEQUENCE if SEQUENCE in others else others[0]
+    return collapse(valid, target.keys, sequence), updates.where(~whole)
 
-    Only partitions of sessions in `updates` are read and replaced. The updates are computed
-    once, before anything is replaced.
+
+def touched_partitions(
+    existing: DataFrame, updates: DataFrame, sessions: Iterable[str] | None = None
+) -> DataFrame:
+    """`existing` in those sessions alone that are named, or that `updates` hold; only their
+    partitions are read."""
+    if sessions is not None:
+        existing = of_sessions(existing, sessions)
+    touched = materialize(updates.select(KEY).distinct(), "touched")
+    # Spark prunes partitions by a join if the side with the sessions is small and has a filter.
+    return existing.join(touched.where(F.col(KEY) >= ""), KEY, "left_semi")
+
+
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    target: TargetSpec,
+    sessions: Iterable[str] | None = None,
+) -> DataFrame:
+    """Upsert into the target at `path`, in order of event time within each session, and return
+    the updates refused: those without a whole key.
+
+    Only partitions of sessions in `updates` are read and replaced; `sessions` may name them, or
+    more, so that they are known before anything is read. The updates are computed once, before
+    anything is replaced.
     """
     updates = materialize(updates.select(*target.columns), "updates")
-    merged = updates
+    merged, refused = valid_updates(updates, target)
     if _exists(spark, path):
-        touched = updates.select(KEY).distinct()
-        existing = read_table(spark, path, target.schema).join(touched, KEY, "left_semi")
-        merged = upsert_by_key(existing, updates, target.keys)
+        existing = read_table(spark, path, target.schema)
+        existing = touched_partitions(existing, merged, sessions)
+        merged = upsert_by_key(existing, merged, target.keys)
     (
         in_order(merged, [KEY, EVENT_TS])
         .write.mode("overwrite")
@@ -65,6 +99,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, target: Tar
         .partitionBy(KEY)
         .parquet(path)
     )
+    return refused
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

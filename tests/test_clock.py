@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -120,9 +121,9 @@ def test_one_group_spreads_over_parts(spark):
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        bounds = clocks.run_bounds(clocks.clock_ticks(df, ["key"], "seq_no", "clock"), ["key"])
-        assert bounds.select("part").distinct().count() > 4
-        assert clocks.group_sizes(bounds, ["key"]).first().n == 20_000
+        parts = clocks.clock_parts(clocks.clock_ticks(df, ["key"], "seq_no", "clock"), ["key"])
+        assert parts.select("part").distinct().count() > 4
+        assert clocks.group_sizes(parts, ["key"]).first().n == 20_000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
@@ -134,6 +135,42 @@ def test_copies_are_counted_before_the_shuffle(spark):
     assert plan.index("partial_count") > exchange > plan.index("HashAggregate")
 
 
+def test_only_rows_of_a_jittery_group_meet_ticks(spark, monkeypatch):
+    """One jittery session among calm ones, whose number does not change the plan."""
+    passes, met = [], []
+    real_parts, real_join = clocks.clock_parts, clocks.join_ticks
+    monkeypatch.setattr(clocks, "clock_parts", lambda *a: passes.append(1) or real_parts(*a))
+
+    def join_ticks(df, ticks, *rest):
+        met.append((df.count(), ticks.count()))
+        return real_join(df, ticks, *rest)
+
+    monkeypatch.setattr(clocks, "join_ticks", join_ticks)
+    jitter = [("J", i, "10:00:00.000" if i % 2 else "10:00:00.020") for i in range(400)]
+    calm = [(f"C{s}", i, c) for s in range(50) for i, c in enumerate(T1)]
+    assert unwrap(spark, jitter + calm) == plain_unwrap(jitter + calm)
+    assert passes == [1] and met == [(400, 400)]
+
+    def shape(n):
+        met.clear()
+        keys = spark.range(n).select(F.concat(F.lit("C"), "id").alias("key"))
+        rows = keys.crossJoin(spark.createDataFrame(list(enumerate(T1)), "seq_no long, clock string"))
+        plan = unwrap_clock(rows, ["key"], "seq_no", "clock")._jdf.queryExecution().optimizedPlan()
+        assert not met
+        return [re.sub(r"Range .*|[#\[].*", "", x).strip() for x in plan.toString().splitlines()]
+
+    assert shape(10) == shape(20_000)
+
+
+def test_a_day_past_all_timestamps_is_no_time(spark):
+    from logbraid.functions.times import LAST_DAY, event_time
+
+    days = [0, LAST_DAY, LAST_DAY + 1, 106_751_992, 2**40, None]
+    df = spark.createDataFrame([("10:00:00.000", d) for d in days], "clock string, day long")
+    got = [r[0] for r in df.select(event_time(F.col("clock"), F.col("day")).isNotNull()).collect()]
+    assert got == [True, True, False, False, False, False]
+
+
 def test_previous_clock(spark):
     rows = [("S1", i, c) for i, c in enumerate([*T1, None, "02:00:00.000"])]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import importlib
 import logging
+import os
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -11,9 +13,13 @@ from pyspark.sql import functions as F
 import event_logs
 from logbraid import integrate
 from logbraid.operators import clock as clocks
+from logbraid.operators import fuse
 from logbraid.operators.fuse import pack
+from logbraid.operators.normalize import processed
 from logbraid.sources.registry import MISSILE, PLANE_STATES, SOURCES
 
+integration = importlib.import_module("logbraid.plans.integrate")
+
 
 def rows(df) -> Counter:
     return Counter(map(tuple, df.collect()))
@@ -125,16 +131,35 @@ def test_a_hot_moment_is_reduced_before_it_meets_others(spark, log_frame):
     assert result.where("target_id IS NULL").count() == 0
 
 
-def test_plan(spark, sf_dir):
-    """Rows are reduced within their scan tasks, cross one shuffle to be reduced for good and
-    one to meet each other; no pair is formed by looking at all pairs."""
-    result = integrate(PLANE_STATES, event_logs.log_tables(spark, sf_dir, PLANE_STATES)).rows
-    text = plan_of(result)
-    assert "CartesianProduct" not in text and "NestedLoop" not in text and "SortMergeJoin" not in text
-    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 2
-    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
-    assert len(limits) == 2 and "Partial" in limits[-1]
+def wide_exchanges(plan: str) -> list[str]:
+    return [line for line in plan.splitlines() if "Exchange" in line and "log_" in line]
+
+
+def test_plan(spark, sf_dir, monkeypatch):
+    """Wide rows cross one shuffle to meet the ticks chosen, and chosen rows one more; partners
+    are chosen by a window that carries no log's columns."""
+    windows = []
+    real = fuse.latest_partners
+    monkeypatch.setattr(
+        integration, "latest_partners", lambda *a: windows.append(real(*a)) or windows[-1]
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = integrate(PLANE_STATES, event_logs.log_tables(spark, sf_dir, PLANE_STATES)).rows
+        text = plan_of(result)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "Window" not in text
+    of_all_rows, of_chosen = wide_exchanges(text.split("SortMergeJoin")[1]), wide_exchanges(
+        text.split("SortMergeJoin")[0]
+    )
+    exchanged = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanged) == 3  # all rows, the ticks chosen, chosen rows
+    assert len(of_all_rows) <= 1 and len(of_chosen) <= 1
+    narrow = plan_of(windows[0])
+    assert "Window" in narrow and "log_" not in narrow
+    assert not [c for c in windows[0].columns if "log_" in c]
 
 
 def test_clock_pass_reads_keys_and_clocks_only(spark, tmp_path):
@@ -174,13 +199,73 @@ def test_job_from_landed_logs_to_target(spark, sf_dir):
     assert rows(got) == rows(expected)
 
 
-def test_rows_far_from_the_spine_are_dropped_before_the_shuffle(spark, log_frame):
-    """A sparse spine: the dense log is cut by a broadcast join to the spine's moments."""
+def test_few_chosen_ticks_are_broadcast_to_the_logs(spark, log_frame):
+    """A sparse spine: the dense log is cut before any shuffle of its rows."""
     tables = empty_tables(spark, MISSILE)
     row = lambda seq, at, log: {"sortie_number": "S1", "message_sequence_number": seq, "satellite_guidance_time": clock(at), "target_id": f"{log}{seq}"}
     tables["rtkn"] = log_frame(SOURCES["rtkn"], [row(n, 1000 * n, "k") | {"target_id": None} for n in range(4)])
     tables["aa_traj"] = log_frame(SOURCES["aa_traj"], [row(n, n, "a") for n in range(3500)])
     result = integrate(MISSILE, tables).rows
     plan = plan_of(result)
-    assert plan.count("LeftSemi") == 1 and plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")
+    assert "SortMergeJoin" not in plan
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
     assert {r.target_id for r in result.collect()} == {"a1", "a1001", "a2001", "a3001"}
+
+
+def test_rejects_alone_need_no_partners(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(integration, "latest_partners", None)
+    result = integrate(MISSILE, event_logs.log_tables(spark, sf_dir, MISSILE))
+    assert result.rejected.count() > 0
+
+
+def test_each_row_is_one_of_the_stars_combinations(spark, log_frame):
+    """On the real layouts, with several rows per instant: the job's row for a moment is among
+    the combinations of matches that the star forms for the moment's spine rows."""
+    rng = random.Random(11)
+    tables = empty_tables(spark, PLANE_STATES)
+    for n, (name, count) in enumerate((("command", 12), ("tspi", 25), ("plane_state", 25))):
+        spec = SOURCES[name]
+        texts = [f.name for f in spec.schema if f.dataType.simpleString() == "string" and f.name not in ("sortie_number", spec.clock) and "time" not in f.name]
+        made = []
+        for i in range(count):
+            made.append(
+                {"sortie_number": "S1", "message_sequence_number": i, spec.clock: clock(n / 10 + i // 2 * 0.7)}
+                | {c: rng.choice([None, f"{name}.{c}.{i}"]) for c in texts}
+            )
+        tables[name] = log_frame(spec, made)
+    got = integrate(PLANE_STATES, tables).rows.collect()
+    placed = {}
+    # The spine first, the others as declared.
+    for name in ("command", *(s.name for s in PLANE_STATES.sources if s.name in ("tspi", "plane_state"))):
+        spec = SOURCES[name]
+        timed = processed(tables[name], spec).where("event_ts IS NOT NULL")
+        placed[name] = timed.select("sortie_number", "event_ts", *(c for c in PLANE_STATES.columns if c in spec.merge_columns and c not in ("sortie_number", "event_ts")))
+    star = fuse.fuse(placed.pop("command"), placed, ["sortie_number"], "event_ts", timedelta(seconds=1))
+    columns = [c for c in PLANE_STATES.columns if c in star.columns]
+    combinations = {tuple(r) for r in star.select(*columns).collect()}
+    assert got and len(combinations) > len(got)
+    assert {tuple(r[c] for c in columns) for r in got} <= combinations
+
+
+def test_the_command_line_writes_rejects_and_leaves_nothing_behind(spark, log_frame, tmp_path, caplog):
+    from logbraid.__main__ import main
+    from logbraid.functions.lineage import checkpoint_dir
+    from logbraid.sources.lake import land_log
+
+    tables, into = str(tmp_path / "tables"), str(tmp_path / "into")
+    row = lambda s, seq, at: {"sortie_number": s, "message_sequence_number": seq, "satellite_guidance_time": at}
+    logs = empty_tables(spark, PLANE_STATES)
+    logs["command"] = log_frame(
+        SOURCES["command"],
+        [row("S1", 1, clock(1)), row("S1", 2, "25:00:00.000"), row("S2", 1, None), row("S2", 2, "nonsense")],
+    )
+    for name, df in logs.items():
+        land_log(df, f"{tables}/{name}", mode="overwrite") if df.count() else df.write.parquet(f"{tables}/{name}")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with caplog.at_level(logging.INFO):
+        main([PLANE_STATES.name, "--tables", tables, "--into", into])
+    assert "1 rows" in caplog.text and "3 rejected" in caplog.text
+    rejects = spark.read.parquet(f"{into}/{PLANE_STATES.name}_rejected").collect()
+    assert {(r.sortie_number, r.message_sequence_number) for r in rejects} == {("S1", 2), ("S2", 1), ("S2", 2)}
+    assert {x for x in os.listdir(folder)} - before == set()

@@ -1,13 +1,21 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from logbraid.functions.lineage import fresh_folder
+from logbraid.functions.lineage import checkpoint_dir, fresh_folder, materialize, scratch
 from logbraid.operators.order import in_order, with_rank
 from logbraid.sources import jdbc
-from logbraid.sources.lake import land_log, read_table, upsert_by_key, upsert_table
+from logbraid.sources.lake import (
+    land_log,
+    read_table,
+    touched_partitions,
+    upsert_by_key,
+    upsert_table,
+)
 from logbraid.sources.registry import MISSILE, SOURCES, SourceSpec, TargetSpec
 
 
@@ -72,6 +80,102 @@ def test_jdbc_options():
     assert "password" not in repr(CONNECTION)
 
 
+def test_a_database_table_is_never_read_in_one_piece(spark):
+    for sessions in (None, []):
+        with pytest.raises(ValueError, match="split"):
+            jdbc.read_table(spark, CONNECTION, "db.tspi", sessions)
+    assert jdbc.session_predicates(["a", "o'b", "a"]) == ["sortie_number = 'a'", "sortie_number = 'o''b'"]
+
+
+def test_a_connection_file_holds_no_password(tmp_path, monkeypatch):
+    from logbraid.__main__ import connection_from
+
+    file = tmp_path / "c.json"
+    file.write_text(
+        '{"url": "jdbc:x", "driver": "d", "user": "u", "password_variable": "SECRET",'
+        ' "split": {"lower": 0, "upper": 9, "parts": 3}}'
+    )
+    monkeypatch.setenv("SECRET", "p")
+    assert connection_from(file) == (jdbc.Connection("jdbc:x", "d", "u", "p"), jdbc.Split(0, 9, 3))
+
+
+def test_updates_keep_the_key(spark):
+    """A key twice, and no key, written twice."""
+    target = TargetSpec("t", ("sortie_number", "event_ts", "message_sequence_number", "v"), ())
+    hour = lambda h: datetime(1970, 1, 1, h)
+    path = fresh_folder(spark, "target")
+    update = spark.createDataFrame(
+        [("S", hour(1), 1, "old"), ("S", hour(1), 2, "new"), ("S", None, 3, "x"), (None, hour(1), 4, "y")],
+        target.schema,
+    )
+    for _ in range(2):
+        refused = upsert_table(spark, path, update, target)
+        assert sorted(r.v for r in refused.collect()) == ["x", "y"]
+        got = read_table(spark, path, target.schema).collect()
+        assert [(r.sortie_number, r.v) for r in got] == [("S", "new")]
+
+
+@pytest.mark.parametrize("sessions", [None, ["S07"]], ids=["unnamed", "named"])
+def test_upsert_reads_only_touched_sessions(spark, sessions):
+    target = TargetSpec("t", ("sortie_number", "event_ts", "v"), ())
+    path = fresh_folder(spark, "target")
+    rows = [(f"S{i:02}", datetime(1970, 1, 1, 1), "a") for i in range(50)]
+    upsert_table(spark, path, spark.createDataFrame(rows, target.schema), target)
+    update = spark.createDataFrame([("S07", datetime(1970, 1, 1, 2), "b")], target.schema)
+    existing = touched_partitions(read_table(spark, path, target.schema), update, sessions)
+    assert existing.count() == 1
+    executed = existing._jdf.queryExecution().executedPlan()
+    existing._jdf.queryExecution().toRdd().count()
+    files = files_read(executed, "event_ts#")
+    assert files == 1
+    upsert_table(spark, path, update, target, sessions)
+    assert read_table(spark, path, target.schema).count() == 51
+
+
+def files_read(plan, column):
+    """The files that the scan of a table with this column opened, by its own metric."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return files_read(plan.executedPlan(), column)
+    if name.endswith("QueryStageExec"):
+        return files_read(plan.plan(), column)
+    if name == "FileSourceScanExec" and column in plan.toString():
+        return plan.metrics().get("numFiles").get().value()
+    children = plan.children()
+    for i in range(children.size()):
+        found = files_read(children.apply(i), column)
+        if found is not None:
+            return found
+    return None
+
+
+def test_a_run_leaves_no_folder(spark):
+    path = None
+    with scratch(spark) as folder:
+        path = folder
+        assert materialize(spark.range(5), "five").count() == 5
+        with pytest.raises(ZeroDivisionError), scratch(spark):
+            materialize(spark.range(2), "two")
+            raise ZeroDivisionError
+        assert os.listdir(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_cluster_sessions_get_no_local_folder(spark, monkeypatch):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        checkpoint_dir(Session)
+
+
 def test_database_times_become_text(spark):
     df = spark.sql("SELECT timestamp'1970-01-01 23:59:58.25' AS local_time, 'x' AS weapon_id")
     assert jdbc.clocks_as_text(df).first() == ("23:59:58.250", "x")
