@@ -51,6 +51,10 @@ _NAMES = frozenset(
     " sidebar sidebars signup skip social sponsor sponsored subscribe subscription taboola toolbar"
     " widget widgets".split()
 )
+# What a class begins with that tells of the page, not of the element; and words
+# beside which `header` is a heading's wrapper.
+_ABOUT = frozenset("category format has is js layout no postid status tag type with".split())
+_OF_CONTENT = frozenset("article content entry post story title".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|math|textarea|iframe|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -68,11 +72,13 @@ _PARTS = re.compile(r"[a-z]+", re.IGNORECASE)
 # Bounds of the weights, and those of features that no labelled page has. A run may pass over a
 # short advert if there is enough content behind it, but over no menu.
 _WORDS, _BOILERPLATE_WORDS, _TAGS = (0.1, 3.0), (-0.3, -0.01), (-1.0, -0.01)
+_BOUNDS = {"word": _WORDS, "-word": _BOILERPLATE_WORDS, "~word": _BOILERPLATE_WORDS}
 _UNSEEN_TAG, _UNSEEN_WORD, _UNSEEN_BOILERPLATE = -0.2, 1.0, -0.3
 
 
 class Token(NamedTuple):
-    """A tag or a run of words. Features of tokens in boilerplate begin with `-`."""
+    """A tag or a run of words. Features of tokens in boilerplate begin with `-`, those of words
+    beside what the page's own markup labels as content with `~`."""
 
     feature: str
     words: int
@@ -88,30 +94,42 @@ def _names_boilerplate(tag: str, attributes: str, labelled: bool) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    return any(
-        part in _NAMES
-        for _, value in _ATTRIBUTE.findall(attributes)
-        for part in map(str.lower, _PARTS.findall(value))
-    )
+    for _, value in _ATTRIBUTE.findall(attributes):
+        for name in value.strip("\"'").lower().split():
+            parts = _PARTS.findall(name)
+            if parts and parts[0] not in _ABOUT:
+                found = _NAMES.intersection(parts)
+                if found - {"header"} or (found and not _OF_CONTENT.intersection(parts)):
+                    return True
+    return False
 
 
 class _Open:
     """The elements that are open, as a browser would have them where tags are missing."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool]] = []
+        # Tag, whether it is boilerplate, and how much boilerplate it puts out of force.
+        self.stack: list[tuple[str, bool, int]] = []
         self.boilerplate = self.labelled = 0
+        self.seen_label = False
 
     def push(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
             self._end_paragraph()
         if tag == "li":
             self._end_item()
-        if tag not in _VOID:
-            marked = _names_boilerplate(tag, attributes, bool(self.labelled))
-            self.stack.append((tag, marked))
-            self.boilerplate += marked
-            self.labelled += tag in _LABELS
+        if tag in _VOID:
+            return
+        marked, lifted = _names_boilerplate(tag, attributes, bool(self.labelled)), 0
+        if tag in _LABELS:
+            # The page's first article, in something that only by its name is boilerplate.
+            by_tag = any(m and (t in _BOILERPLATE or t == "header") for t, m, _ in self.stack)
+            if not self.seen_label and not marked and not by_tag:
+                lifted = self.boilerplate
+            self.seen_label = True
+            self.labelled += 1
+        self.stack.append((tag, marked, lifted))
+        self.boilerplate += marked - lifted
 
     def close(self, tag: str) -> None:
         for place in range(len(self.stack) - 1, -1, -1):
@@ -120,8 +138,8 @@ class _Open:
                 return
 
     def _cut(self, place: int) -> None:
-        for tag, marked in self.stack[place:]:
-            self.boilerplate -= marked
+        for tag, marked, lifted in self.stack[place:]:
+            self.boilerplate -= marked - lifted
             self.labelled -= tag in _LABELS
         del self.stack[place:]
 
@@ -143,8 +161,16 @@ class _Open:
                 return
 
 
-def tokens(html: str) -> Iterator[Token]:
+def tokens(html: str) -> list[Token]:
     """The page's tags and runs of words, in order."""
+    found = list(_tokens(html))
+    if any(t.labelled and t.feature == "word" for t in found):
+        beside = (t.feature == "word" and not t.labelled for t in found)
+        found = [t._replace(feature="~word") if b else t for t, b in zip(found, beside)]
+    return found
+
+
+def _tokens(html: str) -> Iterator[Token]:
     elements, at = _Open(), 0
 
     def words(text: str) -> Iterator[Token]:
@@ -178,7 +204,7 @@ def weights_from(counts: Mapping[str, tuple[int, int]]) -> dict[str, float]:
     words positive, tags and all in boilerplate negative."""
     out = {}
     for feature, (a, b) in counts.items():
-        low, high = {"word": _WORDS, "-word": _BOILERPLATE_WORDS}.get(feature, _TAGS)
+        low, high = _BOUNDS.get(feature, _TAGS)
         out[feature] = min(max(log((a + 1) / (b + 1)), low), high)
     return out
 
@@ -189,7 +215,7 @@ def _weight(weights: Mapping[str, float], token: Token) -> float:
     elif token.feature == "word":
         each = _UNSEEN_WORD
     else:
-        each = _UNSEEN_BOILERPLATE if token.feature.startswith("-") else _UNSEEN_TAG
+        each = _UNSEEN_BOILERPLATE if token.feature[0] in "-~" else _UNSEEN_TAG
     return each * (token.words if token.text else 1)
 
 
@@ -208,7 +234,7 @@ def best_run(scores: Iterable[float]) -> tuple[int, int]:
 
 def main_text(html: str, weights: Mapping[str, float]) -> str:
     """The text of the best run: white space in a block is one space, blocks are lines."""
-    found = list(tokens(html))
+    found = tokens(html)
     first, last = best_run(_weight(weights, t) for t in found)
     blocks, block = [], []
     for token in found[first:last]:

@@ -171,6 +171,9 @@ ARTICLE = "<h1>Title &amp; more</h1><p>First  paragraph,\n here.<p>Second &lt;on
         "<header><p>Site name here</header><article>{}</article><aside><p>more of this</aside>",
         "<div class='cookie-notice'>we use cookies</div><main>{}</main><form><p>mail<input></form>",
         "<script>var a = '<p>no</p>';</script><style>p {{}}</style><!-- <p>no</p> -->{}<div id=comments><p>Nice post</div>",
+        "<div>A word beside it<p>and one more</div><article>{}</article><div>and after</div>",
+        "<div class='page has-sidebar sidebar-left'><div class=sidebar><p>no</div><main class='category-social'>{}</main></div>",
+        "<div class='entry-header'>{}</div><ul class='menu'><li>no</ul><div role=search>no</div><p hidden>no",
         "<div class='ad'><div>buy <p>now</div> more</div>{}<section class=\"reader-comments\"><p>me too</section>",
     ],
 )
