@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Characters handled at once; one text is never cut.
-PART_CHARS = 1 << 21
+PART_CHARS = 1 << 19
 
 
 def in_parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ UNDETERMINED = "und"
 RESULTS = ("lang_pred", "score")
 _BITS, _GAP = 21, 1  # of a code point; no letter has code point 1
 # N-grams a learning task holds before it hands its counts on.
-_HELD = 1 << 20
+_HELD = 1 << 18
 
 
 @cache

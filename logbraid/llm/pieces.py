@@ -29,7 +29,7 @@ from logbraid.llm.rows import row_of, unpacked
 SPACE = "▁"
 UNKNOWN_TEXT = " ⁇ "
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _NONE = np.iinfo(np.int32).max
 RESULTS = ("ids", "n_tokens", "decoded")

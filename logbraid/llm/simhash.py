@@ -39,7 +39,7 @@ SET_TREE_SIZE = 512
 # smallest hashes, and about one in 100,000 differs in more bits.
 SMALLEST, SIMILAR_RADIUS = 4, 24
 RESULTS = ("fingerprint", "component_id")
-_HASHES_AT_ONCE = 1 << 17
+_HASHES_AT_ONCE = 1 << 14
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
