@@ -24,8 +24,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without a letter go. Profiles are learned from the
-    labelled documents that are not held out. `lang` stays as it was given."""
+    labelled documents that are not held out. `lang` stays as it was given. Without any labelled
+    document no language is known, and every document with a letter stays."""
     profiles = learn_profiles(docs.where(~held_out(F.col("doc_id"))))
+    if not profiles:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
     judged = predict_language(docs.select(*COLUMNS), profiles)
     return judged.where(F.col("lang_pred") != UNDETERMINED).select(*COLUMNS)
 
