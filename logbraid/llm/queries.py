@@ -145,4 +145,27 @@ fitting AS (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fitting WHERE n = 1
 """
 
-ORACLES = {"op5_line_dedup": _LINE_DEDUP_SQL, "op7_url_rule_sweep": _URL_RULES_SQL}
+# All pairs, so for small tables only; the operator finds them without.
+_LINKS_SQL = """
+WITH RECURSIVE good AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size
+  FROM embeddings
+  WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reached(v, r) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT reached.v, links.b FROM reached JOIN links ON links.a = reached.r),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(r) AS component_id, min(r) = v AS kept
+FROM reached LEFT JOIN counted ON a = v GROUP BY v
+"""
+
+ORACLES = {
+    "op4_nn_descent": _LINKS_SQL,
+    "op5_line_dedup": _LINE_DEDUP_SQL,
+    "op7_url_rule_sweep": _URL_RULES_SQL,
+}
