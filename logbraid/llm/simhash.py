@@ -38,6 +38,9 @@ SET_TREE_SIZE = 512
 # Of two texts whose shingles are as similar as 0.8, one in 600 pairs shares none of so many
 # smallest hashes, and about one in 100,000 differs in more bits.
 SMALLEST, SIMILAR_RADIUS = 4, 24
+# Texts that are surely not among those asked for stay out of a shuffle. Which may be is told by
+# slots of their hashes, whose broadcast is bounded: two million rows of eight bytes.
+SLOTS = 1 << 21
 RESULTS = ("fingerprint", "component_id")
 _HASHES_AT_ONCE = 1 << 14
 
@@ -303,6 +306,46 @@ def _search_sets(similarity: float, radius: int):
     return run
 
 
+def _with_company(radius: int):
+    """The nodes for which a tree of theirs holds another one within the radius."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, tree = None, BKTree(radius)
+        nodes: list[int] = []
+        for batch in batches:
+            met: set[int] = set()
+            names = ("block", "bits", "tree", "member", "node", "value")
+            for *place, member, node, value in zip(*(batch.column(n).to_pylist() for n in names)):
+                if place != shard:
+                    shard, tree, nodes = place, BKTree(radius), []
+                value &= (1 << WIDTH) - 1
+                if found := tree.near(value):
+                    met.add(node)
+                    met.update(nodes[x] for x in found)
+                if member:
+                    tree.add(value)
+                    nodes.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64())], ["met"])
+
+    return run
+
+
+def _in_trees(visits: DataFrame) -> DataFrame:
+    """Every tree's rows together, its members first."""
+    return visits.repartition("block", "bits", "tree").sortWithinPartitions(
+        "block", "bits", "tree", F.desc("member")
+    )
+
+
+def _slots(keys: DataFrame, column: str) -> DataFrame:
+    """The slots that `keys` fall into: at most `SLOTS` rows, however many keys there are."""
+    return materialize(keys.select(_slot(column).alias("slot")).distinct(), "slots")
+
+
+def _slot(column: str) -> Column:
+    return F.pmod(column, F.lit(SLOTS))
+
+
 def near_copy_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -310,8 +353,8 @@ def near_copy_groups(
     words: int = 5,
     similarity: float = 0.8,
 ) -> DataFrame:
-    """(v1, v2, component_id): for each distinct text of `docs`, by two hashes, the smallest id of
-    its group. Groups are what links between texts connect whose sets of shingles have a Jaccard
+    """(v1, v2, component_id, n_rows): for each distinct text of `docs`, by two hashes, the
+    smallest id of its group and how many rows that has. Groups are what links between texts connect whose sets of shingles have a Jaccard
     similarity of at least `similarity`, candidates being found as described above.
 
     Texts without words are alike and one group, NULL with them. Fewer words than a shingle has
@@ -326,12 +369,15 @@ def near_copy_groups(
         "sketches",
     )
     distinct = sketched.groupBy("v1", "v2").agg(
-        F.min("id").alias("id"), F.first("value").alias("value"), F.first("smallest").alias("smallest")
+        F.min("id").alias("id"),
+        F.count(F.lit(1)).alias("rows"),
+        F.first("value").alias("value"),
+        F.first("smallest").alias("smallest"),
     )
     distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "texts")
     keyed = materialize(
         distinct.where("smallest IS NOT NULL").select(
-            "node", "value", "id", "v1", "v2", F.posexplode("smallest").alias("block", "bits")
+            "node", "value", F.posexplode("smallest").alias("block", "bits")
         ),
         "smallest",
     )
@@ -342,10 +388,25 @@ def near_copy_groups(
         .select("b", "v", F.ceil(F.col("n") / SET_TREE_SIZE).cast("int").alias("trees")),
         "shards",
     )
-    shared = keyed.join(shards, (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
-    shared = materialize(shared.drop("b", "v"), "shared")
+    own = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
+    visits = materialize(
+        keyed.join(shards, (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
+        .withColumn("own", own)
+        .select(
+            "node", "value", "block", "bits", "own",
+            F.explode(F.sequence("own", F.col("trees") - 1)).alias("tree"),
+        )
+        .withColumn("member", F.col("tree") == F.col("own"))
+        .drop("own"),
+        "visits",
+    )
+    # Fingerprints alone tell who may be similar to anyone; only of those are shingles needed.
+    met = _in_trees(visits).mapInArrow(_with_company(SIMILAR_RADIUS), "met long").distinct()
+    met = materialize(met, "met")
     wanted = materialize(
-        shared.select("node", *(F.col(c).alias(f"w_{c}") for c in ("id", "v1", "v2"))).distinct(),
+        distinct.join(met, F.col("node") == F.col("met"), "left_semi").select(
+            "node", *(F.col(c).alias(f"w_{c}") for c in ("id", "v1", "v2"))
+        ),
         "wanted",
     )
     same = (
@@ -353,42 +414,35 @@ def near_copy_groups(
         & (F.col("v2") == F.col("w_v2"))
         & F.col("id").eqNullSafe(F.col("w_id"))
     )
-    sets = materialize(
-        texts.join(wanted, same)
-        .select("node", "text")
-        .mapInArrow(_shingle_sets(words), "node long, shingles binary"),
-        "shingle_sets",
-    ).withColumnRenamed("node", "set_node")
-    # Rows that repeat an id and a text have one set.
-    sets = sets.dropDuplicates(["set_node"])
-    own = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
-    visits = (
-        shared.withColumn("own", own)
-        .select(
-            "node", "value", "block", "bits", "own",
-            F.explode(F.sequence("own", F.col("trees") - 1)).alias("tree"),
-        )
-        .withColumn("member", F.col("tree") == F.col("own"))
-        .join(sets, F.col("node") == F.col("set_node"))
-        .select("block", "bits", "tree", "member", "node", "value", "shingles")
+    perhaps = texts.join(
+        F.broadcast(_slots(wanted, "w_v1")), _slot("v1") == F.col("slot"), "left_semi"
     )
-    edges = (
-        visits.repartition("block", "bits", "tree")
-        .sortWithinPartitions("block", "bits", "tree", F.desc("member"))
-        .mapInArrow(_search_sets(similarity, SIMILAR_RADIUS), "a long, b long")
+    sets = (
+        perhaps.join(wanted, same)
+        # Rows that repeat an id and a text have one set.
+        .dropDuplicates(["node"])
+        .select("node", "text")
+        .mapInArrow(_shingle_sets(words), "node long, shingles binary")
     )
+    sets = materialize(sets, "shingle_sets").withColumnRenamed("node", "set_node")
+    edges = _in_trees(visits.join(sets, F.col("node") == F.col("set_node")).drop("set_node"))
+    edges = edges.mapInArrow(_search_sets(similarity, SIMILAR_RADIUS), "a long, b long")
     roots = connected_components(edges).withColumnsRenamed({"node": "n", "root": "r"})
     # Texts without words are one group although no shingle links them.
     empty = F.when(F.col("smallest").isNull(), F.lit(-1).cast("long"))
     rooted = materialize(
         distinct.join(roots, F.col("node") == F.col("n"), "left").select(
-            "v1", "v2", "id", F.coalesce(empty, "r", "node").alias("root")
+            "v1", "v2", "id", "rows", F.coalesce(empty, "r", "node").alias("root")
         ),
         "rooted",
     )
-    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("id").alias("component_id"))
+    least = rooted.groupBy(F.col("root").alias("r")).agg(
+        F.min("id").alias("component_id"), F.sum("rows").alias("n_rows")
+    )
     least = materialize(least, "component_ids")
-    return rooted.join(least, F.col("root") == F.col("r")).select("v1", "v2", "component_id")
+    return rooted.join(least, F.col("root") == F.col("r")).select(
+        "v1", "v2", "component_id", "n_rows"
+    )
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
@@ -405,20 +459,20 @@ def keep_one_of_each(
 ) -> DataFrame:
     """The rows of `docs` with the smallest id of each group of near copies, as
     `near_copy_groups` has them; rows that repeat an id and its text stay once."""
-    groups = near_copy_groups(docs, doc_id, text, words, similarity)
-    kept = materialize(groups, "kept").select(
+    groups = near_copy_groups(docs, doc_id, text, words, similarity).where("n_rows > 1")
+    groups = materialize(groups, "groups").select(
         F.col("v1").alias("k1"), F.col("v2").alias("k2"), F.col("component_id").alias("kept_id")
     )
     v1, v2 = text_key(F.coalesce(F.col(text), F.lit("")))
     rows = packed(docs, id=F.col(doc_id), v1=v1, v2=v2)
-    same = (
-        (F.col("v1") == F.col("k1"))
-        & (F.col("v2") == F.col("k2"))
-        & F.col("id").eqNullSafe(F.col("kept_id"))
-    )
-    return unpacked(
-        rows.join(kept, same, "left_semi").dropDuplicates(["id", "v1", "v2"]), docs.columns, []
-    )
+    # Most texts are in no group, nor in a slot with one that is, and stay where they are.
+    slots, in_slot = F.broadcast(_slots(groups, "k1")), _slot("v1") == F.col("slot")
+    alone, unsure = rows.join(slots, in_slot, "left_anti"), rows.join(slots, in_slot, "left_semi")
+    same_text = (F.col("v1") == F.col("k1")) & (F.col("v2") == F.col("k2"))
+    grouped = unsure.join(groups, same_text, "left")
+    chosen = grouped.where("kept_id <=> id OR k1 IS NULL").drop("k1", "k2", "kept_id")
+    once = chosen.dropDuplicates(["id", "v1", "v2"])
+    return unpacked(alone.unionByName(once), docs.columns, [])
 
 
 def near_duplicates(
