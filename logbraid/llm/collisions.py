@@ -30,6 +30,8 @@ HALF_WIDTH = 0.6745
 THRESHOLD = 57
 FIRST_RADIUS, WIDEN = 0.8, 1.1
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 2_048
+# Queries whose counts are held at once, and widenings whose windows are looked up at once.
+QUERIES_AT_ONCE, WIDENINGS_AT_ONCE = 64, 6
 RESULTS = "query_id long, vec_id long, score double"
 
 
@@ -54,41 +56,63 @@ class Index:
         in single precision."""
         unit = queries / lengths(queries)[:, None]
         points = np.column_stack([unit, np.zeros(len(unit))]).astype(np.float32)
-        places = points @ self.lines
-        n = len(self.vectors)
-        counts = np.zeros((len(queries), n), dtype=np.uint8)
-        near = np.full((len(queries), n), -np.inf, dtype=np.float32)
-        lows = np.empty((PROJECTIONS, len(queries)), dtype=np.int64)
-        for line in range(PROJECTIONS):
-            lows[line] = np.searchsorted(self.sorted[line], places[:, line])
+        out = []
+        for first in range(0, len(points), QUERIES_AT_ONCE):
+            some = slice(first, first + QUERIES_AT_ONCE)
+            near = self._near(points[some], k)
+            out += [self._exact(n, query, k) for n, query in zip(near, queries[some])]
+        return out
+
+    def _near(self, points: np.ndarray, k: int) -> np.ndarray:
+        """Per query the inner products with the rows verified, others minus infinity."""
+        n, places = len(self.vectors), (points @ self.lines).T
+        counts = np.zeros((len(points), n), dtype=np.uint8)
+        near = np.full((len(points), n), -np.inf, dtype=np.float32)
+        lows = self._places(places)
         highs = lows.copy()
-        open_queries, radius = np.arange(len(queries)), FIRST_RADIUS
-        while len(open_queries):
-            reach, still = radius * HALF_WIDTH, []
-            below, above = np.empty_like(lows), np.empty_like(highs)
-            for line in range(PROJECTIONS):
-                below[line] = np.searchsorted(self.sorted[line], places[:, line] - reach)
-                above[line] = np.searchsorted(self.sorted[line], places[:, line] + reach, "right")
-            for q in open_queries:
-                # What each window gains below and above.
-                bounds = zip(
-                    self.order, below[:, q].tolist(), lows[:, q].tolist(),
-                    highs[:, q].tolist(), above[:, q].tolist(),
-                )
-                entered = [part for o, a, b, c, d in bounds for part in (o[a:b], o[c:d])]
-                counts[q] += np.bincount(np.concatenate(entered), minlength=n).astype(np.uint8)
-                fresh = np.flatnonzero((counts[q] >= THRESHOLD) & np.isneginf(near[q]))
-                near[q, fresh] = self.points[fresh] @ points[q]
-                done = bool((below[:, q] == 0).all() and (above[:, q] == n).all())
-                if not done and np.isfinite(near[q]).sum() >= k:
-                    kth = np.partition(near[q], n - k)[n - k]
-                    # Of two points of length 1.
-                    done = 2.0 - 2.0 * float(kth) <= radius * radius
-                if not done:
+        open_queries, radius = list(range(len(points))), FIRST_RADIUS
+        while open_queries:
+            # The windows of a few widenings at once, for all queries that are open.
+            radii = radius * WIDEN ** np.arange(WIDENINGS_AT_ONCE)
+            reach = (radii * HALF_WIDTH).astype(np.float32)
+            asked, still = places[:, open_queries, None], []
+            below, above = self._places(asked - reach), self._places(asked + reach, "right")
+            for i, q in enumerate(open_queries):
+                lower = np.column_stack([lows[:, q], below[:, i]])
+                upper = np.column_stack([highs[:, q], above[:, i]])
+                if not self._widen(points[q], counts[q], near[q], k, radii, lower, upper):
+                    lows[:, q], highs[:, q] = lower[:, -1], upper[:, -1]
                     still.append(q)
-            lows, highs = below, above
-            open_queries, radius = np.array(still, dtype=np.int64), radius * WIDEN
-        return [self._exact(near[q], queries[q], k) for q in range(len(queries))]
+            open_queries, radius = still, radii[-1] * WIDEN
+        return near
+
+    def _places(self, values: np.ndarray, side: str = "left") -> np.ndarray:
+        """Where values would stand on each line."""
+        found = [
+            np.searchsorted(line, value.ravel(), side).reshape(value.shape)
+            for line, value in zip(self.sorted, values)
+        ]
+        return np.stack(found)
+
+    def _widen(self, point, counts, near, k, radii, lows, highs) -> bool:
+        """Widen one query's windows until it is done, or say that it is not."""
+        n = len(near)
+        for level, radius in enumerate(radii):
+            # What each window gains below and above.
+            bounds = zip(
+                self.order, lows[:, level + 1].tolist(), lows[:, level].tolist(),
+                highs[:, level].tolist(), highs[:, level + 1].tolist(),
+            )
+            entered = [part for o, a, b, c, d in bounds for part in (o[a:b], o[c:d])]
+            counts += np.bincount(np.concatenate(entered), minlength=n).astype(np.uint8)
+            fresh = np.flatnonzero((counts >= THRESHOLD) & np.isneginf(near))
+            near[fresh] = self.points[fresh] @ point
+            if (lows[:, level + 1] == 0).all() and (highs[:, level + 1] == n).all():
+                return True
+            # Of two points of length 1.
+            if np.count_nonzero(2.0 - 2.0 * near <= radius * radius) >= k:
+                return True
+        return False
 
     def _exact(self, near: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         found = np.flatnonzero(np.isfinite(near))
