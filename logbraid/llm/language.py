@@ -168,15 +168,16 @@ def predict_language(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _Judge(learned)
         for batch in batches:
-            judged = [judge(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    pa.array([j[0] for j in judged], pa.string()),
-                    pa.array([j[1] for j in judged], pa.float64()),
-                ],
-                ["row", *RESULTS],
-            )
+            for part in in_parts(batch, "text"):
+                judged = [judge(t) for t in texts_of(part, "text")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row"),
+                        pa.array([j[0] for j in judged], pa.string()),
+                        pa.array([j[1] for j in judged], pa.float64()),
+                    ],
+                    ["row", *RESULTS],
+                )
 
     rows = packed(docs, text=F.col(text))
     schema = (

@@ -251,10 +251,10 @@ def main_text(html: str, weights: Mapping[str, float]) -> str:
 
 def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[tuple[str, bool]] = Counter()
-    for batch in batches:
-        for html in texts_of(batch, "html"):
-            for token in tokens(html):
-                counts[token.feature, token.labelled] += token.words if token.text else 1
+    pages = (h for b in batches for part in in_parts(b, "html") for h in texts_of(part, "html"))
+    for html in pages:
+        for token in tokens(html):
+            counts[token.feature, token.labelled] += token.words if token.text else 1
     rows = [(feature, n * labelled, n * (not labelled)) for (feature, labelled), n in counts.items()]
     columns = list(zip(*rows)) or [()] * 3
     kinds = (pa.string(), pa.int64(), pa.int64())
