@@ -94,15 +94,20 @@ def _edges(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _part_offsets(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Days to add per part, and the last clock `before` it."""
+    """Days to add per part, and the last clock `before` it.
+
+    One row per group and part, as a table: where Spark knows that they are few, the ticks need
+    no shuffle to meet them.
+    """
     by_part = Window.partitionBy(*keys).orderBy("part")
     so_far = by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     passed = wraps(F.col("first_clock"), F.col("before")) + F.col("runs_before")
-    return (
+    offsets = (
         edges.withColumn("before", F.lag("last_clock").over(by_part))
         .withColumn("runs_before", F.lag("runs", 1, 0).over(by_part))
         .select(*keys, "part", "first_tick", "before", F.sum(passed).over(so_far).alias("offset"))
     )
+    return materialize(offsets, "part_offsets")
 
 
 def clock_parts(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
