@@ -8,7 +8,8 @@ recall of links is audited against every row for a bounded sample of nodes, and
 brings further starts and rounds.
 
 Links are then exact: nodes that near edges connect are compared in blocks, so that saturated
-lists grow to the whole of their neighbourhood. A block's ball tells whether all or none of two
+lists grow to the whole of their neighbourhood. As a list may be full of its own part, blocks of
+parts of more than a list are compared across parts too. A block's ball tells whether all or none of two
 blocks' pairs link; only what it cannot tell is multiplied out. Nothing but counts and one edge
 per node and component leaves a pair of blocks.
 """
@@ -39,6 +40,8 @@ AUDITED, AUDIT_RECALL, ATTEMPTS = 512, 0.98, 3
 BLOCK = 2048
 # How far a similarity of half-precision vectors may be off.
 _SLACK = 0.005
+# How far an angle between balls may be off.
+REACH_SLACK = 1e-6
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -260,6 +263,8 @@ def _balls(rows: pa.Table) -> pa.Table:
         {
             "part": rows["part"].slice(0, 1),
             "block": rows["block"].slice(0, 1),
+            "dim": rows["dim"].slice(0, 1),
+            "blocks": rows["blocks"].slice(0, 1),
             "centre": pa.array([centre.tolist()], pa.list_(pa.float64())),
             "angle": pa.array([angle], pa.float64()),
             "weight": pa.array([int(rows["copies"].to_numpy().sum())], pa.int64()),
@@ -315,22 +320,70 @@ def _compare_blocks(threshold: float):
     return run
 
 
+def _within_reach(limit: float):
+    """Pairs of blocks of different parts whose balls may hold a link, and whether all link."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        columns: list[list] = [[] for _ in range(7)]
+        if left.num_rows and right.num_rows:
+            sides = [{n.removeprefix("r_"): t[n] for n in t.column_names} for t in (left, right)]
+            a, b = sides
+            cosines = np.clip(stacked(a["centre"]) @ stacked(b["centre"]).T, -1.0, 1.0)
+            apart = np.arccos(cosines)
+            angles = a["angle"].to_numpy()[:, None] + b["angle"].to_numpy()[None, :]
+            other = a["part"].to_numpy()[:, None] != b["part"].to_numpy()[None, :]
+            i, j = np.nonzero(other & (apart - angles <= limit + REACH_SLACK))
+            columns = [
+                a["part"].to_numpy()[i], b["part"].to_numpy()[j],
+                a["block"].to_numpy()[i], b["block"].to_numpy()[j],
+                b["weight"].to_numpy()[j],
+                np.minimum(a["least"].to_numpy()[i], b["least"].to_numpy()[j]),
+                (apart + angles < limit - REACH_SLACK)[i, j],
+            ]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["p", "q", "a", "b", "w", "least", "all_link"]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return run
+
+
+def _across_parts(balls: DataFrame, limit: float) -> DataFrame:
+    """Every two blocks of different parts that may hold a link. Each group of balls meets each."""
+    groups = balls.count() // BLOCK + 1
+    own = balls.withColumn("own", F.pmod(F.xxhash64("part", "block"), F.lit(groups)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    left = own.withColumn("other", every).withColumn("mine", F.col("own"))
+    right = own.withColumn("mine", every).withColumn("other", F.col("own"))
+    right = right.select(*(F.col(c).alias("r_" + c) for c in right.columns))
+    return (
+        left.groupBy("dim", "mine", "other")
+        .cogroup(right.groupBy("r_dim", "r_mine", "r_other"))
+        .applyInArrow(
+            _within_reach(limit),
+            "p long, q long, a int, b int, w long, least long, all_link boolean",
+        )
+    )
+
+
 def exact_links(members: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root): the number of rows each node links with in other nodes of its part,
-    in one row per pair of blocks, and the smallest node that those links reach there.
+    or of other parts of more than a list, in one row per pair of blocks, and the smallest node
+    that those links reach there.
 
     `members` has node, part, dim, vector and copies. Parts of up to a block are put together; larger
     ones are cut into blocks, every one of which meets every other of its part unless their
-    balls are too far apart, or so near that all their nodes link.
+    balls are too far apart, or so near that all their nodes link. Lists of nodes in a part of more
+    than `NEIGHBOURS` may be full of their part, so blocks of such parts meet those of others too.
     """
     sizes = materialize(
         members.groupBy(F.col("part").alias("p")).agg(
-            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+            (F.count(F.lit(1)) > NEIGHBOURS).alias("crowded"),
         ),
         "part_sizes",
     )
     placed = members.join(sizes, F.col("part") == F.col("p")).select(
-        "node", "part", "dim", "vector", "copies", "blocks",
+        "node", "part", "dim", "vector", "copies", "blocks", "crowded",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
     placed = materialize(placed, "placed")
@@ -341,19 +394,21 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
         F.lit(0).alias("block"), F.lit(0).alias("other"),
         F.pmod(F.xxhash64("part"), F.lit(bins)).cast("long").alias("bin"),
     )
-    large = placed.where("blocks > 1")
+    crowded = placed.where("blocks > 1 OR crowded")
     balls = materialize(
-        large.groupBy("part", "block").applyInArrow(
+        crowded.groupBy("part", "block").applyInArrow(
             _balls,
-            "part long, block int, centre array<double>, angle double, weight long, least long",
+            "part long, block int, dim int, blocks int, centre array<double>, angle double,"
+            " weight long, least long",
         ),
         "balls",
     )
-    mine = balls.select(
+    large = balls.where("blocks > 1")
+    mine = large.select(
         F.col("part").alias("p"), F.col("block").alias("a"), F.col("centre").alias("ca"),
         F.col("angle").alias("aa"), F.col("least").alias("la"),
     )
-    theirs = balls.select(
+    theirs = large.select(
         F.col("part").alias("q"), F.col("block").alias("b"), F.col("centre").alias("cb"),
         F.col("angle").alias("ab"), F.col("weight").alias("w"), F.col("least").alias("lb"),
     )
@@ -361,37 +416,38 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
         F.zip_with("ca", "cb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x
     )
     apart = F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0)))
-    limit, slack = float(np.arccos(threshold)), 1e-6
-    judged = materialize(
+    limit, slack = float(np.arccos(threshold)), REACH_SLACK
+    within = (
         mine.join(theirs, F.col("p") == F.col("q"))
         .withColumn("apart", apart)
         .where(F.col("apart") - F.col("aa") - F.col("ab") <= limit + slack)
         .select(
-            "p", "a", "b", "w", "la", "lb",
+            "p", "q", "a", "b", "w", F.least("la", "lb").alias("least"),
             (
                 (F.col("a") != F.col("b"))
                 & (F.col("apart") + F.col("aa") + F.col("ab") < limit - slack)
             ).alias("all_link"),
-        ),
-        "block_pairs",
+        )
     )
+    judged = within.unionByName(_across_parts(balls, limit))
+    judged = materialize(judged.withColumn("pair", F.xxhash64("p", "q")), "block_pairs")
     in_block = (F.col("part") == F.col("p")) & (F.col("block") == F.col("a"))
-    whole = large.join(judged.where("all_link"), in_block).select(
-        "node", F.col("w").alias("links"), F.least("la", "lb").alias("root")
+    whole = crowded.join(judged.where("all_link"), in_block).select(
+        "node", F.col("w").alias("links"), F.col("least").alias("root")
     )
-    unsure = judged.where("NOT all_link").select("p", "a", "b")
-    left = large.join(unsure, in_block).select(
-        "node", "part", "dim", "vector", "copies", "block", F.col("b").alias("other"),
-        F.lit(-1).cast("long").alias("bin"),
+    unsure = judged.where("NOT all_link").select("p", "q", "a", "b", "pair")
+    left = crowded.join(unsure, in_block).select(
+        "node", F.col("pair").alias("part"), "dim", "vector", "copies", "block",
+        F.col("b").alias("other"), F.lit(-1).cast("long").alias("bin"),
     )
-    right_block = (F.col("part") == F.col("p")) & (F.col("block") == F.col("b"))
-    right = large.join(unsure, right_block).select(
-        "node", "part", "dim", "vector", "copies", F.col("a").alias("block"), F.col("b").alias("other"),
-        F.lit(-1).cast("long").alias("bin"),
+    right_block = (F.col("part") == F.col("q")) & (F.col("block") == F.col("b"))
+    right = crowded.join(unsure, right_block).select(
+        "node", F.col("pair").alias("part"), "dim", "vector", "copies", F.col("a").alias("block"),
+        F.col("b").alias("other"), F.lit(-1).cast("long").alias("bin"),
     )
 
     def grouped(df: DataFrame, prefix: str):
-        # Parts of one block share groups by bin, a larger part has its own.
+        # Parts of one block share groups by bin, pairs of larger ones' blocks have their own.
         group = F.when(F.col("bin") < 0, F.xxhash64("part")).otherwise(F.col("bin"))
         named = df.withColumn("group", group).drop("bin")
         named = named.select(*(F.col(c).alias(prefix + c) for c in named.columns))

@@ -87,6 +87,24 @@ def test_links_of_a_chain_and_of_pairs_at_the_threshold(spark, monkeypatch):
     assert got == plain_links(rows, 0.95)
 
 
+def two_families(random_, size):
+    """Vectors of two families, at a cosine of 0.999 within one and 0.96 between."""
+    axes = np.linalg.qr(random_.standard_normal((24, 2)))[0]
+    angle = float(np.arccos(0.96))
+    centres = axes[:, 0], np.cos(angle) * axes[:, 0] + np.sin(angle) * axes[:, 1]
+    return np.concatenate([cluster(random_, c, size, 0.0045) for c in centres])
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_links_between_families_that_fill_their_lists(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "AUDITED", 0)
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(two_families(np.random.default_rng(2), 60))]
+    got = Counter(tuple(r) for r in neighbours.link_near_duplicates(spark.createDataFrame(rows, VECTORS)).collect())
+    assert {r[2] for r in got} == {0}
+    assert got == plain_links(rows, 0.95)
+
+
 def test_no_vectors_give_no_links(spark):
     none = spark.createDataFrame([], VECTORS)
     assert neighbours.link_near_duplicates(none).count() == 0
