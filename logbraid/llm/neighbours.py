@@ -5,7 +5,7 @@ nodes sorted by code are cut into short runs, and all in a run are compared. In
 node's neighbours, and some of the nodes that name it, are compared with each other, and lists
 keep the nearest. A list whose entries all reach the threshold is saturated and may grow. The
 recall of links is audited against every row for a bounded sample of nodes, and missing recall
-brings further starts and rounds.
+brings further starts and rounds; where those no longer help, the search fails.
 
 Links are then exact: nodes that near edges connect are compared in blocks, so that saturated
 lists grow to the whole of their neighbourhood. As a list may be full of its own part, blocks of
@@ -67,7 +67,17 @@ def _edges(node, near, sim) -> pa.RecordBatch:
 EDGES = "node long, near long, sim float"
 
 
-def _code(attempt: int):
+def starts_for(n: int, threshold: float) -> int:
+    """So many starts that of two nodes at the threshold, among `n` whose codes are spread evenly,
+    `AUDIT_RECALL` of such pairs share a run in one. A sign agrees by the angle between them."""
+    agree = 1 - float(np.arccos(np.clip(threshold, -1.0, 1.0))) / np.pi
+    together = agree ** np.log2(max(2 * n / RUN, 1.0))
+    if together >= AUDIT_RECALL:
+        return STARTS
+    return max(STARTS, int(np.ceil(np.log1p(-AUDIT_RECALL) / np.log1p(-together))))
+
+
+def _code(attempt: int, starts: range):
     """Batches of nodes with a sign code for each start."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +86,7 @@ def _code(attempt: int):
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 units = _half(part.column("unit"), part.num_rows).astype(np.float32)
-                for start in range(STARTS):
+                for start in starts:
                     random = np.random.default_rng((attempt, start, int(dim)))
                     planes = random.standard_normal((int(dim), CODE_BITS), dtype=np.float32)
                     signs = (units @ planes > 0).astype(np.int64)
@@ -182,14 +192,20 @@ def _around(graph: DataFrame, nodes: DataFrame, round_number: int) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, threshold: float, attempt: int = 0) -> DataFrame:
     """(node, near, sim) of approximate nearest neighbours. `nodes` has node, dim and `unit`,
     the vector at length 1 in half precision."""
-    coded = nodes.mapInArrow(
-        _code(attempt), "start int, dim int, code long, node long, unit binary"
-    )
-    runs = coded.repartitionByRange("start", "dim", "code", "node").sortWithinPartitions(
-        "start", "dim", "code", "node"
-    )
-    graph = materialize(_nearest(runs.mapInArrow(_compare_runs, EDGES), threshold), "graph")
-    n = nodes.count()
+    n, graph = nodes.count(), None
+    starts = starts_for(n, threshold)
+    # A few at a time, as each start has a copy of every vector.
+    for first in range(0, starts, STARTS):
+        coded = nodes.mapInArrow(
+            _code(attempt, range(first, min(first + STARTS, starts))),
+            "start int, dim int, code long, node long, unit binary",
+        )
+        runs = coded.repartitionByRange("start", "dim", "code", "node").sortWithinPartitions(
+            "start", "dim", "code", "node"
+        )
+        met = runs.mapInArrow(_compare_runs, EDGES)
+        met = met if graph is None else graph.unionByName(met)
+        graph = materialize(_nearest(met, threshold), "graph")
     for round_number in range(ROUNDS):
         around = _around(graph, nodes, round_number).select("around")
         met = around.mapInArrow(_compare_lists, EDGES)
@@ -204,52 +220,91 @@ def neighbour_graph(nodes: DataFrame, threshold: float, attempt: int = 0) -> Dat
     return graph
 
 
-def _links_of_sample(ids: np.ndarray, sample: dict[int, np.ndarray], threshold: float):
-    by_dim = {dim: (ids[dim], _units(vectors)) for dim, vectors in sample.items()}
+AUDIT = "node long, near long, n long, found long"
+
+
+def _links_of_sample(sample: dict[int, tuple], threshold: float):
+    """Per node of the sample how many links have both ends in its part, and one link to each
+    other part with their number."""
+    by_dim = {dim: (ids, parts, _units(v)) for dim, (ids, parts, v) in sample.items()}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims, out = batch.column("dim").to_numpy(), []
             for dim in np.unique(dims):
-                if int(dim) in by_dim:
-                    part = batch.filter(pa.array(dims == dim))
-                    mine, units = by_dim[int(dim)]
-                    nodes = part.column("node").to_numpy()
-                    sims = _units(stacked(part.column("vector"))) @ units.T
-                    a, b = np.nonzero(sims >= threshold)
-                    other = nodes[a] != mine[b]
-                    out.append((mine[b][other], nodes[a][other], sims[a, b][other]))
-            yield _edges(*(map(np.concatenate, zip(*out)) if out else ((), (), ())))
+                if int(dim) not in by_dim:
+                    continue
+                batch_part = batch.filter(pa.array(dims == dim))
+                mine, my_parts, units = by_dim[int(dim)]
+                nodes = batch_part.column("node").to_numpy()
+                parts = batch_part.column("part").to_numpy()
+                sims = _units(stacked(batch_part.column("vector"))) @ units.T
+                a, b = np.nonzero(sims >= threshold)
+                other = nodes[a] != mine[b]
+                a, b = a[other], b[other]
+                same = parts[a] == my_parts[b]
+                found = np.bincount(b[same], minlength=len(mine))
+                has = np.flatnonzero(found)
+                out.append((mine[has], mine[has], found[has], found[has]))
+                a, b = a[~same], b[~same]
+                keys, first, counts = np.unique(
+                    np.stack([b, parts[a]]), axis=1, return_index=True, return_counts=True
+                )
+                out.append((mine[b[first]], nodes[a[first]], counts, np.zeros_like(counts)))
+            columns = map(np.concatenate, zip(*out)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["node", "near", "n", "found"]
+            )
 
     return run
 
 
-def audit(nodes: DataFrame, near: DataFrame, threshold: float) -> tuple[float, DataFrame]:
-    """(share of the links of `AUDITED` sampled nodes that `near` connects directly, those
-    links). The sample, of fixed size, is compared with every node."""
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDITED).select("node", "dim", "vector")
-    rows = picked.collect()
-    ids, vectors = {}, {}
+def audit(
+    nodes: DataFrame, parts: DataFrame, threshold: float, attempt: int = 0
+) -> tuple[float, DataFrame]:
+    """(share of a node's links that stay in its part, (node, near) of links that do not).
+
+    `AUDITED` nodes of parts larger than a list, and as many others, are compared with every
+    node. Each node's share counts alike, and the lesser mean of the two samples is given, so that
+    the many links of a large part hide no missing pairs. Every attempt has another sample.
+    """
+    sizes = parts.groupBy(F.col("part").alias("sized")).agg(F.count(F.lit(1)).alias("size"))
+    large = materialize(sizes.where(F.col("size") > SATURATED).select("sized"), "large_parts")
+    labels = materialize(
+        nodes.select("node").join(parts, F.col("node") == F.col("of"), "left").select(
+            F.col("node").alias("of"), F.coalesce("part", "node").alias("part")
+        ),
+        "labels",
+    )
+    marked = labels.join(large, F.col("part") == F.col("sized"), "left")
+    by_chance = F.xxhash64(F.lit(attempt), "of")
+    inside, outside = (
+        marked.where(which).orderBy(by_chance, "of").limit(AUDITED).select("of", "part", "sized")
+        for which in ("sized IS NOT NULL", "sized IS NULL")
+    )
+    picked = materialize(inside.unionByName(outside), "audited")
+    rows = nodes.join(F.broadcast(picked), F.col("node") == F.col("of")).collect()
+    sample = {}
     for dim in {r.dim for r in rows}:
-        ids[dim] = np.array([r.node for r in rows if r.dim == dim], dtype=np.int64)
-        vectors[dim] = np.array([r.vector for r in rows if r.dim == dim], dtype=np.float64)
+        mine = [r for r in rows if r.dim == dim]
+        ids, in_parts = (np.array([r[c] for r in mine], dtype=np.int64) for c in ("node", "part"))
+        sample[dim] = ids, in_parts, np.array([r.vector for r in mine], dtype=np.float64)
     links = materialize(
-        nodes.select("node", "dim", "vector").mapInArrow(
-            _links_of_sample(ids, vectors, threshold), EDGES
-        ),
+        nodes.select("node", "dim", "vector")
+        .join(labels, F.col("node") == F.col("of"))
+        .select("node", "part", "dim", "vector")
+        .mapInArrow(_links_of_sample(sample, threshold), AUDIT),
         "audit",
     )
-    true = links.select(F.col("node").alias("a"), F.col("near").alias("b"))
-    # In a neighbourhood of more than a list holds, a link counts as found if both ends are in it.
-    found = true.join(near, (F.col("a") == F.col("of")) , "left").join(
-        near.select(F.col("of").alias("of2"), F.col("part").alias("part2")),
-        F.col("b") == F.col("of2"),
-        "left",
-    )
-    got = found.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("part") == F.col("part2")).alias("found")
-    ).first()
-    return (got.found / got.n if got.n else 1.0), links
+    # At most a row per node of the sample.
+    shares = links.groupBy("node").agg((F.sum("found") / F.sum("n")).alias("share")).collect()
+    is_large = {r.node: r.sized is not None for r in rows}
+    means = [
+        float(np.mean(group))
+        for kind in (True, False)
+        if (group := [r.share for r in shares if is_large[r.node] == kind])
+    ]
+    return min(means, default=1.0), links.where("near <> node").select("node", "near")
 
 
 def _balls(rows: pa.Table) -> pa.Table:
@@ -483,17 +538,21 @@ def link_near_duplicates(
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct_vectors")
     units = materialize(nodes.select("node", "dim", "vector").mapInArrow(_to_units, UNITS), "units")
 
-    edges = None
-    for attempt in range(ATTEMPTS):
+    edges, attempt, best = None, 0, -1.0
+    while True:
         graph = neighbour_graph(units, threshold, attempt)
         found = graph.where(F.col("sim") >= threshold - _SLACK).select("node", "near")
         edges = found if edges is None else edges.unionByName(found).distinct()
         parts = _parts(edges)
-        recall, links = audit(nodes, parts, threshold)
-        log.info("links found of the audited sample: %.4f", recall)
-        edges = materialize(edges.unionByName(links.select("node", "near")), "near_edges")
+        recall, links = audit(nodes, parts, threshold, attempt)
+        log.info("links found of an audited node: %.4f", recall)
+        edges = materialize(edges.unionByName(links), "near_edges")
         if recall >= AUDIT_RECALL:
             break
+        attempt += 1
+        if attempt >= ATTEMPTS and recall <= best:
+            raise RuntimeError(f"only {recall:.4f} of an audited node's links found in {attempt} attempts")
+        best = max(best, recall)
     members = (
         nodes.select("node", "dim", "vector", "copies")
         .join(_parts(edges), F.col("node") == F.col("of"))

@@ -105,6 +105,34 @@ def test_links_between_families_that_fill_their_lists(spark, monkeypatch, block)
     assert got == plain_links(rows, 0.95)
 
 
+def test_starts_grow_with_the_table():
+    assert neighbours.starts_for(100, 0.95) == neighbours.STARTS
+    agree = 1 - np.arccos(0.95) / np.pi
+    for n in (10**5, 10**7, 10**9):
+        together = agree ** np.log2(n / neighbours.RUN)
+        assert 1 - (1 - together) ** neighbours.starts_for(n, 0.95) >= 0.98
+
+
+def test_links_of_a_large_part_hide_no_missing_pairs(spark):
+    random_ = np.random.default_rng(4)
+    pairs = [cluster(random_, random_.standard_normal(24), 2, 0.01) for _ in range(40)]
+    vectors_ = np.concatenate([cluster(random_, random_.standard_normal(24), 300, 0.01), *pairs])
+    rows = [(i, 24, v.astype(float).tolist()) for i, v in enumerate(vectors_)]
+    nodes = spark.createDataFrame(rows, "node long, dim int, vector array<double>")
+    parts = spark.createDataFrame([(i, 0) for i in range(300)], "of long, part long")
+    recall, links = neighbours.audit(nodes, parts, 0.95)
+    assert recall < neighbours.AUDIT_RECALL
+    assert {tuple(sorted(r)) for r in links.collect()} >= {(i, i + 1) for i in range(300, 380, 2)}
+
+
+def test_a_search_that_misses_links_fails(spark, monkeypatch):
+    none = spark.createDataFrame([], "node long, near long")
+    monkeypatch.setattr(neighbours, "neighbour_graph", lambda *a: none.selectExpr("*", "1.0F AS sim"))
+    monkeypatch.setattr(neighbours, "audit", lambda *a: (0.5, none))
+    with pytest.raises(RuntimeError):
+        neighbours.link_near_duplicates(spark.createDataFrame([(1, [1.0], 0)], VECTORS))
+
+
 def test_no_vectors_give_no_links(spark):
     none = spark.createDataFrame([], VECTORS)
     assert neighbours.link_near_duplicates(none).count() == 0
