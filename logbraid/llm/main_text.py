@@ -57,7 +57,8 @@ _ABOUT = frozenset("category format has is js layout no postid status tag type w
 _OF_CONTENT = frozenset("article content entry post story title".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|textarea|iframe|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
+    r"|<(script|style|noscript|template|svg|math|textarea|iframe|xmp)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>",

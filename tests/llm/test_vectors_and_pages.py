@@ -229,6 +229,18 @@ def test_main_text_leaves_out_what_is_around(around):
     assert main_text.main_text(html, WEIGHTS) == want
 
 
+@pytest.mark.parametrize(
+    "tag",
+    [
+        "<svg-icon>", "<math-renderer name='a'>", "<template-x></template-x>", "<script-y/>",
+        "<svg/>", "<svg class=a viewBox='0 0 > 1' />", "<math/>", "<svg><path d='M0'/><text>no</text></svg>",
+    ],
+)
+def test_main_text_goes_on_after_tags_like_those_skipped(tag):
+    html = f"<article><p>one two {tag} three</p><p>four five</p><svg><text>no</text></svg><p>six</article>"
+    assert main_text.main_text(html, WEIGHTS) == "one two three\nfour five\nsix"
+
+
 def test_main_text_passes_over_an_advert_inside():
     html = "<article><p>one two three four<div class=ad>buy now</div><p>five six seven eight</article>"
     assert main_text.main_text(html, WEIGHTS) == "one two three four\nfive six seven eight"
