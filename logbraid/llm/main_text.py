@@ -88,13 +88,23 @@ class Token(NamedTuple):
     labelled: bool
 
 
-def _names_boilerplate(tag: str, attributes: str, labelled: bool) -> bool:
-    if tag in _BOILERPLATE or (tag == "header" and not labelled):
-        return True
-    if not attributes or tag in ("html", "body"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+# Whether an element is boilerplate: not, by a name or as a form, which a page's wrapper may be
+# too, or for sure.
+_NOT, _PERHAPS, _SURELY = range(3)
+
+
+def _boilerplate(tag: str, attributes: str, labelled: bool) -> int:
+    if tag != "form" and (tag in _BOILERPLATE or (tag == "header" and not labelled)):
+        return _SURELY
+    if attributes and tag not in ("html", "body"):
+        if _HIDDEN.search(attributes):
+            return _SURELY
+        if _has_name(attributes):
+            return _PERHAPS
+    return _PERHAPS if tag == "form" else _NOT
+
+
+def _has_name(attributes: str) -> bool:
     for _, value in _ATTRIBUTE.findall(attributes):
         for name in value.strip("\"'").lower().split():
             parts = _PARTS.findall(name)
@@ -106,13 +116,30 @@ def _names_boilerplate(tag: str, attributes: str, labelled: bool) -> bool:
 
 
 class _Open:
-    """The elements that are open, as a browser would have them where tags are missing."""
+    """The elements that are open, as a browser would have them where tags are missing.
+
+    Elements are known by their place among those pushed; `wrappers` are no boilerplate.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, wrappers: frozenset[int] = frozenset(), lifts: bool = True) -> None:
         # Tag, whether it is boilerplate, and how much boilerplate it puts out of force.
         self.stack: list[tuple[str, bool, int]] = []
         self.boilerplate = self.labelled = 0
         self.seen_label = False
+        self.wrappers, self.lifts = wrappers, lifts
+        self.lifted = False
+        # Words so far, and those labelled and in no boilerplate.
+        self.words = self.words_labelled = 0
+        # Of each element that is perhaps boilerplate its place and the words before it, by its
+        # height in the stack while it is open, and then its place and the words in it.
+        self.pushed = 0
+        self.perhaps: dict[int, tuple[int, int, int]] = {}
+        self.closed: list[tuple[int, int, int]] = []
+
+    def count(self, words: int) -> None:
+        self.words += words
+        if self.labelled and not self.boilerplate:
+            self.words_labelled += words
 
     def push(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
@@ -121,12 +148,17 @@ class _Open:
             self._end_item()
         if tag in _VOID:
             return
-        marked, lifted = _names_boilerplate(tag, attributes, bool(self.labelled)), 0
+        kind, lifted = _boilerplate(tag, attributes, bool(self.labelled)), 0
+        marked = kind != _NOT and self.pushed not in self.wrappers
+        if kind == _PERHAPS:
+            self.perhaps[len(self.stack)] = (self.pushed, self.words, self.words_labelled)
+        self.pushed += 1
         if tag in _LABELS:
             # The page's first article, in something that only by its name is boilerplate.
             by_tag = any(m and (t in _BOILERPLATE or t == "header") for t, m, _ in self.stack)
-            if not self.seen_label and not marked and not by_tag:
+            if self.lifts and not self.seen_label and not marked and not by_tag:
                 lifted = self.boilerplate
+                self.lifted = self.lifted or lifted > 0
             self.seen_label = True
             self.labelled += 1
         self.stack.append((tag, marked, lifted))
@@ -142,8 +174,21 @@ class _Open:
         for tag, marked, lifted in self.stack[place:]:
             self.boilerplate -= marked - lifted
             self.labelled -= tag in _LABELS
+        for height in [h for h in self.perhaps if h >= place]:
+            number, words, labelled = self.perhaps.pop(height)
+            self.closed.append((number, self.words - words, self.words_labelled - labelled))
         del self.stack[place:]
 
+    def wrapping(self) -> frozenset[int]:
+        """Elements perhaps boilerplate that hold most of the page's words: forms and names, if
+        no labelled words are beside them."""
+        self._cut(0)
+        return frozenset(
+            number
+            for number, words, labelled in self.closed
+            if 2 * words > self.words and labelled == self.words_labelled
+        )
+
     def _end_paragraph(self) -> None:
         """A paragraph holds no blocks, so a block ends it."""
         for place in range(len(self.stack) - 1, -1, -1):
@@ -163,20 +208,41 @@ class _Open:
 
 
 def tokens(html: str) -> list[Token]:
-    """The page's tags and runs of words, in order."""
-    found = list(_tokens(html))
-    if any(t.labelled and t.feature == "word" for t in found):
+    """The page's tags and runs of words, in order.
+
+    What the markup labels as content is taken as labelled if it has at least as many words as
+    what is beside it; otherwise no token is, and the weights decide.
+    """
+    elements = _Open()
+    found = list(_tokens(html, elements))
+    if wrappers := elements.wrapping():
+        elements = _Open(wrappers)
+        found = list(_tokens(html, elements))
+    inside, beside = _label_words(found)
+    if elements.lifted and inside < beside:
+        found = list(_tokens(html, _Open(wrappers, lifts=False)))
+        inside, beside = _label_words(found)
+    if inside < beside:
+        return [t._replace(labelled=False) for t in found]
+    if inside:
         beside = (t.feature == "word" and not t.labelled for t in found)
         found = [t._replace(feature="~word") if b else t for t, b in zip(found, beside)]
     return found
 
 
-def _tokens(html: str) -> Iterator[Token]:
-    elements, at = _Open(), 0
+def _label_words(found: list[Token]) -> tuple[int, int]:
+    """Words in labelled elements and beside them, but for boilerplate."""
+    words = [(t.words, t.labelled) for t in found if t.feature == "word"]
+    return sum(n for n, labelled in words if labelled), sum(n for n, labelled in words if not labelled)
+
+
+def _tokens(html: str, elements: _Open) -> Iterator[Token]:
+    at = 0
 
     def words(text: str) -> Iterator[Token]:
         found = unescape(text) if "&" in text else text
         n = len(found.split())
+        elements.count(n)
         if n or found:
             feature = "-word" if elements.boilerplate else "word"
             yield Token(feature, n, found, False, bool(elements.labelled))
@@ -254,7 +320,10 @@ def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     counts: Counter[tuple[str, bool]] = Counter()
     pages = (h for b in batches for part in in_parts(b, "html") for h in texts_of(part, "html"))
     for html in pages:
-        for token in tokens(html):
+        found = tokens(html)
+        if not any(t.labelled for t in found):
+            continue
+        for token in found:
             counts[token.feature, token.labelled] += token.words if token.text else 1
     rows = [(feature, n * labelled, n * (not labelled)) for (feature, labelled), n in counts.items()]
     columns = list(zip(*rows)) or [()] * 3

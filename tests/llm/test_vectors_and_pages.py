@@ -241,6 +241,31 @@ def test_main_text_goes_on_after_tags_like_those_skipped(tag):
     assert main_text.main_text(html, WEIGHTS) == "one two three\nfour five\nsix"
 
 
+STORY = "<p>one two three four five six seven</p><p>eight nine ten eleven twelve</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id=content>{}</div><div class=related><article><p>a teaser</article></div>",
+        "<div id=content>{}</div><div class=related><article><p>a teaser</article><article><p>more</article></div>",
+        "<form method=post id=aspnetForm><article>{}</article></form>",
+        "<form method=post><div>{}</div><div class=menu>no</div></form>",
+        "<div class=page-with-sidebar><div>{}</div><div class=sidebar>no</div></div>",
+        "<div class=sidebar-left><form><main>{}</main></form><form>search</form></div>",
+        "<article>{}</article><div class=comments><p>I say that this is a very long thread of replies to it</div>",
+    ],
+)
+def test_main_text_of_pages_whose_marks_mislead(page):
+    want = "one two three four five six seven\neight nine ten eleven twelve"
+    assert main_text.main_text(f"<body>{page.format(STORY)}</body>", WEIGHTS) == want
+
+
+def test_an_unlabelled_story_beside_a_teaser_stays():
+    html = f"<body><div id=content>{STORY}</div><nav>no</nav><article><p>a teaser</article></body>"
+    assert main_text.main_text(html, WEIGHTS).startswith("one two three four five six seven\neight nine")
+
+
 def test_main_text_passes_over_an_advert_inside():
     html = "<article><p>one two three four<div class=ad>buy now</div><p>five six seven eight</article>"
     assert main_text.main_text(html, WEIGHTS) == "one two three four\nfive six seven eight"
