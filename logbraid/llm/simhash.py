@@ -213,14 +213,19 @@ def _smallest_hashes(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]
 
 
 def _sketches(words: int):
-    """Of each text its fingerprint and smallest hashes; none of a text without words."""
+    """Of each text the fingerprint of its distinct shingles and smallest hashes; none of a text
+    without words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in in_parts(batch, "text"):
-                hashes = [shingle_hashes(t, words) for t in texts_of(part, "text")]
+                # Similarity is of sets, so a repeated shingle counts once here.
+                hashes = [
+                    np.unique(np.array(shingle_hashes(t, words), dtype=np.uint64))
+                    for t in texts_of(part, "text")
+                ]
                 counts = np.array([len(h) for h in hashes], dtype=np.int64)
-                flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
+                flat = np.concatenate([*hashes, np.array([], dtype=np.uint64)])
                 prints = majority_bits(flat, counts).view(np.int64)
                 some = np.flatnonzero(counts)
                 smallest = np.stack(_smallest_hashes(flat, counts), axis=1).view(np.int64)

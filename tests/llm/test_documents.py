@@ -331,6 +331,17 @@ def test_trees_link_what_all_pairs_link(spark, tree_size):
     assert components(len(signed), lambda i, j: (i, j) in joined) == want
 
 
+def test_near_copies_that_differ_in_repetition_only(documents):
+    rows = []
+    for n in range(30):
+        single = " ".join(f"s{n}x{i}" for i in range(204))
+        passage = " ".join(f"p{n}x{i}" for i in range(20))
+        for times in (1, 80):
+            rows.append((len(rows), f"{single} " + " ".join([passage] * times), "en", "a", 1))
+    kept = simhash.keep_one_of_each(documents(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 60, 2))
+
+
 def test_near_copies_equal_all_pairs(spark, documents):
     pick = random.Random(9)
     rows, n = [], 0
