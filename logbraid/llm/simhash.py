@@ -35,9 +35,9 @@ SEED, WIDTH = 42, 64
 TREE_SIZE = 4096
 # Trees of whole shingle sets are smaller.
 SET_TREE_SIZE = 512
-# Of two texts whose shingles are as similar as 0.8, one in 600 pairs shares none of so many
+# Of two texts whose shingles are as similar as 0.8, one in 390,000 pairs shares none of so many
 # smallest hashes, and about one in 100,000 differs in more bits.
-SMALLEST, SIMILAR_RADIUS = 4, 24
+SMALLEST, SIMILAR_RADIUS = 8, 24
 # Texts that are surely not among those asked for stay out of a shuffle. Which may be is told by
 # slots of their hashes, whose broadcast is bounded: two million rows of eight bytes.
 SLOTS = 1 << 21

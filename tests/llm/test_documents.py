@@ -342,6 +342,16 @@ def test_near_copies_that_differ_in_repetition_only(documents):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 60, 2))
 
 
+def test_pairs_at_the_threshold_share_a_smallest_hash():
+    random_ = np.random.default_rng(0)
+    pairs, common, own = 4000, 80, 10
+    parts = random_.integers(0, 1 << 63, (pairs, common + 2 * own), dtype=np.uint64)
+    counts = np.full(pairs, common + own)
+    a, b = parts[:, : common + own], np.concatenate([parts[:, :common], parts[:, common + own :]], axis=1)
+    ours, theirs = (simhash._smallest_hashes(x.ravel(), counts) for x in (a, b))
+    assert np.any([x == y for x, y in zip(ours, theirs)], axis=0).all()
+
+
 def test_near_copies_equal_all_pairs(spark, documents):
     pick = random.Random(9)
     rows, n = [], 0
