@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
+from logbraid.llm.byte_pairs import encode_through_words
 from logbraid.llm.collisions import nearest_by_inner_product
 from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
@@ -96,6 +97,17 @@ def pieces_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def byte_pairs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = encode_through_words(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_main_text": main_text_of_pages,
     "op2_budget_mix": budget_mix,
@@ -107,6 +119,7 @@ QUERIES = {
     "op8_rank_order_language": rank_order_language,
     "op9_simhash_bk_trees": simhash_bk_trees,
     "op10_pieces_round_trip": pieces_round_trip,
+    "op13_byte_pairs": byte_pairs_round_trip,
 }
 
 _LINE_DEDUP_SQL = """
