@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logbraid.functions.lineage import materialize
 from logbraid.llm.byte_pairs import encode_through_words
 from logbraid.llm.collisions import nearest_by_inner_product
+from logbraid.llm.collocations import mine_collocations
 from logbraid.llm.language import held_out, learn_profiles, predict_language
 from logbraid.llm.line_dedup import drop_repeated_lines
 from logbraid.llm.main_text import extract_main_text
@@ -97,6 +98,10 @@ def pieces_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def byte_pairs_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     encoded = encode_through_words(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -119,6 +124,7 @@ QUERIES = {
     "op8_rank_order_language": rank_order_language,
     "op9_simhash_bk_trees": simhash_bk_trees,
     "op10_pieces_round_trip": pieces_round_trip,
+    "op12_collocations": phrase_collocations,
     "op13_byte_pairs": byte_pairs_round_trip,
 }
 
@@ -177,7 +183,46 @@ SELECT v AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(r) AS comp
 FROM reached LEFT JOIN counted ON a = v GROUP BY v
 """
 
+_COLLOCATIONS_SQL = """
+WITH lowered AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM lowered),
+split AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM split
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+    FROM split WHERE len(w) > 1
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM split WHERE len(w) > 2),
+f AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING size = 1 OR count(*) >= 10),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+cut AS (
+  SELECT lang, size, phrase, a, k, array_to_string(s[:k], ' ') AS x, array_to_string(s[k + 1:], ' ') AS y
+  FROM (SELECT *, string_split(phrase, ' ') AS s, unnest(range(1, size)) AS k FROM f WHERE size > 1)),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, l.a AS l, r.a AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a))::BIGINT AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase
+      ORDER BY (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a), k) AS cut
+  FROM cut c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y),
+longer AS (
+  SELECT lang, part AS phrase, max(a) AS held FROM (
+    SELECT lang, a, unnest([s[1] || ' ' || s[2], s[2] || ' ' || s[3]]) AS part
+    FROM (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE size = 3)) GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored s LEFT JOIN longer USING (lang, phrase)
+  WHERE cut = 1 AND (size = 3 OR held IS NULL OR 100 * held < 50 * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op12_collocations": _COLLOCATIONS_SQL,
     "op4_nn_descent": _LINKS_SQL,
     "op5_line_dedup": _LINE_DEDUP_SQL,
     "op7_url_rule_sweep": _URL_RULES_SQL,
