@@ -200,11 +200,11 @@ class BytePairs:
         return [raw[a:b].decode(errors="replace") for a, b in zip(ends, ends[1:])]
 
 
-def _blocks(counts: np.ndarray) -> Iterator[slice]:
-    """Documents in order, cut where a block would hold more than its words."""
+def _blocks(counts: np.ndarray, most: int) -> Iterator[slice]:
+    """Documents in order, cut where a block would hold more words than `most`."""
     first = held = 0
     for i, count in enumerate(counts):
-        if held and held + count > BLOCK_WORDS:
+        if held and held + count > most:
             yield slice(first, i)
             first, held = i, 0
         held += int(count)
@@ -226,34 +226,38 @@ def _from_planes(data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(block_words: int):
     """One row per block: its documents' rows and numbers of words, the words' places in the list
     of distinct words, most frequent first, and that list."""
-    block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        lists = batch.column("words")
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        for part in _blocks(counts):
-            words = lists.slice(part.start, part.stop - part.start).flatten()
-            encoded = words.cast(pa.large_string()).dictionary_encode()
-            distinct, codes = encoded.dictionary, encoded.indices.to_numpy()
-            often = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
-            place = np.empty_like(often)
-            place[often] = np.arange(len(often))
-            rows = batch.column("row").slice(part.start, part.stop - part.start)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                    pa.array([counts[part].astype("<i8").tobytes()], pa.binary()),
-                    pa.array([len(codes)], pa.int64()),
-                    pa.array([_planes(place[codes])], pa.binary()),
-                    pa.array([len(distinct)], pa.int64()),
-                    pa.array([packet(word=distinct.take(pa.array(often)))], pa.binary()),
-                ],
-                ["block", "rows", "counts", "n_words", "places", "n_distinct", "distinct"],
-            )
-            block += 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            lists = batch.column("words")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            for part in _blocks(counts, block_words):
+                words = lists.slice(part.start, part.stop - part.start).flatten()
+                encoded = words.cast(pa.large_string()).dictionary_encode()
+                distinct, codes = encoded.dictionary, encoded.indices.to_numpy()
+                often = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
+                place = np.empty_like(often)
+                place[often] = np.arange(len(often))
+                rows = batch.column("row").slice(part.start, part.stop - part.start)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                        pa.array([counts[part].astype("<i8").tobytes()], pa.binary()),
+                        pa.array([len(codes)], pa.int64()),
+                        pa.array([_planes(place[codes])], pa.binary()),
+                        pa.array([len(distinct)], pa.int64()),
+                        pa.array([packet(word=distinct.take(pa.array(often)))], pa.binary()),
+                    ],
+                    ["block", "rows", "counts", "n_words", "places", "n_distinct", "distinct"],
+                )
+                block += 1
+
+    return run
 
 
 def _dealt(parts: int):
@@ -361,7 +365,9 @@ def _block(vocabulary: BytePairs, batch: pa.RecordBatch, i: int) -> Iterator[pa.
         )
 
 
-def encode_through_words(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+def encode_through_words(
+    docs: DataFrame, vocabulary: str, text: str = "text", block_words: int = BLOCK_WORDS
+) -> DataFrame:
     """`docs` with its `ids` as integers, their number `n_tokens`, and the text `decoded` from them.
 
     `vocabulary` is the path of a file on the driver; no token is added to a text, and the string
@@ -379,7 +385,7 @@ def encode_through_words(docs: DataFrame, vocabulary: str, text: str = "text") -
     row = rows.schema["row"].dataType
     coded = materialize(
         rows.mapInArrow(
-            _coded,
+            _coded(block_words),
             T.StructType()
             .add("block", T.LongType())
             .add("rows", T.ArrayType(row))

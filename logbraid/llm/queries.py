@@ -16,6 +16,7 @@ from logbraid.llm.main_text import extract_main_text
 from logbraid.llm.mixing import mix, with_sizes
 from logbraid.llm.neighbours import link_near_duplicates
 from logbraid.llm.pieces import encode_texts
+from logbraid.llm.prefix_trie import prefix_trie, turns_of, with_borrowed_starts
 from logbraid.llm.sharding import shuffle_into_shards
 from logbraid.llm.simhash import near_duplicates
 from logbraid.llm.url_rules import Rule, judge_urls
@@ -98,6 +99,12 @@ def pieces_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trie_of_rebuilt_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turns_of(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    turns = materialize(turns, "placed_turns")
+    return prefix_trie(with_borrowed_starts(turns), turns.where("place = 1").select("conv"))
+
+
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_collocations(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -124,6 +131,7 @@ QUERIES = {
     "op8_rank_order_language": rank_order_language,
     "op9_simhash_bk_trees": simhash_bk_trees,
     "op10_pieces_round_trip": pieces_round_trip,
+    "op11_prefix_trie": trie_of_rebuilt_conversations,
     "op12_collocations": phrase_collocations,
     "op13_byte_pairs": byte_pairs_round_trip,
 }
@@ -183,6 +191,53 @@ SELECT v AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(r) AS comp
 FROM reached LEFT JOIN counted ON a = v GROUP BY v
 """
 
+# The CRC-32 of the id's digits is a fold over them with the usual table of 256 entries.
+_PREFIX_TRIE_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS t),
+own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      md5(concat_ws(':', length(coalesce(role, '')), coalesce(role, ''), coalesce(text, '')))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''),
+    lambda s: ord(s)::BIGINT)), lambda x, y: xor(x >> 8, t[1 + (xor(x, y) & 255)])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM own), crc),
+rebuilt AS (
+  SELECT i.c, o.k, o.role, o.text FROM ids i JOIN own o ON o.c = i.c AND o.k > i.h
+  UNION ALL
+  SELECT i.c, o.k, o.role, o.text FROM ids i JOIN own o ON o.c = i.c - i.c % 20 AND o.k <= i.h),
+turns AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY k) AS depth,
+    md5(concat_ws(':', length(role), role, text)) AS key,
+    len(list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS words
+  FROM rebuilt),
+paths AS (
+  SELECT c, depth, words, string_agg(key, '') OVER (PARTITION BY c ORDER BY depth) AS node FROM turns
+  UNION ALL SELECT c, 0, 0, '' FROM ids),
+nodes AS MATERIALIZED (
+  SELECT node, any_value(depth) AS depth, any_value(words) AS words, min(c) AS least, count(*) AS n,
+    left(node, greatest(length(node) - 32, 0)) AS parent
+  FROM paths GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+valued AS (
+  SELECT x.*, coalesce(n_children, 0) AS n_children, (n - 1) * words AS saved
+  FROM nodes x LEFT JOIN children USING (node)),
+sums AS (
+  SELECT up.node, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved
+  FROM valued v JOIN paths up ON up.c = v.least AND up.depth <= v.depth GROUP BY up.node),
+ends AS (
+  SELECT node, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM (
+    SELECT c, arg_max(node, depth) AS node FROM paths GROUP BY c) GROUP BY node)
+SELECT v.least AS conv_id, v.depth::BIGINT AS depth, p.least AS parent_conv_id, v.n::BIGINT AS n_convs,
+  v.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+  coalesce(ends, sha256('')) AS ends_sha256
+FROM valued v JOIN sums s USING (node) LEFT JOIN ends e USING (node)
+LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.parent
+"""
+
 _COLLOCATIONS_SQL = """
 WITH lowered AS (
   SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
@@ -222,6 +277,7 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang
 """
 
 ORACLES = {
+    "op11_prefix_trie": _PREFIX_TRIE_SQL,
     "op12_collocations": _COLLOCATIONS_SQL,
     "op4_nn_descent": _LINKS_SQL,
     "op5_line_dedup": _LINE_DEDUP_SQL,
