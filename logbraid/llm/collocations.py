@@ -39,7 +39,7 @@ SHARDS = 3
 BITS, PAGE = 1 << 27, 1 << 15
 RANKED = 2000
 # Bytes of text handled at once; one text is never cut.
-PART_BYTES = 1 << 23
+PART_BYTES = 1 << 22
 
 
 def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
@@ -80,20 +80,18 @@ class Words:
         inside = kind == 0
         breaks = np.zeros(len(data) + 1, dtype=bool)  # a text begins
         breaks[bounds] = True
-        first = inside.copy()
+        first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1] | breaks[1:-1]
+        last[:-1] &= ~inside[1:] | breaks[1:-1]
         starts = np.flatnonzero(first)
         # A piece ends at its mark or with its text.
         text = np.searchsorted(bounds, starts, side="right") - 1
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[starts] + text
-        self.group = group[text]
-        last = inside.copy()
-        last[:-1] &= ~inside[1:] | breaks[1:-1]
+        self.piece = (np.cumsum(kind == 2, dtype=np.int32)[starts] + text).astype(np.int32)
+        self.group = group[text].astype(np.int32)
         lengths = np.flatnonzero(last) + 1 - starts
         encoded = strings(_LOWER[data[inside]], lengths).dictionary_encode()
-        self.distinct = encoded.dictionary.to_pylist()
-        self.code = encoded.indices.to_numpy().astype(np.int64)
-        self.hashes = _hashes(self.distinct)[self.code]
+        self.distinct, self.code = encoded.dictionary, encoded.indices.to_numpy()
+        self.hashes = _hashes(self.distinct.to_pylist())
 
     def phrases(self, size: int) -> np.ndarray:
         """Where phrases of this many words begin."""
@@ -102,22 +100,48 @@ class Words:
             return np.zeros(0, dtype=np.int64)
         return np.flatnonzero(self.piece[:last] == self.piece[size - 1 :])
 
-    def hash_at(self, at: np.ndarray, size: int) -> np.ndarray:
-        """Hashes of the phrases that begin there."""
-        out = self.hashes[at]
-        for k in range(1, size):
-            out = _mixed(out, self.hashes[at + k])
+    def at(self, places: np.ndarray, size: int) -> Phrases:
+        codes = [self.code[places + k] for k in range(size)]
+        return Phrases(self, self.group[places], codes)
+
+
+class Phrases:
+    """Phrases of one size by the group they are in and the codes of their words."""
+
+    def __init__(self, words: Words, group: np.ndarray, codes: list[np.ndarray]) -> None:
+        self.words, self.group, self.codes = words, group, codes
+
+    def hashes(self) -> np.ndarray:
+        out = self.words.hashes[self.codes[0]]
+        for code in self.codes[1:]:
+            out = _mixed(out, self.words.hashes[code])
         return out
 
-    def counted(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(one place, number) of each distinct phrase of a group among those that begin there."""
-        ids = self.group[at]
-        for k in range(size):
-            ids = ids * len(self.distinct) + self.code[at + k]
-            if k < size - 1:
-                ids = np.unique(ids, return_inverse=True)[1]
-        _, one, number = np.unique(ids, return_index=True, return_counts=True)
-        return at[one], number
+    def counted(self) -> tuple[Phrases, np.ndarray]:
+        """(the distinct phrases of the groups, how many there are of each)."""
+        columns = [self.group, *self.codes]
+        radix = len(self.words.distinct)
+        if not len(self.group):
+            return self, np.zeros(0, dtype=np.int64)
+        if (int(self.group.max()) + 1) * radix ** len(self.codes) < 1 << 63:
+            key = self.group.astype(np.int64)
+            for code in self.codes:
+                key = key * radix + code
+            key.sort()
+            new = np.r_[True, key[1:] != key[:-1]]
+            number = np.diff(np.r_[np.flatnonzero(new), len(key)])
+            key, found = key[new], []
+            for _ in self.codes:
+                key, code = np.divmod(key, radix)
+                found.append(code)
+            return Phrases(self.words, key, found[::-1]), number
+        found, number = np.unique(np.column_stack(columns), axis=0, return_counts=True)
+        return Phrases(self.words, found[:, 0], [found[:, k + 1] for k in range(len(self.codes))]), number
+
+    def joined(self) -> pa.Array:
+        """The phrases' words with a space between."""
+        words = [self.words.distinct.take(pa.array(code)) for code in self.codes]
+        return pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 class Marked:
@@ -188,13 +212,12 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     """(lang, shard, word, n)."""
 
     def emit(words: Words, named: list[tuple]) -> pa.RecordBatch:
-        at, number = words.counted(words.phrases(1), 1)
-        group = words.group[at]
+        found, number = words.at(words.phrases(1), 1).counted()
         return pa.RecordBatch.from_arrays(
             [
-                _named(named, 0, group, pa.string()),
-                _named(named, 1, group, pa.int64()),
-                pa.array(words.distinct, pa.string()).take(pa.array(words.code[at])),
+                _named(named, 0, found.group, pa.string()),
+                _named(named, 1, found.group, pa.int64()),
+                found.joined(),
                 pa.array(number, pa.int64()),
             ],
             ["lang", "shard", "word", "n"],
@@ -211,41 +234,39 @@ def _group_hashes(named: list[tuple]) -> np.ndarray:
     return _hashes(["\0".join(map(str, g)) for g in named])
 
 
-def _hash_in_group(words: Words, named: list[tuple], at: np.ndarray, size: int) -> np.ndarray:
-    return _mixed(words.hash_at(at, size), _group_hashes(named)[words.group[at]])
+def _in_group(phrases: Phrases, named: list[tuple]) -> np.ndarray:
+    return _mixed(phrases.hashes(), _group_hashes(named)[phrases.group])
+
+
+def _in_language(phrases: Phrases, named: list[tuple]) -> np.ndarray:
+    return _mixed(phrases.hashes(), _group_hashes([g[:1] for g in named])[phrases.group])
 
 
 def _mined(docs: DataFrame, size: int, parts: Broadcast) -> DataFrame:
-    """(lang, shard, hash, whole, n) of phrases of this size in each shard, both of whose parts
-    of one word less are marked. `hash` is of the phrase and its shard, `whole` of the phrase and
-    its language."""
+    """(hash, whole, group, n) of phrases of this size in each shard, both of whose parts of one
+    word less are marked. `hash` is of the phrase and its `group`, a language and shard, `whole`
+    of the phrase and its language. Only numbers are counted, which is cheap."""
 
     def emit(words: Words, named: list[tuple]) -> pa.RecordBatch:
-        marked, at = Marked(parts), words.phrases(size)
+        marked, places = Marked(parts), words.phrases(size)
         for k in (0, 1):
-            at = at[marked.of(_hash_in_group(words, named, at + k, size - 1))]
-        at, number = words.counted(at, size)
-        group = words.group[at]
+            part = words.at(places + k, size - 1)
+            places = places[marked.of(_in_group(part, named))]
+        found, number = words.at(places, size).counted()
         return pa.RecordBatch.from_arrays(
             [
-                _named(named, 0, group, pa.string()),
-                _named(named, 1, group, pa.int64()),
-                _signed(_hash_in_group(words, named, at, size)),
-                _signed(_hash_in_language(words, named, at, size)),
+                _signed(_in_group(found, named)),
+                _signed(_in_language(found, named)),
+                _signed(_group_hashes(named)[found.group]),
                 pa.array(number, pa.int64()),
             ],
-            ["lang", "shard", "hash", "whole", "n"],
+            ["hash", "whole", "group", "n"],
         )
 
     found = docs.mapInArrow(
-        _walk(("lang", "shard"), emit), "lang string, shard long, hash long, whole long, n long"
+        _walk(("lang", "shard"), emit), "hash long, whole long, group long, n long"
     )
-    return found.groupBy("lang", "shard", "hash", "whole").agg(F.sum("n").alias("n"))
-
-
-def _hash_in_language(words: Words, named: list[tuple], at: np.ndarray, size: int) -> np.ndarray:
-    langs = _group_hashes([g[:1] for g in named])
-    return _mixed(words.hash_at(at, size), langs[words.group[at]])
+    return found.groupBy("hash", "whole", "group").agg(F.sum("n").alias("n"))
 
 
 def _counted(docs: DataFrame, longest: int, candidates: Broadcast, support: int) -> DataFrame:
@@ -253,18 +274,16 @@ def _counted(docs: DataFrame, longest: int, candidates: Broadcast, support: int)
 
     def emit(words: Words, named: list[tuple]) -> pa.RecordBatch:
         marked, parts = Marked(candidates), []
-        distinct = pa.array(words.distinct, pa.string())
         for size in range(2, longest + 1):
-            at = words.phrases(size)
-            at, number = words.counted(at[marked.of(_hash_in_language(words, named, at, size))], size)
-            columns = [distinct.take(pa.array(words.code[at + k])) for k in range(size)]
-            phrase = pc.binary_join_element_wise(*columns, " ")
+            places = words.phrases(size)
+            places = places[marked.of(_in_language(words.at(places, size), named))]
+            found, number = words.at(places, size).counted()
             parts.append(
                 pa.RecordBatch.from_arrays(
                     [
-                        _named(named, 0, words.group[at], pa.string()),
-                        phrase,
-                        pa.array([size] * len(at), pa.int32()),
+                        _named(named, 0, found.group, pa.string()),
+                        found.joined(),
+                        pa.array([size] * len(number), pa.int32()),
                         pa.array(number, pa.int64()),
                     ],
                     ["lang", "phrase", "size", "a"],
@@ -277,12 +296,9 @@ def _counted(docs: DataFrame, longest: int, candidates: Broadcast, support: int)
     return counts.where(F.col("a") >= support)
 
 
-def _locally_frequent(counts: DataFrame, shares: DataFrame, support: int) -> DataFrame:
+def _locally_frequent(counts: DataFrame, shares: DataFrame, on: list[str]) -> DataFrame:
     """Those counted in a shard as often as its share of its language's words asks for."""
-    exact = "decimal(38,0)"
-    return counts.join(shares, ["lang", "shard"]).where(
-        F.col("n").cast(exact) * F.col("of_all") >= F.lit(support).cast(exact) * F.col("of_shard")
-    )
+    return counts.join(shares.select(*on, "asked"), on).where("n >= asked")
 
 
 def _scored(phrases: DataFrame, words: DataFrame, longest: int) -> DataFrame:
@@ -363,13 +379,19 @@ def mine_collocations(
     words = materialize(_word_counts(rows), "words_of_shards")
     of_shard = words.groupBy("lang", "shard").agg(F.sum("n").alias("of_shard"))
     of_all = of_shard.groupBy("lang").agg(F.sum("of_shard").alias("of_all"))
-    shares = materialize(of_shard.join(of_all, "lang"), "shares_of_shards")
+    exact = "cast({} as decimal(38,0))".format
+    asked = F.expr(f"({exact(support)} * of_shard + of_all - 1) div {exact('of_all')}")
+    shares = of_shard.join(of_all, "lang").withColumn("asked", asked)
+    named_shares = "lang string, shard long, of_all long, asked long, group long"
+    shares = materialize(
+        shares.select("lang", "shard", "of_all", "asked").mapInArrow(_with_hash, named_shares), "shares"
+    )
 
-    frequent = _locally_frequent(words, shares, support).select("lang", "shard", "word")
+    frequent = _locally_frequent(words, shares, ["lang", "shard"]).select("lang", "shard", "word")
     marked = _mark(frequent.mapInArrow(_hashed_words, "hash long"))
     unions = []
     for size in range(2, longest + 1):
-        mined = _locally_frequent(_mined(rows, size, marked), shares, support)
+        mined = _locally_frequent(_mined(rows, size, marked), shares, ["group"])
         mined = materialize(mined.select("hash", "whole"), f"frequent_{size}")
         unions.append(mined.select(F.col("whole").alias("hash")))
         if size < longest:
@@ -381,7 +403,7 @@ def mine_collocations(
     scored = _not_within_longer(_scored(phrases, in_all, longest), longest, percent)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     scored = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= ranked)
-    totals = shares.select("lang", F.col("of_all").alias("n")).distinct()
+    totals = shares.groupBy("lang").agg(F.max("of_all").alias("n"))
     return scored.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
@@ -394,3 +416,11 @@ def _hashed_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(
             [_signed(_mixed(hashes, _group_hashes(named)[group]))], ["hash"]
         )
+
+
+def _with_hash(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, shard, ...) with the hash of the two as `group`."""
+    for batch in batches:
+        number, named = _groups(batch, "lang", "shard")
+        hashes = _signed(_group_hashes(named)[number]) if len(named) else pa.array([], pa.int64())
+        yield batch.append_column("group", hashes)
