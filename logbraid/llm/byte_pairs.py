@@ -1,12 +1,14 @@
 """Byte-level BPE encoding through a table of distinct words, and decoding through one of pieces.
 
-Spark splits the texts into words, which no piece crosses. A block of documents is held as the
-places of its words in the block's list of distinct words. Those lists are dealt out by a hash of
-the word, so that all blocks' copies of a word meet in one part; each distinct word is encoded
-there, once. The ids go back to the blocks that have the word, and are joined to its places.
+Spark splits the texts into words, which no piece crosses. A block of documents has a sorted list
+of its distinct words. Those lists are dealt out by a hash of the word, so that all blocks' copies
+of a word meet in one part; each distinct word is encoded there, once. The ids go back to the
+blocks that have the word, whose words are then held as places in the list, and are joined by place.
 
 Lists and places travel as packets, one row for many words: a row for each word would be several
-times as large. The vocabulary is read on the driver; its tables, of fixed size, go to the tasks.
+times as large. For the same reason places aren't written but made anew from the texts when the
+ids are there; a block is named by its list, so that it finds its ids whatever task makes it.
+The vocabulary is read on the driver; its tables, of fixed size, go to the tasks.
 """
 
 from __future__ import annotations
@@ -21,13 +23,13 @@ from functools import cached_property, lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
-from logbraid.llm.flat import gather, offsets, opened, packet, strings
+from logbraid.llm.flat import gather, offsets, opened, packet
 from logbraid.llm.rows import row_of, unpacked
 
 # The vocabulary's family splits off these endings, and runs of one class.
@@ -212,12 +214,10 @@ def _blocks(counts: np.ndarray, most: int) -> Iterator[slice]:
         yield slice(first, len(counts))
 
 
-def _planes(codes: np.ndarray) -> bytes:
-    """The codes' low bytes, then their next ones and so on, which compresses better."""
-    return pa.compress(
-        np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(),
-        codec="zstd", asbytes=True,
-    )
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' low bytes, then their next ones and so on, which compresses better."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
 def _from_planes(data: bytes, count: int) -> np.ndarray:
@@ -226,36 +226,80 @@ def _from_planes(data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+@dataclass(frozen=True)
+class Block:
+    """Documents in order: the number of words of each, the sorted list of their `distinct`
+    words, and of each word the place there, as the place among the most `frequent`."""
+
+    rows: pa.Array
+    counts: np.ndarray
+    distinct: pa.Array
+    frequent: np.ndarray
+    places: np.ndarray
+
+    @property
+    def name(self) -> str:
+        digest = xxhash.xxh3_128(pc.binary_length(self.distinct).to_numpy().tobytes())
+        digest.update("".join(self.distinct.to_pylist()).encode())
+        return digest.hexdigest()
+
+
+def _blocks_of(batches: Iterable[pa.RecordBatch], block_words: int) -> Iterator[Block]:
+    for batch in batches:
+        lists = batch.column("words")
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        for part in _blocks(counts, block_words):
+            words = lists.slice(part.start, part.stop - part.start).flatten()
+            encoded = words.cast(pa.large_string()).dictionary_encode()
+            code = encoded.indices.to_numpy()
+            order = pc.sort_indices(encoded.dictionary).to_numpy()
+            often = np.argsort(-np.bincount(code, minlength=len(order)), kind="stable")
+            rank, sorted_at = np.empty_like(often), np.empty_like(order)
+            rank[often], sorted_at[order] = np.arange(len(often)), np.arange(len(order))
+            yield Block(
+                batch.column("row").slice(part.start, part.stop - part.start),
+                counts[part].astype("<i8"),
+                encoded.dictionary.take(pa.array(order)),
+                sorted_at[often],
+                rank[code],
+            )
+
+
+def _listed(block_words: int):
+    """One row per block: its list of distinct words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks_of(batches, block_words):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block.name], pa.string()),
+                    pa.array([len(block.distinct)], pa.int64()),
+                    pa.array([packet(word=block.distinct)], pa.binary()),
+                ],
+                ["block", "n_distinct", "distinct"],
+            )
+
+    return run
+
+
 def _coded(block_words: int):
-    """One row per block: its documents' rows and numbers of words, the words' places in the list
-    of distinct words, most frequent first, and that list."""
+    """One row per block: its documents and the places of their words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            lists = batch.column("words")
-            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            for part in _blocks(counts, block_words):
-                words = lists.slice(part.start, part.stop - part.start).flatten()
-                encoded = words.cast(pa.large_string()).dictionary_encode()
-                distinct, codes = encoded.dictionary, encoded.indices.to_numpy()
-                often = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
-                place = np.empty_like(often)
-                place[often] = np.arange(len(often))
-                rows = batch.column("row").slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                        pa.array([counts[part].astype("<i8").tobytes()], pa.binary()),
-                        pa.array([len(codes)], pa.int64()),
-                        pa.array([_planes(place[codes])], pa.binary()),
-                        pa.array([len(distinct)], pa.int64()),
-                        pa.array([packet(word=distinct.take(pa.array(often)))], pa.binary()),
-                    ],
-                    ["block", "rows", "counts", "n_words", "places", "n_distinct", "distinct"],
-                )
-                block += 1
+        for block in _blocks_of(batches, block_words):
+            whole = pa.array([0, len(block.rows)], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block.name], pa.string()),
+                    pa.ListArray.from_arrays(whole, block.rows),
+                    pa.array([block.counts.tobytes()], pa.binary()),
+                    pa.array([len(block.places)], pa.int64()),
+                    pa.array([_planes(block.places)], pa.binary()),
+                    pa.array([len(block.distinct)], pa.int64()),
+                    pa.array([_planes(block.frequent)], pa.binary()),
+                ],
+                ["block", "rows", "counts", "n_words", "places", "n_distinct", "frequent"],
+            )
 
     return run
 
@@ -273,14 +317,14 @@ def _dealt(parts: int):
                 order = np.argsort(part, kind="stable")
                 named, starts = np.unique(part[order], return_index=True)
                 rows = [
-                    packet(place=at.astype(np.int32), word=words.take(pa.array(at)))
+                    packet(step=_steps(at), word=words.take(pa.array(at)))
                     for at in np.split(order, starts[1:])
                     if len(at)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(named, pa.int64()),
-                        pa.array([block] * len(named), pa.int64()),
+                        pa.array([block] * len(named), pa.string()),
                         pa.array(rows, pa.binary()),
                     ],
                     ["part", "block", "words"],
@@ -289,6 +333,10 @@ def _dealt(parts: int):
     return run
 
 
+def _steps(places: np.ndarray) -> np.ndarray:
+    return np.diff(places, prepend=0).astype(np.int32)
+
+
 def _encoded(vocabulary):
     """A part's distinct words, each encoded once, and their ids back to every block."""
 
@@ -300,20 +348,18 @@ def _encoded(vocabulary):
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
         starts, index = offsets(lengths)[:-1], encoded.indices.to_numpy()
-        out, first = [], 0
-        for p in packets:
+        names = ["block", "places", "n_ids", "ids"]
+        out: dict[str, list] = {n: [] for n in names}
+        first = 0
+        for block, p in zip(part.column("block").to_pylist(), packets):
             at = index[first : first + p.num_rows]
             first += p.num_rows
-            own = lengths[at]
-            out.append(
-                packet(
-                    place=p.column("place"),
-                    ids=pa.LargeListArray.from_arrays(
-                        pa.array(offsets(own)), pa.array(gather(flat, starts[at], own))
-                    ),
-                )
-            )
-        return pa.table({"block": part.column("block"), "ids": pa.array(out, pa.binary())})
+            own = gather(flat, starts[at], lengths[at])
+            known = packet(step=p.column("step"), length=lengths[at].astype(np.int32))
+            for name, value in zip(names, (block, known, len(own), _planes(own))):
+                out[name].append(value)
+        kinds = (pa.string(), pa.binary(), pa.int64(), pa.binary())
+        return pa.table([pa.array(out[n], kind) for n, kind in zip(names, kinds)], names=names)
 
     return run
 
@@ -335,17 +381,17 @@ def _block(vocabulary: BytePairs, batch: pa.RecordBatch, i: int) -> Iterator[pa.
 
     lengths = np.zeros(value("n_distinct"), dtype=np.int64)
     starts, flat, held = np.zeros_like(lengths), [], 0
-    for data in value("ids") or ():
-        known = opened(data)
-        at, ids = known.column("place").to_numpy(), known.column("ids")
-        ends = ids.offsets.to_numpy()
-        lengths[at], starts[at] = np.diff(ends), held + ends[:-1]
-        flat.append(ids.values.to_numpy())
-        held += len(flat[-1])
-    table = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
+    for known in value("known") or ():
+        steps = opened(known["places"])
+        at, own = np.cumsum(steps.column("step").to_numpy()), steps.column("length").to_numpy()
+        lengths[at], starts[at] = own, held + offsets(own)[:-1]
+        flat.append(_from_planes(known["ids"], known["n_ids"]))
+        held += known["n_ids"]
     if not lengths.all():
-        raise RuntimeError("a block's distinct word came back without ids")
-    places = _from_planes(value("places"), value("n_words"))
+        raise RuntimeError("texts came out otherwise when read again; encode a written table")
+    table = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
+    frequent = _from_planes(value("frequent"), len(lengths))
+    places = frequent[_from_planes(value("places"), value("n_words"))]
     counts = np.frombuffer(value("counts"), dtype="<i8")
     rows, begins = batch.column("rows")[i].values, offsets(counts)
     for first in range(0, len(counts), GIVEN_OUT):
@@ -372,7 +418,8 @@ def encode_through_words(
 
     `vocabulary` is the path of a file on the driver; no token is added to a text, and the string
     of a special token is that token. Texts are encoded whole, of any length; a very long one is
-    a block of its own. A NULL or empty text has no ids. Repeated rows come out alike, an empty
+    a block of its own. The texts are read twice and must come out alike, as from a table; else the
+    job fails. A NULL or empty text has no ids. Repeated rows come out alike, an empty
     table gives an empty result, and columns named as the results are replaced.
     """
     spark = docs.sparkSession
@@ -382,31 +429,34 @@ def encode_through_words(
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     words = words_of(whole, word_pattern(spark), loaded.special)
     rows = docs.select(row_of(docs, without), words.alias("words"))
-    row = rows.schema["row"].dataType
-    coded = materialize(
-        rows.mapInArrow(
-            _coded(block_words),
-            T.StructType()
-            .add("block", T.LongType())
-            .add("rows", T.ArrayType(row))
-            .add("counts", T.BinaryType())
-            .add("n_words", T.LongType())
-            .add("places", T.BinaryType())
-            .add("n_distinct", T.LongType())
-            .add("distinct", T.BinaryType()),
-        ),
-        "coded_words",
+    listed = materialize(
+        rows.mapInArrow(_listed(block_words), "block string, n_distinct long, distinct binary"),
+        "distinct_words",
     )
-    total = coded.agg(F.sum("n_distinct")).first()[0] or 0
-    dealt = coded.select("block", "distinct").mapInArrow(
-        _dealt(-(-total // PART_WORDS) or 1), "part long, block long, words binary"
+    total = listed.agg(F.sum("n_distinct")).collect()[0][0] or 0
+    dealt = listed.select("block", "distinct").mapInArrow(
+        _dealt(-(-total // PART_WORDS) or 1), "part long, block string, words binary"
+    )
+    encoded = dealt.groupBy("part").applyInArrow(
+        _encoded(shared), "block string, places binary, n_ids long, ids binary"
+    )
+    packets = F.collect_list(F.struct("places", "n_ids", "ids"))
+    known = encoded.groupBy("block").agg(packets.alias("known"))
+    coded = rows.mapInArrow(
+        _coded(block_words),
+        T.StructType()
+        .add("block", T.StringType())
+        .add("rows", T.ArrayType(rows.schema["row"].dataType))
+        .add("counts", T.BinaryType())
+        .add("n_words", T.LongType())
+        .add("places", T.BinaryType())
+        .add("n_distinct", T.LongType())
+        .add("frequent", T.BinaryType()),
     )
-    encoded = dealt.groupBy("part").applyInArrow(_encoded(shared), "block long, ids binary")
-    known = encoded.groupBy("block").agg(F.collect_list("ids").alias("ids"))
-    assembled = coded.drop("distinct").join(known, "block", "left").mapInArrow(
+    assembled = coded.join(known, "block", "left").mapInArrow(
         _assembled(shared),
         T.StructType()
-        .add("row", row)
+        .add("row", rows.schema["row"].dataType)
         .add("ids", T.ArrayType(T.IntegerType()))
         .add("n_tokens", T.LongType())
         .add("decoded", T.StringType()),
