@@ -1,4 +1,4 @@
-"""Parquet tables partitioned by session: landed logs and keyed targets."""
+"""Tables partitioned by session: landed logs, keyed targets, and rows kept by session."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from logbraid.functions.lineage import materialize
 from logbraid.operators.normalize import of_sessions
 from logbraid.operators.order import in_order
 from logbraid.operators.target import collapse
+from logbraid.sources.generations import Generations
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, TargetSpec
 
 
@@ -72,41 +72,52 @@ def touched_partitions(
     return existing.join(touched.where(F.col(KEY) >= ""), KEY, "left_semi")
 
 
+def read_target(
+    spark: SparkSession, path: str, target: TargetSpec, sessions: Iterable[str] | None = None
+) -> DataFrame:
+    """The keyed target at `path`, as the last write that took effect left it. Named sessions read
+    only their own partitions; a target never written is empty."""
+    return Generations(spark, path, target.schema).read(sessions)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
     updates: DataFrame,
     target: TargetSpec,
     sessions: Iterable[str] | None = None,
+    is_table: bool = False,
 ) -> DataFrame:
     """Upsert into the target at `path`, in order of event time within each session, and return
     the updates refused: those without a whole key.
 
-    Only partitions of sessions in `updates` are read and replaced; `sessions` may name them, or
-    more, so that they are known before anything is read. The updates are computed once, before
-    anything is replaced.
+    The write takes effect all at once or, if it stops before its end, not at all. Only partitions
+    of sessions in `updates` are read and written anew; `sessions` may name them, or more, so that
+    they are known before anything is read. `updates` are computed once; those that are read from
+    a table (`is_table`) aren't written once more for that. Raises OtherWrite if another write
+    took effect meanwhile.
     """
-    updates = materialize(updates.select(*target.columns), "updates")
-    merged, refused = valid_updates(updates, target)
-    if _exists(spark, path):
-        existing = read_table(spark, path, target.schema)
-        existing = touched_partitions(existing, merged, sessions)
-        merged = upsert_by_key(existing, merged, target.keys)
-    (
-        in_order(merged, [KEY, EVENT_TS])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(KEY)
-        .parquet(path)
-    )
+    updates = updates.select(*target.columns)
+    updates = updates if is_table else materialize(updates, "updates")
+    table = Generations(spark, path, target.schema)
+    version = table.version()
+    new, refused = valid_updates(updates, target)
+    touched = materialize(new.select(KEY).distinct(), "touched")
+    merged = new
+    if version:
+        existing = touched_partitions(table.read(version=version), touched, sessions)
+        merged = upsert_by_key(existing, new, target.keys)
+    table.replace(merged, [KEY, EVENT_TS], touched, version)
     return refused
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("none string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def replace_sessions(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    sessions: DataFrame,
+    order: Sequence[str] = (KEY, SEQUENCE),
+) -> None:
+    """Put `rows` in the place of all that the table at `path` has of `sessions`, a frame of one
+    column, all at once. A session without rows has none then; NULL is a session too."""
+    Generations(spark, path, rows.schema).replace(rows, list(order), sessions)

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from logbraid.functions.lineage import checkpoint_dir, fresh_folder, materialize, scratch
 from logbraid.operators.order import in_order, with_rank
 from logbraid.sources import jdbc
+from logbraid.sources.generations import Generations, OtherWrite
 from logbraid.sources.lake import (
     land_log,
     read_table,
+    read_target,
+    replace_sessions,
     touched_partitions,
     upsert_by_key,
     upsert_table,
@@ -38,7 +41,7 @@ def test_upsert_table(spark):
     update = frame(("007", hour(1), "A"), ("007", hour(2), "c"), ("9", hour(1), "d"))
     for _ in range(2):
         upsert_table(spark, path, update, target)
-    got = read_table(spark, path, target.schema)
+    got = read_target(spark, path, target)
     assert set(map(tuple, got.select(*target.columns).collect())) == {
         ("007", hour(1), "A"), ("007", hour(2), "c"), ("8", hour(1), "b"), ("9", hour(1), "d"),
     }
@@ -111,7 +114,7 @@ def test_updates_keep_the_key(spark):
     for _ in range(2):
         refused = upsert_table(spark, path, update, target)
         assert sorted(r.v for r in refused.collect()) == ["x", "y"]
-        got = read_table(spark, path, target.schema).collect()
+        got = read_target(spark, path, target).collect()
         assert [(r.sortie_number, r.v) for r in got] == [("S", "new")]
 
 
@@ -122,14 +125,87 @@ def test_upsert_reads_only_touched_sessions(spark, sessions):
     rows = [(f"S{i:02}", datetime(1970, 1, 1, 1), "a") for i in range(50)]
     upsert_table(spark, path, spark.createDataFrame(rows, target.schema), target)
     update = spark.createDataFrame([("S07", datetime(1970, 1, 1, 2), "b")], target.schema)
-    existing = touched_partitions(read_table(spark, path, target.schema), update, sessions)
+    existing = touched_partitions(read_target(spark, path, target), update, sessions)
     assert existing.count() == 1
     executed = existing._jdf.queryExecution().executedPlan()
     existing._jdf.queryExecution().toRdd().count()
     files = files_read(executed, "event_ts#")
     assert files == 1
     upsert_table(spark, path, update, target, sessions)
-    assert read_table(spark, path, target.schema).count() == 51
+    assert read_target(spark, path, target).count() == 51
+
+
+TARGET = TargetSpec("t", ("sortie_number", "event_ts", "v"), ())
+
+
+def target_rows(spark, *rows):
+    return spark.createDataFrame([(s, datetime(1970, 1, 1, h), v) for s, h, v in rows], TARGET.schema)
+
+
+def held(spark, path, **read):
+    return sorted((r[0], r[1].hour, r[2]) for r in Generations(spark, path, TARGET.schema).read(**read).collect())
+
+
+def test_a_write_that_stops_before_its_end_changes_nothing(spark, monkeypatch):
+    path = fresh_folder(spark, "target")
+    first = [("A", 1, "old"), ("B", 1, "old"), ("C", 1, "old")]
+    second = [("A", 1, "new"), ("B", 2, "new"), ("D", 1, "new")]
+    upsert_table(spark, path, target_rows(spark, *first), TARGET)
+    reading = read_target(spark, path, TARGET)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(Generations, "_put_in_force", stop)
+        upsert_table(spark, path, target_rows(spark, *second), TARGET)
+    # All of the new rows are on disk, none is read.
+    assert held(spark, path) == sorted(first)
+    upsert_table(spark, path, target_rows(spark, *second), TARGET)
+    want = sorted([("A", 1, "new"), ("B", 1, "old"), ("B", 2, "new"), ("C", 1, "old"), ("D", 1, "new")])
+    assert held(spark, path) == want
+    # Who read before goes on with what it began with, and the old version can still be had.
+    assert sorted(r.v for r in reading.collect()) == ["old"] * 3
+    assert held(spark, path, version=1) == sorted(first)
+    Generations(spark, path, TARGET.schema).drop_old()
+    assert held(spark, path) == want
+    assert len(os.listdir(f"{path.removeprefix('file:')}/data")) == 2
+    assert not any(n.startswith("staged") for n in os.listdir(path.removeprefix("file:")))
+
+
+def test_the_first_of_two_writes_takes_effect(spark):
+    path = fresh_folder(spark, "target")
+    table = Generations(spark, path, TARGET.schema)
+    key = lambda rows: rows.select("sortie_number")
+    table.replace(rows := target_rows(spark, ("A", 1, "first")), ["event_ts"], key(rows), version=0)
+    with pytest.raises(OtherWrite):
+        table.replace(rows := target_rows(spark, ("A", 1, "late")), ["event_ts"], key(rows), version=0)
+    assert held(spark, path) == [("A", 1, "first")]
+    assert table.version() == 1
+
+
+def test_replaced_sessions_are_left_out_and_dropped(spark):
+    path = fresh_folder(spark, "target")
+    for n in range(4):
+        rows = target_rows(spark, (f"S{n}", 1, "own"), ("all", n, str(n)), ("o'b/x=1 %", 1, str(n)))
+        upsert_table(spark, path, rows, TARGET)
+    want = sorted([(f"S{n}", 1, "own") for n in range(4)] + [("all", n, str(n)) for n in range(4)] + [("o'b/x=1 %", 1, "3")])
+    assert held(spark, path) == want
+    assert held(spark, path, sessions=["all"]) == [w for w in want if w[0] == "all"]
+    for _ in range(2):
+        Generations(spark, path, TARGET.schema).drop_old()
+        assert held(spark, path) == want
+
+
+def test_replaced_rows_of_a_session_are_gone(spark):
+    path = fresh_folder(spark, "rejects")
+    schema = "sortie_number string, message_sequence_number long, why string"
+    frame = lambda *rows: spark.createDataFrame(rows, schema)
+    sessions = lambda *names: spark.createDataFrame([(n,) for n in names], "s string")
+    replace_sessions(spark, path, frame(("A", 1, "x"), ("B", 1, "x"), (None, 1, "x")), sessions("A", "B", None))
+    replace_sessions(spark, path, frame((None, 2, "y")), sessions("A", None))
+    left = Generations(spark, path, frame().schema).read().collect()
+    assert {tuple(r) for r in left} == {("B", 1, "x"), (None, 2, "y")}
 
 
 def files_read(plan, column):
