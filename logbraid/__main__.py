@@ -1,10 +1,12 @@
 """Run an integration job: python -m logbraid <target> --tables <where> --into <where> [options]
 
 Logs and target are folders, or database tables if `--database` names a connection: a JSON file
-with url, driver, user, the name of the environment variable that holds the password, and, to
-read all sessions, the split of each scan (lower, upper, parts). `--tables` and `--into` are then
-prefixes of table names, and `--merge` names a file with the statement that puts the staging
-table `<into><target>_staging` into the keyed target.
+with url, driver, user, the name of the environment variable that holds the password, and, if
+scans aren't to be cut by what the database tells, their split (lower, upper, parts). `--tables`
+and `--into` are then prefixes of table names. Rows go to `<into><target>_staging`, which has the
+columns run_id and part_id too, and from there into the keyed `<into><target>`; `--merge` names a
+file with another statement for that. `<into><target>_staging_runs` (run_id, finished_at) tells
+which runs are whole.
 
 Rows without an event time go to `<target>_rejected`. Without `--sortie` every session is
 integrated. Submit it to a cluster with spark-submit; the master and all resources come from
@@ -39,10 +41,7 @@ def _arguments(arguments: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--sortie", action="append", dest="sessions")
     parser.add_argument("--database", type=Path)
     parser.add_argument("--merge", type=Path)
-    options = parser.parse_args(arguments)
-    if options.database and not options.merge:
-        parser.error("--database needs --merge")
-    return options
+    return parser.parse_args(arguments)
 
 
 def connection_from(path: Path) -> tuple[jdbc.Connection, jdbc.Split | None]:
@@ -68,7 +67,8 @@ def _folders(
         return read_table(spark, f"{options.tables}/{name}", SOURCES[name].schema, options.sessions)
 
     def write(rows: DataFrame, rejected: DataFrame) -> None:
-        upsert_table(spark, f"{options.into}/{target.name}", rows, target, options.sessions)
+        into = f"{options.into}/{target.name}"
+        upsert_table(spark, into, rows, target, options.sessions, is_table=True)
         land_log(rejected, f"{options.into}/{target.name}_rejected")
 
     return read, write
@@ -85,7 +85,10 @@ def _database(
 
     def write(rows: DataFrame, rejected: DataFrame) -> None:
         into = f"{options.into}{target.name}"
-        jdbc.write_staged(rows, connection, f"{into}_staging", options.merge.read_text())
+        staging = f"{into}_staging"
+        merge = jdbc.merge_statement(target, into, staging, f"{staging}_runs")
+        merge = options.merge.read_text() if options.merge else merge
+        jdbc.write_staged(rows, connection, staging, merge)
         jdbc.write_table(rejected, connection, f"{into}_rejected")
 
     return read, write

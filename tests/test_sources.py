@@ -83,11 +83,124 @@ def test_jdbc_options():
     assert "password" not in repr(CONNECTION)
 
 
-def test_a_database_table_is_never_read_in_one_piece(spark):
-    for sessions in (None, []):
-        with pytest.raises(ValueError, match="split"):
-            jdbc.read_table(spark, CONNECTION, "db.tspi", sessions)
-    assert jdbc.session_predicates(["a", "o'b", "a"]) == ["sortie_number = 'a'", "sortie_number = 'o''b'"]
+def test_the_database_is_asked_for_the_extent_of_each_session():
+    named = jdbc.extents_query("db.tspi", ["a", "o'b", "a"])
+    assert named == (
+        "SELECT sortie_number, COUNT(*) AS n, MIN(message_sequence_number) AS least, "
+        "MAX(message_sequence_number) AS highest FROM db.tspi "
+        "WHERE sortie_number IN ('a', 'o''b') GROUP BY sortie_number"
+    )
+    assert "WHERE sortie_number IS NOT NULL GROUP BY" in jdbc.extents_query("db.tspi")
+
+
+def tspi_rows():
+    """One session with a third of all rows, one in few numbers, one without, many small ones."""
+    rows = [("big", 1000 + 3 * i) for i in range(3000)] + [("big", None)] * 40
+    rows += [("narrow", i % 2) for i in range(900)] + [("unnumbered", None)] * 700
+    rows += [(f"s{n}", i) for n in range(80) for i in range(n)] + [("o'b", -5), (None, 1)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def tspi(spark):
+    schema = "sortie_number string, message_sequence_number long"
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(tspi_rows())], f"{schema}, id long").cache()
+
+
+@pytest.mark.parametrize("sessions", [None, ["big", "s7", "o'b", "none"]])
+def test_every_row_meets_one_condition_of_a_scan(tspi, sessions):
+    tspi.createOrReplaceTempView("tspi")
+    told = tspi.sparkSession.sql(jdbc.extents_query("tspi", sessions)).collect()
+    predicates = jdbc.scan_predicates([jdbc.Extent(*r) for r in told], rows_per_task=500)
+    met = tspi.withColumn("met", sum(F.when(F.expr(p), 1).otherwise(0) for p in predicates))
+    wanted = F.col("sortie_number").isNotNull()
+    if sessions is not None:
+        wanted = F.col("sortie_number").isin(*sessions)
+    assert met.where(wanted & (F.col("met") != 1)).count() == 0
+    assert met.where(~wanted & (F.col("met") > 0) | F.col("sortie_number").isNull() & (F.col("met") > 0)).count() == 0
+    sizes = {p: tspi.where(p).count() for p in predicates}
+    # Dense numbers are cut alike; those that are few, or are missing, can't be.
+    assert all(n <= 560 for p, n in sizes.items() if "narrow" not in p and "unnumbered" not in p)
+    big = [n for p, n in sizes.items() if "'big'" in p]
+    assert len(big) == 7 and max(big) < 1.2 * min(big) + 40
+    if sessions is None:
+        assert 7 + 2 + 1 + 3160 // 500 <= len(predicates) <= 25
+
+
+def test_cuts_at_the_edges():
+    cut = lambda *e: jdbc.scan_predicates([jdbc.Extent("S", *e)], 10)
+    assert cut(10, 1, 10) == ["sortie_number = 'S'"]
+    assert cut(100, 5, 5) == cut(100) == ["sortie_number = 'S'"]
+    assert cut(20, 1, 2) == [
+        "sortie_number = 'S' AND (message_sequence_number < 2 OR message_sequence_number IS NULL)",
+        "sortie_number = 'S' AND message_sequence_number >= 2",
+    ]
+    assert jdbc.scan_predicates([]) == []
+    far = cut(30, -(2**63), 2**63 - 1)
+    assert len(far) == 3 and f"< {-(2**63) + 2**64 // 3}" in far[0]
+
+
+def test_the_scan_is_one_task_per_condition(spark, monkeypatch):
+    """The reader is asked for what the database tells, and nothing is read of no sessions."""
+    asked = []
+    monkeypatch.setattr(jdbc, "extents", lambda *_: [jdbc.Extent("a", 25, 1, 25)])
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, *a, **k: asked.append(k["predicates"]) or spark.range(1))
+    jdbc.read_table(spark, CONNECTION, "db.tspi", rows_per_task=10)
+    monkeypatch.setattr(jdbc, "extents", lambda *_: [])
+    jdbc.read_table(spark, CONNECTION, "db.tspi", [])
+    assert len(asked[0]) == 3 and asked[1] == ["1 = 0"]
+
+
+def test_staged_rows_of_the_newest_whole_run(spark):
+    """Tasks run twice, a run that stopped, an older run: in SQL, on the staged rows."""
+    import duckdb
+
+    target = TargetSpec("t", ("sortie_number", "event_ts", "v"), ())
+    rows = target_rows(spark, ("A", 1, "a"), ("A", 2, "b"), ("B", 1, "c")).repartition(2)
+    frame = lambda run, df: jdbc.staged(df, run).toPandas()
+    whole = frame("r2", rows)
+    assert list(whole.columns) == ["sortie_number", "event_ts", "v", "run_id", "part_id"]
+    older = frame("r1", target_rows(spark, ("A", 1, "old"), ("Z", 1, "old")))
+    stopped = frame("r3", target_rows(spark, ("A", 1, "half")))
+    database = duckdb.connect()
+    import pandas as pd
+
+    database.register("staging", pd.concat([older, whole, whole.iloc[:2], stopped]))
+    database.execute("CREATE TABLE staging_runs (run_id VARCHAR, finished_at TIMESTAMP)")
+    select = jdbc.staged_rows(target.columns, target.keys, "staging", "staging_runs")
+    assert database.sql(select).fetchall() == []
+    for run in ("r1", "r2"):
+        database.execute(jdbc.finish_statement("staging_runs", run))
+    for _ in range(2):
+        got = sorted((r[0], r[1].hour, r[2]) for r in database.sql(select).fetchall())
+        assert got == [("A", 1, "a"), ("A", 2, "b"), ("B", 1, "c")]
+    merge = jdbc.merge_statement(target, "t", "staging", "staging_runs")
+    assert merge == f"INSERT INTO t (sortie_number, event_ts, v) {select} ON DUPLICATE KEY UPDATE v = VALUES(v)"
+    database.execute("CREATE TABLE kept AS SELECT * FROM staging")
+    database.execute(jdbc.clear_statement("kept", "staging_runs"))
+    assert database.sql("SELECT DISTINCT run_id FROM kept").fetchall() == [("r2",)]
+
+
+def test_a_run_is_whole_only_after_its_rows(spark, monkeypatch):
+    """Rows first, then the run's name, then the merge; a write that fails names no run."""
+    done = []
+    writer = type(spark.range(1).write)
+    monkeypatch.setattr(writer, "save", lambda self: done.append("rows"))
+    monkeypatch.setattr(jdbc, "_execute", lambda s, c, statements: done.extend(statements))
+    run = jdbc.write_staged(target_rows(spark, ("A", 1, "a")), CONNECTION, "db.t_staging", "MERGE")
+    assert done == [
+        "rows", jdbc.finish_statement("db.t_staging_runs", run), "MERGE",
+        jdbc.clear_statement("db.t_staging", "db.t_staging_runs"),
+    ]
+
+    def fail(self):
+        raise OSError
+
+    done.clear()
+    monkeypatch.setattr(writer, "save", fail)
+    with pytest.raises(OSError):
+        jdbc.write_staged(target_rows(spark, ("A", 1, "a")), CONNECTION, "db.t_staging", "MERGE")
+    assert done == []
 
 
 def test_a_connection_file_holds_no_password(tmp_path, monkeypatch):
