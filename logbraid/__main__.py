@@ -8,7 +8,8 @@ columns run_id and part_id too, and from there into the keyed `<into><target>`;
 file with another statement for that. `<into><target>_staging_runs` (run_id, finished_at) tells
 which runs are whole.
 
-Rows without an event time go to `<target>_rejected`. Without `--sortie` every session is
+Rows without an event time go to `<target>_rejected`, with their clock as it was read and the
+reason; in folders those of an earlier run of the same sessions are replaced. Without `--sortie` every session is
 integrated. Submit it to a cluster with spark-submit; the master and all resources come from
 there.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logbraid.functions.lineage import materialize, scratch
 from logbraid.plans.integrate import integrate
 from logbraid.sources import jdbc
-from logbraid.sources.lake import land_log, read_table, upsert_table
+from logbraid.sources.lake import read_table, replace_sessions, upsert_table
 from logbraid.sources.registry import SOURCES, TARGETS, TargetSpec
 
 log = logging.getLogger("logbraid")
@@ -69,7 +70,7 @@ def _folders(
     def write(rows: DataFrame, rejected: DataFrame) -> None:
         into = f"{options.into}/{target.name}"
         upsert_table(spark, into, rows, target, options.sessions, is_table=True)
-        land_log(rejected, f"{options.into}/{target.name}_rejected")
+        replace_sessions(spark, f"{into}_rejected", rejected, options.sessions)
 
     return read, write
 

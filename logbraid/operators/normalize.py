@@ -27,11 +27,25 @@ def rename_columns(df: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def normalize(
-    df: DataFrame, spec: SourceSpec, sessions: Iterable[str] | None = None
+    df: DataFrame,
+    spec: SourceSpec,
+    sessions: Iterable[str] | None = None,
+    as_read: str | None = None,
 ) -> DataFrame:
-    """Declared columns under their common names, with malformed clocks made NULL."""
-    chosen = rename_columns(of_sessions(df, sessions), spec)
-    return chosen.withColumn(spec.clock, valid_clock(F.col(spec.clock)))
+    """Declared columns under their common names, with malformed clocks made NULL. The clock as it
+    was read can be kept under the name `as_read`."""
+    return _with_valid_clock(rename_columns(of_sessions(df, sessions), spec), spec, as_read)
+
+
+def without_session(df: DataFrame, spec: SourceSpec, as_read: str | None = None) -> DataFrame:
+    """What `normalize` leaves out in every case: rows of no session, in the same form."""
+    return _with_valid_clock(rename_columns(df.where(F.col(KEY).isNull()), spec), spec, as_read)
+
+
+def _with_valid_clock(df: DataFrame, spec: SourceSpec, as_read: str | None) -> DataFrame:
+    if as_read:
+        df = df.withColumn(as_read, F.col(spec.clock))
+    return df.withColumn(spec.clock, valid_clock(F.col(spec.clock)))
 
 
 def processed(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,27 @@ def collapse(df: DataFrame, keys: Sequence[str], sequence: str = SEQUENCE) -> Da
     return df.selectExpr("*", f"{rank} AS __rank").where("__rank = 1").drop("__rank")
 
 
+# What a reject has beside the target's columns, and why it is one.
+REJECTED_CLOCK, REASON = "rejected_clock", "reason"
+NO_SESSION, NO_CLOCK = "no session", "no clock"
+MALFORMED_CLOCK, DAY_OUT_OF_RANGE = "malformed clock", "day out of range"
+
+
+def reject_schema(schema: T.StructType) -> T.StructType:
+    """The target's columns, the clock as it was read, and the reason."""
+    return T.StructType(schema.fields).add(REJECTED_CLOCK, T.StringType()).add(REASON, T.StringType())
+
+
+def reject_reason(session: Column, clock: Column, as_read: Column) -> Column:
+    """Why a row without an event time has none; `clock` is the valid one."""
+    return (
+        F.when(session.isNull(), NO_SESSION)
+        .when(as_read.isNull(), NO_CLOCK)
+        .when(clock.isNull(), MALFORMED_CLOCK)
+        .otherwise(DAY_OUT_OF_RANGE)
+    )
+
+
 def split_valid(df: DataFrame, ts: str = EVENT_TS) -> tuple[DataFrame, DataFrame]:
     """(rows with an event time, rows without one)."""
     return df.where(F.col(ts).isNotNull()), df.where(F.col(ts).isNull())

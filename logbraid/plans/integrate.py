@@ -7,21 +7,31 @@ from datetime import timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
 from logbraid.functions.times import DEFAULT_BASE_DATE
 from logbraid.operators.fuse import fuse_chosen, latest_partners, pack, unpack
-from logbraid.operators.normalize import normalize
-from logbraid.operators.target import project_to_target
+from logbraid.operators.normalize import normalize, without_session
+from logbraid.operators.target import (
+    REASON,
+    REJECTED_CLOCK,
+    project_to_target,
+    reject_reason,
+    reject_schema,
+)
 from logbraid.plans.placement import Placement
-from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, TargetSpec
+from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, SOURCE_TABLE, SourceSpec, TargetSpec
 
 # Fixed value: how far apart in time rows may be to describe one moment.
 TOLERANCE = timedelta(seconds=1)
 
 
 class Integration:
-    """`rows` in the target's schema, one per key; `rejected` spine rows have no event time.
+    """`rows` in the target's schema, one per key. `rejected` are spine rows without an event time
+    and, if no sessions were named, rows of any log without a session; beside the target's columns
+    they have their clock as it was read and the reason, so that they can be repaired.
 
     Each is planned on first use; both share one pass over keys and clocks.
     """
@@ -62,19 +72,22 @@ def integrate(
         s.name: [c for c in target.columns if c in s.merge_columns and c not in target.keys]
         for s in target.sources
     }
-    rows = reduce(
-        _union,
-        (
-            normalize(read(s.name), s, sessions).selectExpr(
+
+    def packed(log: Callable[[SourceSpec], DataFrame]) -> DataFrame:
+        logs = (
+            log(s).selectExpr(
                 KEY,
                 SEQUENCE,
                 f"{s.clock} AS clock",
+                REJECTED_CLOCK,
                 f"'{s.name}' AS source",
                 pack(s.name, columns[s.name]),
             )
             for s in target.sources
-        ),
-    )
+        )
+        return reduce(_union, logs)
+
+    rows = packed(lambda s: normalize(read(s.name), s, sessions, REJECTED_CLOCK))
     placement = Placement(rows, "clock", list(columns), base_date)
     if sessions is not None:
         placement.warn_of_missing(sessions)
@@ -86,11 +99,20 @@ def integrate(
         # As a table its size is known, so that few chosen ticks are broadcast to the logs.
         partners = materialize(partners, "partners")
         same_tick = [(SEQUENCE, "seq"), ("clock", "clock")]
-        chosen = fuse_chosen(rows, partners, columns, [KEY], same_tick, EVENT_TS, "source")
-        return _to_target(chosen, target)
+        chosen = fuse_chosen(rows.drop(REJECTED_CLOCK), partners, columns, [KEY], same_tick, EVENT_TS, "source")
+        return _to_target(chosen, target.schema)
 
     def rejected() -> DataFrame:
-        return _to_target(placement.timeless.selectExpr(KEY, "source", *unpack(columns)), target)
+        lost = placement.timeless
+        if sessions is None:
+            lost = lost.unionByName(
+                packed(lambda s: without_session(read(s.name), s, REJECTED_CLOCK))
+            )
+        reason = reject_reason(F.col(KEY), F.col("clock"), F.col(REJECTED_CLOCK))
+        lost = lost.withColumn(REASON, reason).selectExpr(
+            KEY, "source", REJECTED_CLOCK, REASON, *unpack(columns)
+        )
+        return _to_target(lost, reject_schema(target.schema))
 
     return Integration(fused, rejected)
 
@@ -99,5 +121,5 @@ def _union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def _to_target(df: DataFrame, target: TargetSpec) -> DataFrame:
-    return project_to_target(df.withColumnRenamed("source", SOURCE_TABLE), target.schema)
+def _to_target(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return project_to_target(df.withColumnRenamed("source", SOURCE_TABLE), schema)

@@ -102,11 +102,15 @@ class Generations:
         return rows.select(*self.schema.names)
 
     def replace(
-        self, rows: DataFrame, order: list[str], sessions: DataFrame, version: int | None = None
+        self,
+        rows: DataFrame,
+        order: list[str],
+        sessions: DataFrame | None,
+        version: int | None = None,
     ) -> int:
-        """Put `rows` in the place of all rows of `sessions`, a frame of one column, and return
-        the new version. Sessions without rows are empty then. `rows` of other sessions than
-        those must not be there.
+        """Put `rows` in the place of all rows of `sessions`, a frame of one column, or of the
+        whole table, and return the new version. Sessions without rows are empty then. `rows` of
+        other sessions than those must not be there.
 
         `version` is the one that `rows` were made from. Raises OtherWrite if it isn't in force.
         """
@@ -114,8 +118,10 @@ class Generations:
         generation = uuid.uuid4().hex
         into = f"{self._data}/{GENERATION}={generation}"
         in_order(rows.select(*self.schema.names), order).write.partitionBy(KEY).parquet(into)
-        touched = sessions.toDF("__key").distinct()
         old = self._entries(version)
+        if sessions is None:
+            sessions = rows.select(KEY).unionByName(old.select(KEY))
+        touched = sessions.toDF("__key").distinct()
         seen = F.col("__seen").isNotNull()
         replaced = old.join(
             touched.withColumn("__seen", F.lit(True)),

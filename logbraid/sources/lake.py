@@ -115,9 +115,19 @@ def replace_sessions(
     spark: SparkSession,
     path: str,
     rows: DataFrame,
-    sessions: DataFrame,
+    sessions: Iterable[str] | None = None,
     order: Sequence[str] = (KEY, SEQUENCE),
 ) -> None:
-    """Put `rows` in the place of all that the table at `path` has of `sessions`, a frame of one
-    column, all at once. A session without rows has none then; NULL is a session too."""
-    Generations(spark, path, rows.schema).replace(rows, list(order), sessions)
+    """Put `rows`, read from a table, in the place of all that the table at `path` has of the
+    named sessions, or of all it has, at once. A session without rows has none then."""
+    named = None
+    if sessions is not None:
+        named = spark.createDataFrame([(s,) for s in sessions], f"`{KEY}` string")
+    Generations(spark, path, rows.schema).replace(rows, list(order), named)
+
+
+def read_kept(
+    spark: SparkSession, path: str, schema: T.StructType, sessions: Iterable[str] | None = None
+) -> DataFrame:
+    """What `replace_sessions` has put at `path`."""
+    return Generations(spark, path, schema).read(sessions)

@@ -9,6 +9,7 @@ from event_logs import (
     EVENT_COLUMNS,
     EVENTS,
     SESSION,
+    UNNAMED_EVERY,
     USER_SESSION,
     clock_with_gaps,
     event_type_of,
@@ -53,9 +54,12 @@ def _valid(clock: str) -> str:
     return f"CASE WHEN {clock} < '24' THEN {clock} END"
 
 
-def _log(spec: SourceSpec) -> str:
-    """A declared layout, normalized."""
+def _log(spec: SourceSpec, some_unnamed: bool = False) -> str:
+    """A declared layout, normalized, and its clock as it was."""
     columns = log_columns(spec, _clock)
+    if some_unnamed:
+        columns[KEY] = f"CASE WHEN event_id % {UNNAMED_EVERY} <> 0 THEN {columns[KEY]} END"
+    columns["rejected_clock"] = columns[spec.clock]
     columns[spec.clock] = _valid(f"({columns[spec.clock]})")
     return (
         "SELECT "
@@ -82,10 +86,11 @@ def _unwrapped(rows: str, clock: str, group: str = KEY) -> str:
         FROM (WITH rows AS ({rows}) {_day(clock, group)})"""
 
 
-def _processed(spec: SourceSpec) -> str:
+def _processed(spec: SourceSpec, *more: str, some_unnamed: bool = False) -> str:
+    columns = [*spec.normalized_columns, *more, EVENT_TS]
     return (
-        f"SELECT {_list(spec.normalized_columns)}, {EVENT_TS}, '{spec.name}' AS {SOURCE_TABLE} "
-        f"FROM ({_unwrapped(_log(spec), spec.clock)})"
+        f"SELECT {_list(columns)}, '{spec.name}' AS {SOURCE_TABLE} "
+        f"FROM ({_unwrapped(_log(spec, some_unnamed), spec.clock)})"
     )
 
 
@@ -124,19 +129,27 @@ def _integrated(
         f"QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY n, place) = 1)"
     )
 
+    def held(n: str) -> list[str]:
+        return [c for c in merged[n] if not (rejected and c == EVENT_TS)]
+
     def as_target(n: str, prefix: str) -> str:
         types = {f.name: "BIGINT" if f.dataType.simpleString() == "bigint" else "VARCHAR" for f in target.schema}
+        types[EVENT_TS] = "TIMESTAMP"
         types |= {f.name: "DOUBLE" for f in target.schema if f.dataType.simpleString() == "double"}
         return ", ".join(
-            (f"{prefix}{c}" if c in merged[n] else f"CAST(NULL AS {types[c]})") + f" AS {c}"
+            (f"{prefix}{c}" if c in held(n) else f"CAST(NULL AS {types[c]})") + f" AS {c}"
             for c in target.columns
             if c != SOURCE_TABLE
         )
 
     if rejected:
+        clocks = {s.name: s.clock for s in target.sources}
         parts = [
-            f"SELECT {as_target(n, 'r.')}, '{n}' AS {SOURCE_TABLE} FROM p_{n} r "
-            f"JOIN mains m ON m.{KEY} = r.{KEY} AND m.main = '{n}' WHERE r.{EVENT_TS} IS NULL"
+            f"""SELECT {as_target(n, 'r.')}, '{n}' AS {SOURCE_TABLE}, r.rejected_clock,
+            CASE WHEN r.{KEY} IS NULL THEN 'no session' WHEN r.rejected_clock IS NULL THEN 'no clock'
+              WHEN r.{clocks[n]} IS NULL THEN 'malformed clock' ELSE 'day out of range' END AS reason
+            FROM p_{n} r LEFT JOIN mains m ON m.{KEY} = r.{KEY}
+            WHERE r.{KEY} IS NULL OR m.main = '{n}' AND r.{EVENT_TS} IS NULL"""
             for n in names
         ]
         return f"WITH {', '.join(ctes)} " + " UNION ALL ".join(parts)
@@ -179,8 +192,8 @@ def _events_processed(session: str = SESSION) -> dict[str, str]:
     }
 
 
-def _logs_processed(target: TargetSpec) -> dict[str, str]:
-    return {s.name: _processed(s) for s in target.sources}
+def _logs_processed(target: TargetSpec, *more: str, some_unnamed: bool = False) -> dict[str, str]:
+    return {s.name: _processed(s, *more, some_unnamed=some_unnamed) for s in target.sources}
 
 
 _ROWS = f"SELECT * REPLACE ({_valid(CLOCK)} AS {CLOCK}) FROM ({_event_rows()})"
@@ -296,13 +309,19 @@ def oracle_sql() -> dict[str, str]:
         "q_missile_integration": _integrated(MISSILE, _logs_processed(MISSILE), FIVE_MINUTES),
         "q_missile_one_second": _integrated(MISSILE, _logs_processed(MISSILE), ONE_SECOND),
         "q_missile_rejected": _integrated(
-            MISSILE, _logs_processed(MISSILE), FIVE_MINUTES, rejected=True
+            MISSILE, _logs_processed(MISSILE, "rejected_clock"), FIVE_MINUTES, rejected=True
+        ),
+        "q_rejects_kept": _integrated(
+            MISSILE,
+            _logs_processed(MISSILE, "rejected_clock", some_unnamed=True),
+            FIVE_MINUTES,
+            rejected=True,
         ),
         "q_plane_state_integration": _integrated(
             PLANE_STATES, _logs_processed(PLANE_STATES), FIVE_MINUTES
         ),
         "q_upsert": _upserted(),
         "q_ordered_output": _ordered(),
-        "q_partitioned_landing": _log(SOURCES["aa_traj"]),
+        "q_partitioned_landing": f"SELECT * EXCLUDE (rejected_clock) FROM ({_log(SOURCES['aa_traj'])})",
         **{f"q_processed_{s.name}": _processed(s) for s in NORMALIZED},
     }

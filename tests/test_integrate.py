@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 import event_logs
 from logbraid import integrate
+from logbraid.functions.lineage import fresh_folder, materialize
 from logbraid.operators import clock as clocks
 from logbraid.operators import fuse
 from logbraid.operators.fuse import pack
 from logbraid.operators.normalize import processed
+from logbraid.operators.target import reject_schema
+from logbraid.sources.lake import read_kept, replace_sessions
 from logbraid.sources.registry import MISSILE, PLANE_STATES, SOURCES
 
 integration = importlib.import_module("logbraid.plans.integrate")
@@ -76,6 +79,7 @@ def test_one_session_by_hand(spark, log_frame):
     assert (got[5].heading, got[5].longitude, got[5].interception_flag) == ("90", None, "1")
     assert got[60].weapon_type is None
     assert [r.message_sequence_number for r in result.rejected.collect()] == [4]
+    assert result.rejected.columns == [*MISSILE.columns, "rejected_clock", "reason"]
 
 
 def test_command_takes_part(spark, log_frame):
@@ -266,6 +270,51 @@ def test_the_command_line_writes_rejects_and_leaves_nothing_behind(spark, log_fr
     with caplog.at_level(logging.INFO):
         main([PLANE_STATES.name, "--tables", tables, "--into", into])
     assert "1 rows" in caplog.text and "3 rejected" in caplog.text
-    rejects = spark.read.parquet(f"{into}/{PLANE_STATES.name}_rejected").collect()
+    schema = reject_schema(PLANE_STATES.schema)
+    rejects = read_kept(spark, f"{into}/{PLANE_STATES.name}_rejected", schema).collect()
     assert {(r.sortie_number, r.message_sequence_number) for r in rejects} == {("S1", 2), ("S2", 1), ("S2", 2)}
     assert {x for x in os.listdir(folder)} - before == set()
+
+
+def test_rejects_say_why_and_are_replaced(spark, log_frame):
+    """One reject of each reason, and a session whose clock is mended for the second run."""
+    spec, path = SOURCES["ir_msl"], fresh_folder(spark, "rejects")
+
+    def row(session, seq, at):
+        return {"sortie_number": session, "message_sequence_number": seq, "satellite_guidance_time": at}
+
+    def rejects(fixed, sessions):
+        tables = empty_tables(spark, MISSILE)
+        mended = "10:00:00.000" if fixed else "10:0:00.000"
+        kept = [row("S1", 1, None), row("S1", 2, "24:00:00.000"), row("S1", 3, "10:00:00.000"),
+                row(None, 4, "10:00:00.000"), row(None, 5, None)]
+        tables["ir_msl"] = log_frame(spec, [*kept, row("S2", 6, mended)])
+        tables["aa_traj"] = log_frame(SOURCES["aa_traj"], [row(None, 7, "?"), *[row("S1", i, None) for i in range(9)]])
+        found = materialize(integrate(MISSILE, tables, sessions).rejected, "rejected")
+        replace_sessions(spark, path, found, sessions)
+        left = read_kept(spark, path, found.schema).collect()
+        return sorted(
+            (r.message_sequence_number, r.sortie_number, r.source_table, r.rejected_clock, r.reason)
+            for r in left
+        )
+
+    first = [
+        (1, "S1", "ir_msl", None, "no clock"),
+        (2, "S1", "ir_msl", "24:00:00.000", "malformed clock"),
+        (4, None, "ir_msl", "10:00:00.000", "no session"),
+        (5, None, "ir_msl", None, "no session"),
+        (7, None, "aa_traj", "?", "no session"),
+    ]
+    broken = (6, "S2", "ir_msl", "10:0:00.000", "malformed clock")
+    for sessions in (None, None, ["S1"], ["S2", "S1"]):
+        assert rejects(False, sessions) == sorted([*first, broken])
+    assert rejects(True, ["S1"]) == sorted([*first, broken])
+    assert rejects(True, ["S2"]) == first
+    assert rejects(True, None) == first
+
+
+def test_a_day_past_all_timestamps_is_a_reason(spark):
+    from logbraid.operators.target import reject_reason
+
+    df = spark.sql("SELECT 'S' AS s, '10:00:00.000' AS c")
+    assert df.select(reject_reason(df.s, df.c, df.c)).first()[0] == "day out of range"

@@ -14,6 +14,7 @@ from logbraid.sources.lake import (
     land_log,
     read_table,
     read_target,
+    read_kept,
     replace_sessions,
     touched_partitions,
     upsert_by_key,
@@ -314,11 +315,12 @@ def test_replaced_rows_of_a_session_are_gone(spark):
     path = fresh_folder(spark, "rejects")
     schema = "sortie_number string, message_sequence_number long, why string"
     frame = lambda *rows: spark.createDataFrame(rows, schema)
-    sessions = lambda *names: spark.createDataFrame([(n,) for n in names], "s string")
-    replace_sessions(spark, path, frame(("A", 1, "x"), ("B", 1, "x"), (None, 1, "x")), sessions("A", "B", None))
-    replace_sessions(spark, path, frame((None, 2, "y")), sessions("A", None))
-    left = Generations(spark, path, frame().schema).read().collect()
-    assert {tuple(r) for r in left} == {("B", 1, "x"), (None, 2, "y")}
+    left = lambda: {tuple(r) for r in read_kept(spark, path, frame().schema).collect()}
+    replace_sessions(spark, path, frame(("A", 1, "x"), ("B", 1, "x"), (None, 1, "x")))
+    replace_sessions(spark, path, frame(("C", 2, "y")), ["A", "C"])
+    assert left() == {("B", 1, "x"), ("C", 2, "y"), (None, 1, "x")}
+    replace_sessions(spark, path, frame((None, 2, "y"), ("B", 3, "z")))
+    assert left() == {("B", 3, "z"), (None, 2, "y")}
 
 
 def files_read(plan, column):
