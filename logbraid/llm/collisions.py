@@ -3,11 +3,13 @@
 Rows are dealt into blocks by a hash of their id, queries likewise, and every block of queries
 meets every block of rows. In a block, vectors are made equally long by one more coordinate, so
 that the largest inner product is the smallest distance, and projected on `PROJECTIONS` random
-lines; each line keeps its rows sorted. A query opens a window around its own place on every
-line and widens all windows by a factor (virtual rehashing). A row in enough windows is verified
-by its inner product. A query is done when its k-th best row is no farther than the radius the
-windows stand for, by which time any row within that radius has been verified with the
-probability below; windows widen until then, however many rows they take in.
+lines; each line has its rows sorted, and each row its rank there. A query opens a window around
+its own place on every line, as wide as the distance asks for at which a sample of the block has
+as many rows as are looked for. A window is a range of ranks, so a row's collisions are counted by
+comparing its ranks, many at a time. A row in enough windows is verified by its inner product. A
+query is done when its k-th best row is no farther than the radius the windows stand for, by which
+time any row within that radius has been verified with the probability below; all windows widen by
+a factor (virtual rehashing) until then, however many rows they take in.
 
 The best k of each block meet per query.
 """
@@ -28,10 +30,12 @@ HALF_WIDTH = 0.6745
 # Windows a row must be in: a row at the radius is in as many with probability 0.91, at 0.9 times
 # the radius with 0.98.
 THRESHOLD = 57
-FIRST_RADIUS, WIDEN = 0.8, 1.1
-ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 2_048
-# Queries whose counts are held at once, and widenings whose windows are looked up at once.
-QUERIES_AT_ONCE, WIDENINGS_AT_ONCE = 64, 6
+WIDEN = 1.1
+ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 8_192, 16_384
+# Rows that tell the first radius; how far a wrong guess costs time, never rows.
+SAMPLED = 2_048
+# Queries whose windows are looked up at once, and rows whose ranks are compared at once.
+QUERIES_AT_ONCE, ROWS_AT_ONCE = 256, 2_048
 RESULTS = "query_id long, vec_id long, score double"
 
 
@@ -47,9 +51,16 @@ class Index:
         random = np.random.default_rng(seed)
         self.lines = random.standard_normal((self.points.shape[1], PROJECTIONS), dtype=np.float32)
         places = self.points @ self.lines
-        order = np.argsort(places, axis=0, kind="stable").T.copy()
+        order = np.argsort(places, axis=0, kind="stable").T
         self.sorted = np.take_along_axis(places.T, order, axis=1)
-        self.order = list(order.astype(np.int32))
+        kind = np.uint16 if len(vectors) < 1 << 16 else np.uint32
+        # By slice of the rows, the rank of each row on each line.
+        ranks = np.empty((PROJECTIONS, len(vectors)), dtype=kind)
+        np.put_along_axis(ranks, order, np.arange(len(vectors), dtype=kind)[None, :], axis=1)
+        cuts = range(0, len(vectors), ROWS_AT_ONCE)
+        self.ranks = [np.ascontiguousarray(ranks[:, c : c + ROWS_AT_ONCE]) for c in cuts]
+        step = -(-len(vectors) // SAMPLED)
+        self.sample = self.points[::step]
 
     def search(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query (rows, inner products) of the best `k` found, and of all that tie with them
@@ -60,65 +71,61 @@ class Index:
         for first in range(0, len(points), QUERIES_AT_ONCE):
             some = slice(first, first + QUERIES_AT_ONCE)
             near = self._near(points[some], k)
-            out += [self._exact(n, query, k) for n, query in zip(near, queries[some])]
+            out += [self._exact(*n, query, k) for n, query in zip(near, queries[some])]
         return out
 
-    def _near(self, points: np.ndarray, k: int) -> np.ndarray:
-        """Per query the inner products with the rows verified, others minus infinity."""
-        n, places = len(self.vectors), (points @ self.lines).T
-        counts = np.zeros((len(points), n), dtype=np.uint8)
-        near = np.full((len(points), n), -np.inf, dtype=np.float32)
-        lows = self._places(places)
-        highs = lows.copy()
-        open_queries, radius = list(range(len(points))), FIRST_RADIUS
-        while open_queries:
-            # The windows of a few widenings at once, for all queries that are open.
-            radii = radius * WIDEN ** np.arange(WIDENINGS_AT_ONCE)
-            reach = (radii * HALF_WIDTH).astype(np.float32)
-            asked, still = places[:, open_queries, None], []
-            below, above = self._places(asked - reach), self._places(asked + reach, "right")
-            for i, q in enumerate(open_queries):
-                lower = np.column_stack([lows[:, q], below[:, i]])
-                upper = np.column_stack([highs[:, q], above[:, i]])
-                if not self._widen(points[q], counts[q], near[q], k, radii, lower, upper):
-                    lows[:, q], highs[:, q] = lower[:, -1], upper[:, -1]
-                    still.append(q)
-            open_queries, radius = still, radii[-1] * WIDEN
-        return near
-
-    def _places(self, values: np.ndarray, side: str = "left") -> np.ndarray:
-        """Where values would stand on each line."""
-        found = [
-            np.searchsorted(line, value.ravel(), side).reshape(value.shape)
-            for line, value in zip(self.sorted, values)
-        ]
-        return np.stack(found)
-
-    def _widen(self, point, counts, near, k, radii, lows, highs) -> bool:
-        """Widen one query's windows until it is done, or say that it is not."""
-        n = len(near)
-        for level, radius in enumerate(radii):
-            # What each window gains below and above.
-            bounds = zip(
-                self.order, lows[:, level + 1].tolist(), lows[:, level].tolist(),
-                highs[:, level].tolist(), highs[:, level + 1].tolist(),
+    def _first_radii(self, points: np.ndarray, k: int) -> np.ndarray:
+        """By the sample, within which radius some more than k rows are."""
+        expected = k * len(self.sample) / len(self.vectors)
+        nth = min(int(expected + 2 * np.sqrt(expected)) + 1, len(self.sample)) - 1
+        products = np.partition(-(points @ self.sample.T), nth, axis=1)[:, nth]
+        # Of two points of length 1.
+        return np.sqrt(np.maximum(2.0 + 2.0 * products, 0.0)) + 1e-3
+
+    def _near(self, points: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the rows verified and their inner products."""
+        n, out = len(self.vectors), [None] * len(points)
+        places, radii = points @ self.lines, self._first_radii(points, k)
+        still = np.arange(len(points))
+        while len(still):
+            # The windows of all queries that are open, line by line.
+            reach = (radii[still] * HALF_WIDTH).astype(np.float32)
+            lows, highs = (
+                np.stack([np.searchsorted(line, asked, side) for line, asked in zip(self.sorted, at.T)])
+                for at, side in (
+                    (places[still] - reach[:, None], "left"),
+                    (places[still] + reach[:, None], "right"),
+                )
             )
-            entered = [part for o, a, b, c, d in bounds for part in (o[a:b], o[c:d])]
-            counts += np.bincount(np.concatenate(entered), minlength=n).astype(np.uint8)
-            fresh = np.flatnonzero((counts >= THRESHOLD) & np.isneginf(near))
-            near[fresh] = self.points[fresh] @ point
-            if (lows[:, level + 1] == 0).all() and (highs[:, level + 1] == n).all():
-                return True
-            # Of two points of length 1.
-            if np.count_nonzero(2.0 - 2.0 * near <= radius * radius) >= k:
-                return True
-        return False
-
-    def _exact(self, near: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        found = np.flatnonzero(np.isfinite(near))
+            unfinished = []
+            for i, q in enumerate(still):
+                found = np.flatnonzero(self._collisions(lows[:, i], highs[:, i]) >= THRESHOLD)
+                near = self.points[found] @ points[q]
+                close = np.count_nonzero(2.0 - 2.0 * near <= radii[q] * radii[q])
+                whole = (lows[:, i] == 0).all() and (highs[:, i] == n).all()
+                if close >= k or whole:
+                    out[q] = (found, near)
+                else:
+                    unfinished.append(q)
+            still = np.array(unfinished, dtype=np.int64)
+            radii[still] *= WIDEN
+        return out
+
+    def _collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """How many windows each row is in; a window holds the ranks from low to below high."""
+        kind = self.ranks[0].dtype
+        first, size = low.astype(kind)[:, None], (high - low).astype(kind)[:, None]
+        # Ranks below the window wrap around to large ones.
+        return np.concatenate(
+            [np.add.reduce((ranks - first) < size, axis=0, dtype=np.uint8) for ranks in self.ranks]
+        )
+
+    def _exact(
+        self, found: np.ndarray, near: np.ndarray, query: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
         if len(found) > k:
-            kth = np.partition(near[found], len(found) - k)[len(found) - k]
-            found = found[near[found] >= kth - 1e-5]
+            kth = np.partition(near, len(found) - k)[len(found) - k]
+            found = found[near >= kth - 1e-5]
         return found, (self.vectors[found] * query).sum(axis=1)
 
 

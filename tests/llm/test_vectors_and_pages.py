@@ -374,3 +374,30 @@ def test_a_rule_without_a_host_no_rules_and_no_urls(spark):
     assert got == {"/x": 2, None: 1} or got == {"b/": 2, None: 1}
     assert {r.verdict for r in url_rules.judge_urls(df, [], otherwise="block").collect()} == {"block"}
     assert url_rules.judge_urls(df.limit(0), rules).count() == 0
+
+
+def test_collisions_counted_by_ranks_equal_windows_gone_through():
+    random_ = np.random.default_rng(5)
+    points = random_.standard_normal((3000, 12))
+    index = collisions.Index(points)
+    lows = random_.integers(0, 3000, collisions.PROJECTIONS)
+    highs = np.minimum(lows + random_.integers(0, 3001, collisions.PROJECTIONS), 3000)
+    # Rows whose windows hold them, line by line, in the sorted order.
+    order = np.argsort(index.points @ index.lines, axis=0, kind="stable").T
+    plain = np.zeros(3000, dtype=int)
+    for line, low, high in zip(order, lows, highs):
+        plain[line[low:high]] += 1
+    assert index._collisions(lows, highs).tolist() == plain.tolist()
+
+
+def test_a_first_radius_too_small_widens(monkeypatch):
+    random_ = np.random.default_rng(6)
+    points = random_.standard_normal((2000, 16))
+    index = collisions.Index(points)
+    want = index.search(points[:40], 10)
+    monkeypatch.setattr(collisions.Index, "_first_radii", lambda self, p, k: np.full(len(p), 0.01))
+    recall = [
+        len(set(a[np.argsort(-s)[:10]]) & set(np.argsort(-(points @ points[i]))[:10])) / 10
+        for i, (a, s) in enumerate(index.search(points[:40], 10))
+    ]
+    assert len(want) == 40 and np.mean(recall) >= 0.9
