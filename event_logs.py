@@ -34,6 +34,7 @@ CLOCK = "satellite_guidance_time"
 EVENT_TYPES = ("signup", "error", "click", "view", "purchase")
 SESSION = "concat('S', user_id % 4)"
 SESSIONS = ("S0", "S1", "S2", "S3")
+LANDED_NUMBERS = 4096  # sequence numbers of a block, where a query lands a log
 UNNAMED_EVERY = 97  # one log row in so many has no session, where a query asks for that
 USER_SESSION = "concat('U', user_id)"
 

@@ -199,7 +199,40 @@ def with_day(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> Data
     of the others by their tick. The join on the group leaves it to Spark whether the groups are
     broadcast, and can be split where a group holds many rows.
     """
-    parts = clock_parts(clock_ticks(df, keys, order, clock), keys)
+    return _days_from(clock_parts(clock_ticks(df, keys, order, clock), keys), df, keys, order, clock)
+
+
+def with_day_onwards(
+    df: DataFrame, keys: Sequence[str], order: str, clock: str, last: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(`df` with its `day`, the last ticks then): as `with_day` of all rows there were, where `df`
+    holds those after the ticks `last` (keys, seq, clock, day), one per group seen before.
+
+    A group's last tick goes through the pass as its first one, on day 0, and the day it was on is
+    added to what follows.
+    """
+    seeds = last.select(*keys, "seq", "clock", F.lit(0).cast("bigint").alias("n"))
+    ticks = clock_ticks(df, keys, order, clock).unionByName(seeds)
+    parts = clock_parts(ticks, keys)
+    before = last.select(*(F.col(k).alias(f"before_{k}") for k in keys), F.col("day").alias("base"))
+
+    def added(days: DataFrame) -> DataFrame:
+        same = [days[k] == before[f"before_{k}"] for k in keys]
+        base = F.coalesce("base", F.lit(0))
+        joined = days.join(before, same, "left").withColumn("day", F.col("day") + base)
+        return joined.select(*days.columns)
+
+    reached = tick_days(parts, keys).groupBy(*keys).agg(F.max(F.struct("seq", "clock", "day")).alias("t"))
+    return (
+        added(_days_from(parts, df, keys, order, clock)),
+        added(reached.select(*keys, "t.seq", "t.clock", "t.day")),
+    )
+
+
+def _days_from(
+    parts: DataFrame, df: DataFrame, keys: Sequence[str], order: str, clock: str
+) -> DataFrame:
+    """`df` with the `day` of its ticks, which are among those in `parts`."""
     groups = materialize(group_ranges(parts, keys), "group_ranges")
     side = groups.withColumnsRenamed({k: f"group_{k}" for k in keys}).withColumn(
         "jittery", F.col("ranges").isNull()

@@ -45,7 +45,7 @@ MALFORMED_CLOCK, DAY_OUT_OF_RANGE = "malformed clock", "day out of range"
 
 def reject_schema(schema: T.StructType) -> T.StructType:
     """The target's columns, the clock as it was read, and the reason."""
-    return T.StructType(schema.fields).add(REJECTED_CLOCK, T.StringType()).add(REASON, T.StringType())
+    return T.StructType([*schema.fields]).add(REJECTED_CLOCK, T.StringType()).add(REASON, T.StringType())
 
 
 def reject_reason(session: Column, clock: Column, as_read: Column) -> Column:

@@ -86,7 +86,7 @@ class Generations:
         named = [row[0] for row in entries.select(GENERATION).distinct().collect()]
         if not named:
             return self.spark.createDataFrame([], self.schema)
-        parted = T.StructType(self.schema.fields).add(GENERATION, T.StringType())
+        parted = T.StructType([*self.schema.fields]).add(GENERATION, T.StringType())
         rows = self.spark.read.schema(parted).parquet(self._data)
         rows = rows.where(F.col(GENERATION).isin(*named))
         if sessions is not None:

@@ -18,6 +18,11 @@ from logbraid.sources.generations import Generations
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE, TargetSpec
 
 
+# The sequence numbers of a block, which is a partition and a file of its own, and its column.
+ROWS_PER_BLOCK = 1 << 20
+BLOCK = "sequence_block"
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -28,17 +33,23 @@ def read_table(
 
     The schema is declared: nothing is inferred, and a session named 007 stays text.
     """
-    df = spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema).parquet(path).select(*schema.names)
     return df if sessions is None else of_sessions(df, sessions)
 
 
-def land_log(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write a source log, partitioned by session.
+def land_log(
+    df: DataFrame, path: str, mode: str = "append", numbers: int = ROWS_PER_BLOCK
+) -> None:
+    """Write a source log, partitioned by session and, within it, by block of `numbers` sequence
+    numbers.
 
-    Rows are ranged by session and sequence first, so that a task writes few partitions and a
-    large session is written by many tasks.
+    A block goes to one task and into one file, in order, so that a session of any size is written
+    by many tasks, and no file or row group of it overlaps another in sequence. Blocks are known
+    without sampling, so that `df` is computed once.
     """
-    in_order(df, [KEY, SEQUENCE]).write.mode(mode).partitionBy(KEY).parquet(path)
+    blocked = df.withColumn(BLOCK, F.floor(F.col(SEQUENCE) / numbers))
+    placed = blocked.repartition(KEY, BLOCK).sortWithinPartitions(KEY, BLOCK, SEQUENCE)
+    placed.write.mode(mode).partitionBy(KEY, BLOCK).parquet(path)
 
 
 def upsert_by_key(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

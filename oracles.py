@@ -322,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q_upsert": _upserted(),
         "q_ordered_output": _ordered(),
+        "q_unwrap_in_two_runs": _processed(SOURCES["aa_traj"]),
         "q_partitioned_landing": f"SELECT * EXCLUDE (rejected_clock) FROM ({_log(SOURCES['aa_traj'])})",
         **{f"q_processed_{s.name}": _processed(s) for s in NORMALIZED},
     }

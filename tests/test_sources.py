@@ -375,3 +375,97 @@ def test_database_times_become_text(spark):
 def test_declared_types_win():
     spec = SourceSpec("s", ("sortie_number", "v"), types={"v": MISSILE.schema["event_ts"].dataType})
     assert spec.schema["v"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_landing_reads_its_input_once_and_keeps_blocks_apart(spark, log_frame):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    spec, path = SOURCES["ir_msl"], fresh_folder(spark, "landed")
+    rows = [{"sortie_number": "big" if n % 9 else f"s{n % 4}", "message_sequence_number": n} for n in range(3000)]
+    rows.append({"sortie_number": "big"})
+    source = fresh_folder(spark, "source")
+    log_frame(spec, rows).repartition(7).write.parquet(source)
+    read = spark.read.schema(spec.schema).parquet(source)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    land_log(read.mapInArrow(counted, spec.schema), path, numbers=500)
+    assert seen.value == len(rows)
+    ranges = []
+    for file in glob.glob(f"{path.removeprefix('file:')}/sortie_number=big/*/*.parquet"):
+        data = pq.ParquetFile(file)
+        column = data.schema_arrow.names.index("message_sequence_number")
+        for i in range(data.num_row_groups):
+            numbers = data.metadata.row_group(i).column(column).statistics
+            if numbers.has_min_max:
+                ranges.append((numbers.min, numbers.max))
+    ranges.sort()
+    assert len(ranges) == 6 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert read_table(spark, path, spec.schema).count() == len(rows)
+    assert read_table(spark, path, spec.schema).columns == list(spec.columns)
+
+
+@pytest.mark.parametrize("cuts", [(40,), (1, 2, 60), (100, 100)])
+def test_runs_one_after_the_other_equal_one_over_all(spark, log_frame, cuts):
+    """Clocks that jitter, are missing at the cuts, and sessions that begin and end anywhere."""
+    import random
+
+    from logbraid.operators.normalize import processed
+    from logbraid.plans.onwards import unwrap_onwards
+
+    spec, pick = SOURCES["ir_msl"], random.Random(sum(cuts))
+    rows = [
+        {
+            "sortie_number": s, "message_sequence_number": n if n > 2 else None if s == "B" else n,
+            "satellite_guidance_time": pick.choice([None, "bad", f"{(n * 5 + pick.randint(0, 3)) % 24:02}:00:00.000"]),
+            "weapon_type": f"{s}{n}",
+        }
+        for s, first, last in (("A", 0, 90), ("B", 0, 50), ("C", 45, 95))
+        for n in range(first, last)
+    ]
+    log, state = (fresh_folder(spark, n) for n in ("log", "state"))
+    got, bounds = [], [-1, *cuts, 1000]
+    for low, high in zip(bounds, bounds[1:]):
+        part = [r for r in rows if low < (r["message_sequence_number"] or 0) <= high]
+        if part:
+            land_log(log_frame(spec, part), log, numbers=10)
+        run = unwrap_onwards(spark, spec, log, state, numbers=10)
+        got += run.rows.collect()
+        # A run that stops before its commit is done again alike.
+        again = unwrap_onwards(spark, spec, log, state, numbers=10)
+        assert sorted(map(str, again.rows.collect())) == sorted(map(str, run.rows.collect()))
+        run.commit()
+    whole = processed(log_frame(spec, rows), spec)
+    assert sorted(map(str, got)) == sorted(map(str, whole.select(*run.rows.columns).collect()))
+    assert unwrap_onwards(spark, spec, log, state, numbers=10).rows.count() == 0
+    with pytest.raises(OtherWrite):
+        again.commit()
+
+
+def test_a_second_run_reads_only_new_blocks(spark, log_frame):
+    from logbraid.plans.onwards import unwrap_onwards
+
+    spec = SOURCES["ir_msl"]
+    log, state = (fresh_folder(spark, n) for n in ("log", "state"))
+
+    def land(first, last):
+        rows = [
+            {"sortie_number": s, "message_sequence_number": n, "satellite_guidance_time": f"{n % 24:02}:00:00.000"}
+            for s in "AB" for n in range(first, last)
+        ]
+        land_log(log_frame(spec, rows), log, numbers=10)
+
+    land(0, 200)
+    unwrap_onwards(spark, spec, log, state, numbers=10).commit()
+    land(200, 220)
+    rows = unwrap_onwards(spark, spec, log, state, numbers=10).rows
+    executed = rows._jdf.queryExecution().executedPlan()
+    assert rows._jdf.queryExecution().toRdd().count() == 40
+    # Per session the two new blocks, and the one that the last tick is in.
+    assert files_read(executed, "weapon_type#") == 6
