@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logbraid.functions.times import bucket, in_micros, micros
 
+log = logging.getLogger(__name__)
+
 
 def band_left_join(
     left: DataFrame,
@@ -79,19 +83,65 @@ def band_left_join(
     )
 
 
+class StarTooLarge(ValueError):
+    """A star of band joins would have more rows than allowed."""
+
+
+def star_sizes(
+    main: DataFrame,
+    others: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    ts: str,
+    tolerance: timedelta,
+) -> DataFrame:
+    """(keys, rows): how many rows `star_band_join` would have per group, without forming them.
+
+    Rows are counted per instant first; a moment's matches in each log are then summed from the
+    counts of that log's instants, and multiplied. So the work grows with pairs of instants, never
+    with the product over the logs. Exact up to 2 to the power 53.
+    """
+    moments = main.groupBy(*keys, ts).agg(F.count(F.lit(1)).cast("double").alias("__matches"))
+    factors = [moments]
+    for other in others.values():
+        counts = other.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("__n"))
+        met = band_left_join(moments.select(*keys, ts), counts, keys, ts, tolerance)
+        matches = F.coalesce(F.sum("__n"), F.lit(1)).cast("double")
+        factors.append(met.groupBy(*keys, ts).agg(matches.alias("__matches")))
+    of_moment = reduce(DataFrame.unionByName, factors).groupBy(*keys, ts)
+    products = of_moment.agg(F.product("__matches").alias("__rows"))
+    return products.groupBy(*keys).agg(F.sum("__rows").alias("rows"))
+
+
+def refuse_large_star(sizes: DataFrame, most_rows: int) -> float:
+    """The rows of all groups of `star_sizes`, logged; raises StarTooLarge if they are more than
+    `most_rows`, and names the largest group."""
+    total, largest = sizes.agg(
+        F.coalesce(F.sum("rows"), F.lit(0.0)),
+        F.max_by(F.struct(*(c for c in sizes.columns)), "rows"),
+    ).collect()[0]
+    log.info("The star of band joins has %.0f rows, at most %d allowed", total, most_rows)
+    if total > most_rows:
+        raise StarTooLarge(f"{total:.0f} rows, most of them of {largest.asDict()}")
+    return total
+
+
 def star_band_join(
     main: DataFrame,
     others: Mapping[str, DataFrame],
     keys: Sequence[str],
     ts: str,
     tolerance: timedelta,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """`main` band-joined to each of `others` in turn, always on main's own time.
 
     Columns of an other log come out as `<log>__<column>`. A row of `main` appears once per
     combination of matches, so the result holds the product of its matches in all logs. It is
-    for those who want them all; no job uses it.
+    for those who want them all; no job uses it. With `most_rows` the product is counted first,
+    and a larger one raises StarTooLarge.
     """
+    if most_rows is not None:
+        refuse_large_star(star_sizes(main, others, keys, ts, tolerance), most_rows)
     star = main
     for name, other in others.items():
         prefixed = other.withColumnsRenamed(

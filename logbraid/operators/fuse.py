@@ -29,13 +29,15 @@ def fuse(
     keys: Sequence[str],
     ts: str,
     tolerance: timedelta,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """The band star with same-named columns coalesced: main first, then `others` in order.
 
     An empty string counts as a value. A column only one log has passes through. The result
-    holds the product of each row's matches in all logs; no job uses it.
+    holds the product of each row's matches in all logs; no job uses it. `most_rows` refuses a
+    larger one, as in `star_band_join`.
     """
-    star = star_band_join(main, others, keys, ts, tolerance)
+    star = star_band_join(main, others, keys, ts, tolerance, most_rows)
     holders: dict[str, list[str]] = {
         c: [quoted(c)] for c in main.columns if c not in (*keys, ts)
     }

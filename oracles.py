@@ -284,6 +284,7 @@ def oracle_sql() -> dict[str, str]:
             f"p.{KEY}, p.ts, p.{SEQUENCE} AS {SEQUENCE}, "
             f"v.{SEQUENCE} AS view__{SEQUENCE}, c.{SEQUENCE} AS click__{SEQUENCE}"
         ),
+        "q_star_rows": f"SELECT {KEY}, count(*) AS rows FROM ({_star(f'p.{KEY}')}) GROUP BY {KEY}",
         "q_coalesce_merge": _star(
             f"p.{KEY}, p.ts, coalesce(p.{SEQUENCE}, v.{SEQUENCE}, c.{SEQUENCE}) AS {SEQUENCE}, "
             "coalesce(p.user_id, c.user_id) AS user_id, coalesce(p.props, c.props) AS props, "
@@ -320,6 +321,9 @@ def oracle_sql() -> dict[str, str]:
         "q_plane_state_integration": _integrated(
             PLANE_STATES, _logs_processed(PLANE_STATES), FIVE_MINUTES
         ),
+        "q_integrate_in_steps": _integrated(
+            PLANE_STATES, _logs_processed(PLANE_STATES), ONE_SECOND
+        ),
         "q_upsert": _upserted(),
         "q_ordered_output": _ordered(),
         "q_unwrap_in_two_runs": _processed(SOURCES["aa_traj"]),

@@ -318,3 +318,44 @@ def test_a_day_past_all_timestamps_is_a_reason(spark):
 
     df = spark.sql("SELECT 'S' AS s, '10:00:00.000' AS c")
     assert df.select(reject_reason(df.s, df.c, df.c)).first()[0] == "day out of range"
+
+
+def test_a_run_that_stops_goes_on_with_the_sessions_left(spark, log_frame, tmp_path):
+    from logbraid.plans.ledger import integrate_in_steps
+    from logbraid.sources.lake import land_log, read_target
+
+    tables, into = str(tmp_path / "tables"), str(tmp_path / "into")
+    spec = SOURCES["command"]
+    row = lambda s, n: {"sortie_number": s, "message_sequence_number": n, "satellite_guidance_time": n and clock(n)}
+    for source in PLANE_STATES.sources:
+        log_frame(source, []).write.parquet(f"{tables}/{source.name}")
+    land_log(log_frame(spec, [row(s, n) for s in ("S1", "S2", "S3") for n in (0, 1, 2)]), f"{tables}/command")
+    asked = []
+
+    def job(target, read, sessions):
+        asked.extend(sessions)
+        if broken and "S2" in sessions:
+            raise OSError("lost")
+        return integrate(target, read, sessions)
+
+    def run():
+        asked.clear()
+        return integrate_in_steps(spark, PLANE_STATES, tables, into, per_step=1, job=job)
+
+    def held():
+        rows = read_target(spark, f"{into}/{PLANE_STATES.name}", PLANE_STATES).collect()
+        return Counter(r.sortie_number for r in rows)
+
+    broken = True
+    with pytest.raises(OSError):
+        run()
+    assert asked == ["S1", "S2"] and held() == {"S1": 2}
+    broken = False
+    assert run() == asked == ["S2", "S3"]
+    assert held() == {"S1": 2, "S2": 2, "S3": 2}
+    assert run() == asked == []
+    # A session whose files are others than entered is done again.
+    land_log(log_frame(spec, [row("S3", 9)]), f"{tables}/command")
+    assert run() == asked == ["S3"] and held() == {"S1": 2, "S2": 2, "S3": 3}
+    rejects = read_kept(spark, f"{into}/{PLANE_STATES.name}_rejected", reject_schema(PLANE_STATES.schema))
+    assert Counter(r.sortie_number for r in rejects.collect()) == {"S1": 1, "S2": 1, "S3": 1}

@@ -150,3 +150,35 @@ def test_star_plan_does_not_grow_by_doubling(spark):
         main, {f"o{i}": other for i in range(n)}, ["k"], "ts", SECOND
     )._jdf.queryExecution().executedPlan().toString().count("Range (0, 5")
     assert scans(4) - scans(3) == scans(3) - scans(2) == scans(2) - scans(1)
+
+
+def test_the_size_of_a_star_is_known_before_it_is_formed(spark, caplog):
+    """A dense toy: repeated instants, logs without rows, NULL times and keys."""
+    import logging
+    import random
+
+    from logbraid.operators.bandjoin import StarTooLarge, star_sizes
+
+    pick = random.Random(3)
+    at = lambda s: None if s is None else datetime(1970, 1, 1) + timedelta(seconds=s)
+
+    def log_of(n, name):
+        rows = [
+            (pick.choice(["A", "A", "B", None]), at(pick.choice([None, *range(12)])), i)
+            for i in range(n)
+        ]
+        return spark.createDataFrame(rows, f"k string, ts timestamp_ntz, {name} long")
+
+    main = log_of(60, "m")
+    others = {"x": log_of(30, "x"), "y": log_of(25, "y"), "none": log_of(0, "z")}
+    for seconds in (0, 2):
+        star = star_band_join(main, others, ["k"], "ts", timedelta(seconds=seconds))
+        want = {r.k: r["count"] for r in star.groupBy("k").count().collect()}
+        sizes = star_sizes(main, others, ["k"], "ts", timedelta(seconds=seconds))
+        assert {r.k: r["rows"] for r in sizes.collect()} == want
+    total = sum(want.values())
+    assert total > 5 * 60
+    with caplog.at_level(logging.INFO), pytest.raises(StarTooLarge, match=f"{total} rows, most of them of .*'{max(want, key=want.get)}'"):
+        fuse(main, others, ["k"], "ts", timedelta(seconds=2), most_rows=total - 1)
+    assert f"has {total} rows" in caplog.text
+    assert fuse(main, others, ["k"], "ts", timedelta(seconds=2), most_rows=total).count() == total
