@@ -52,7 +52,8 @@ def clock_ticks(df: DataFrame, keys: Sequence[str], order: str, clock: str) -> D
 
 def _in_parts(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ticks with their `part`; there the clock `previous` to them, the `run` of days since
-    the part's first tick, the rows `through` them, and whether a run `starts` or `ends`."""
+    the part's first tick, the rows `through` them, whether a run `starts` or `ends`, and whether
+    they are `followed` by a tick of the same instant."""
     parts = ticks.repartitionByRange(*keys, "seq", "clock").withColumn(
         "part", F.spark_partition_id()
     )
@@ -76,6 +77,7 @@ def _in_parts(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
         (F.col("closes") | (wraps(F.col("following"), F.col("clock")) == 1)).alias("ends"),
         F.sum(wrapped).over(so_far).alias("run"),
         F.sum("n").over(so_far).alias("through"),
+        F.coalesce(F.col("following") == F.col("clock"), F.lit(False)).alias("followed"),
     )
 
 
@@ -147,13 +149,14 @@ def group_ranges(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return few.groupBy(*keys).agg(F.when(calm, ranges).alias("ranges"))
 
 
-def tick_days(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, seq, clock, previous, wrapped, day) of every distinct tick. Right for any number
-    of midnights."""
+def tick_days(parts: DataFrame, keys: Sequence[str], only: str = "true") -> DataFrame:
+    """(keys, seq, clock, previous, wrapped, day) of every distinct tick, or of those of a
+    condition. Right for any number of midnights."""
     offsets = _part_offsets(_edges(_bounds(parts), keys), keys)
     opens_part = _tick() == F.col("first_tick")
     return (
-        parts.join(offsets, [*keys, "part"])
+        parts.where(only)
+        .join(offsets, [*keys, "part"])
         .withColumn("previous", F.when(opens_part, F.col("before")).otherwise(F.col("previous")))
         .select(
             *keys,

@@ -81,19 +81,20 @@ def latest_partners(
     source: str,
     is_main: str,
     tolerance: timedelta,
+    latest_by: Sequence[str] = (),
 ) -> DataFrame:
     """Which row serves which moment of the spine: (keys, `moment`, `main`, then the row's own
     columns).
 
     `instants` are narrow: keys, `ts`, `source`, `is_main` and what else tells a row, one per
-    keys, log and instant. A moment has its own row of the log `main`, and of every other log
-    the latest within its band.
+    keys, log and instant, or several of which the highest by `latest_by` counts. A moment has its
+    own row of the log `main`, and of every other log the latest within its band.
 
     All logs meet in one shuffle on (bucket of time, keys). Within a bucket, ordered by time,
     the latest instant of each log so far is carried along; a spine row stands at the end of its
     band, ts + tolerance, and takes what has been carried there unless it is older than
-    ts - tolerance. A bucket holds at most one row per log and instant, so its size is bounded
-    by the clock's resolution, the number of logs and the tolerance, and not by the data.
+    ts - tolerance. With one row per log and instant a bucket's size is bounded by the clock's
+    resolution, the number of logs and the tolerance, and not by the data.
     """
     reach = in_micros(tolerance)
     band = max(2 * reach, 1)
@@ -105,11 +106,10 @@ def latest_partners(
     own = bucket(F.col("__position"), width)
     in_last_band = F.pmod(F.col("__position"), F.lit(width)) >= F.lit(width - band)
     buckets = F.when(~main & in_last_band, F.array(own, own + F.lit(width))).otherwise(F.array(own))
-    in_time = (
-        Window.partitionBy("__bucket", *keys)
-        .orderBy("__position", is_main)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    ordered = Window.partitionBy("__bucket", *keys).orderBy("__position", is_main, *latest_by)
+    in_time = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stands = F.struct("__position", is_main)
+    not_last = F.coalesce(F.lead(stands).over(ordered) == stands, F.lit(False))
 
     def latest(name: str) -> Column:
         of_log = F.when((F.col(source) == name) & ~main, F.struct(*own_columns))
@@ -119,7 +119,7 @@ def latest_partners(
         return F.struct(F.lit(name).alias(source), *(row[c].alias(c) for c in own_columns))
 
     carried = placed.withColumn("__bucket", F.explode(buckets)).select(
-        *instants.columns, *map(latest, names)
+        *instants.columns, *map(latest, names), not_last.alias("__not_last")
     )
     itself = F.struct(source, *own_columns)
     near = [
@@ -129,7 +129,7 @@ def latest_partners(
         )
         for n in names
     ]
-    moments = carried.where(main).select(
+    moments = carried.where(main & ~F.col("__not_last")).select(
         *keys,
         F.col(ts).alias("moment"),
         F.col(source).alias("main"),

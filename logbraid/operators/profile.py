@@ -31,7 +31,9 @@ def source_counts(
     )
 
 
-def choose_main(counts: DataFrame, declared: Sequence[str], key: str = KEY) -> DataFrame:
+def choose_main(
+    counts: DataFrame, declared: Sequence[str] | Sequence[int], key: str = KEY
+) -> DataFrame:
     """(key, main): the log with the fewest rows; on a tie the one declared first."""
     position = F.array_position(F.array(*map(F.lit, declared)), F.col("source"))
     return counts.groupBy(key).agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.times import DEFAULT_BASE_DATE
+from logbraid.functions.times import DEFAULT_BASE_DATE, clock_millis
 from logbraid.operators.fuse import fuse_chosen, latest_partners, pack, unpack
 from logbraid.operators.normalize import normalize, without_session
 from logbraid.operators.target import (
@@ -75,32 +75,35 @@ def integrate(
 
     def packed(log: Callable[[SourceSpec], DataFrame]) -> DataFrame:
         logs = (
-            log(s).selectExpr(
+            log(s)
+            .withColumn("__millis", clock_millis(F.col(s.clock)))
+            .selectExpr(
                 KEY,
                 SEQUENCE,
-                f"{s.clock} AS clock",
+                "__millis AS clock",
                 REJECTED_CLOCK,
-                f"'{s.name}' AS source",
+                f"{number} AS source",
                 pack(s.name, columns[s.name]),
             )
-            for s in target.sources
+            for number, s in enumerate(target.sources)
         )
         return reduce(_union, logs)
 
     rows = packed(lambda s: normalize(read(s.name), s, sessions, REJECTED_CLOCK))
-    placement = Placement(rows, "clock", list(columns), base_date)
+    numbers = list(range(len(columns)))
+    placement = Placement(rows, "clock", numbers, base_date)
     if sessions is not None:
         placement.warn_of_missing(sessions)
 
     def fused() -> DataFrame:
         partners = latest_partners(
-            placement.instants, list(columns), [KEY], EVENT_TS, "source", "is_main", tolerance
+            placement.instants, numbers, [KEY], EVENT_TS, "source", "is_main", tolerance, ["seq"]
         )
         # As a table its size is known, so that few chosen ticks are broadcast to the logs.
         partners = materialize(partners, "partners")
         same_tick = [(SEQUENCE, "seq"), ("clock", "clock")]
         chosen = fuse_chosen(rows.drop(REJECTED_CLOCK), partners, columns, [KEY], same_tick, EVENT_TS, "source")
-        return _to_target(chosen, target.schema)
+        return _to_target(chosen, list(columns), target.schema)
 
     def rejected() -> DataFrame:
         lost = placement.timeless
@@ -112,7 +115,7 @@ def integrate(
         lost = lost.withColumn(REASON, reason).selectExpr(
             KEY, "source", REJECTED_CLOCK, REASON, *unpack(columns)
         )
-        return _to_target(lost, reject_schema(target.schema))
+        return _to_target(lost, list(columns), reject_schema(target.schema))
 
     return Integration(fused, rejected)
 
@@ -121,5 +124,7 @@ def _union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def _to_target(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return project_to_target(df.withColumnRenamed("source", SOURCE_TABLE), schema)
+def _to_target(df: DataFrame, names: list[str], schema: T.StructType) -> DataFrame:
+    """In the target's layout, with the log's name for its number."""
+    name = F.get(F.array(*map(F.lit, names)), F.col("source"))
+    return project_to_target(df.withColumn(SOURCE_TABLE, name).drop("source"), schema)

@@ -6,11 +6,11 @@ import logging
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.times import event_time
+from logbraid.functions.times import event_time_of_millis
 from logbraid.operators.clock import clock_parts, clock_ticks, group_sizes, tick_days
 from logbraid.operators.profile import choose_main
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE
@@ -24,12 +24,13 @@ class Placement:
     """What one pass over keys and clocks tells: when the ticks of every log and session were,
     how many rows each has, and which log is the spine of each session.
 
-    `rows` are those of all logs in one layout, each with the name of its log as `source`;
-    `declared` has the names in order. Everything is computed on first use.
+    `rows` are those of all logs in one layout, each with the number of its log as `source` and
+    its clock as milliseconds, as both travel with every tick; `declared` has the numbers in order.
+    Everything is computed on first use.
     """
 
     def __init__(
-        self, rows: DataFrame, clock: str, declared: Sequence[str], base_date: str
+        self, rows: DataFrame, clock: str, declared: Sequence[int], base_date: str
     ) -> None:
         self._rows, self._clock, self._declared = rows, clock, declared
         self._base_date = base_date
@@ -51,20 +52,22 @@ class Placement:
     @property
     def instants(self) -> DataFrame:
         """(session, event_ts, source, seq, clock, is_main): per log and instant the tick with
-        the highest sequence number. At one instant all ticks of a log have one clock."""
-        timed = tick_days(self._parts, _GROUP).select(
-            *_GROUP,
-            event_time(F.col("clock"), F.col("day"), self._base_date).alias(EVENT_TS),
-            "seq",
-            "clock",
-        )
-        latest = (
-            timed.where(F.col(EVENT_TS).isNotNull())
-            .groupBy(KEY, EVENT_TS, "source")
-            .agg(F.max("seq").alias("seq"), F.first("clock").alias("clock"))
+        the highest sequence number, and some others. At one instant all ticks of a log have one
+        clock.
+
+        Ticks of an instant follow each other, so the pass over the ticks has seen already which
+        are followed by another, and no shuffle is needed to leave those out. What is left are
+        ticks that a missing clock or the end of a part stands between.
+        """
+        timed = tick_days(self._parts, _GROUP, "NOT followed").select(
+            *_GROUP, self._time().alias(EVENT_TS), "seq", "clock"
         )
+        timed = timed.where(F.col(EVENT_TS).isNotNull())
         is_main = (F.col("source") == F.col("main")).alias("is_main")
-        return latest.join(self.mains, KEY).select(*latest.columns, is_main)
+        return timed.join(self.mains, KEY).select(*timed.columns, is_main)
+
+    def _time(self) -> Column:
+        return event_time_of_millis(F.col("clock"), F.col("day"), self._base_date)
 
     @property
     def timeless(self) -> DataFrame:
@@ -74,8 +77,7 @@ class Placement:
             mains, (F.col(KEY) == F.col("main_key")) & (F.col("source") == F.col("main"))
         ).select(*self._rows.columns)
         lost = tick_days(self._parts, _GROUP).where(
-            event_time(F.col("clock"), F.col("day"), self._base_date).isNull()
-            & F.col("clock").isNotNull()
+            self._time().isNull() & F.col("clock").isNotNull()
         )
         # A clock is missing, or its day is past all timestamps.
         lost = lost.select(*(F.col(c).alias(f"lost_{c}") for c in (*_GROUP, "seq", "clock")))

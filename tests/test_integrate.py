@@ -164,6 +164,12 @@ def test_plan(spark, sf_dir, monkeypatch):
     narrow = plan_of(windows[0])
     assert "Window" in narrow and "log_" not in narrow
     assert not [c for c in windows[0].columns if "log_" in c]
+    # Ticks go from the table of the pass into the buckets, and only the session is text there.
+    texts = [f.name for f in windows[0].schema if f.dataType.simpleString() == "string"]
+    assert texts == ["sortie_number"]
+    buckets = [x for x in narrow.splitlines() if "Exchange" in x]
+    assert len([x for x in buckets if "hashpartitioning(__bucket" in x]) == 1
+    assert not [x for x in buckets if "event_ts" in x.split("ENSURE")[0]]
 
 
 def test_clock_pass_reads_keys_and_clocks_only(spark, tmp_path):
@@ -186,7 +192,7 @@ def test_job_from_landed_logs_to_target(spark, sf_dir):
     """The command line: land, integrate two sessions, then all; the target holds each key once."""
     from logbraid.__main__ import main
     from logbraid.functions.lineage import fresh_folder
-    from logbraid.sources.lake import land_log, read_table
+    from logbraid.sources.lake import land_log, read_target
 
     tables, into = fresh_folder(spark, "tables"), fresh_folder(spark, "into")
     logs = event_logs.log_tables(spark, sf_dir, PLANE_STATES)
@@ -195,11 +201,11 @@ def test_job_from_landed_logs_to_target(spark, sf_dir):
     command = [PLANE_STATES.name, "--tables", tables, "--into", into]
     main([*command, "--sortie", "S1", "--sortie", "S3"])
     path = f"{into}/{PLANE_STATES.name}"
-    some = read_table(spark, path, PLANE_STATES.schema)
+    some = read_target(spark, path, PLANE_STATES)
     assert {r[0] for r in some.select("sortie_number").distinct().collect()} == {"S1", "S3"}
     main(command)
     expected = integrate(PLANE_STATES, logs).rows
-    got = read_table(spark, path, PLANE_STATES.schema).select(*PLANE_STATES.columns)
+    got = read_target(spark, path, PLANE_STATES)
     assert rows(got) == rows(expected)
 
 
@@ -359,3 +365,17 @@ def test_a_run_that_stops_goes_on_with_the_sessions_left(spark, log_frame, tmp_p
     assert run() == asked == ["S3"] and held() == {"S1": 2, "S2": 2, "S3": 3}
     rejects = read_kept(spark, f"{into}/{PLANE_STATES.name}_rejected", reject_schema(PLANE_STATES.schema))
     assert Counter(r.sortie_number for r in rejects.collect()) == {"S1": 1, "S2": 1, "S3": 1}
+
+
+def test_one_moment_held_many_times_is_one(spark, log_frame):
+    """Ticks of one instant with missing clocks between, in the spine and in another log: the
+    highest sequence number counts, in whatever part of the pass it is."""
+    row = lambda seq, at, who: {"sortie_number": "S1", "message_sequence_number": seq, "satellite_guidance_time": at and clock(at), "target_id": who and f"{who}{seq}"}
+    tables = empty_tables(spark, MISSILE)
+    tables["sa_traj"] = log_frame(SOURCES["sa_traj"], [row(n, 5 if n % 2 else None, None) for n in range(60)])
+    tables["ag_traj"] = log_frame(SOURCES["ag_traj"], [row(n, 5 if n % 3 else None, "g") for n in range(90)])
+    for partitions in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = integrate(MISSILE, tables).rows.collect()
+        assert [(r.message_sequence_number, r.target_id) for r in got] == [(59, "g89")]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
