@@ -24,24 +24,25 @@ def valid_clock(clock: Column) -> Column:
     return F.when(clock.rlike(CLOCK_FORMAT), clock)
 
 
-def clock_millis(clock: Column) -> Column:
-    """A well-formed clock as milliseconds of its day, which compare as the clocks do."""
-    return (
-        F.substring(clock, 1, 2).cast("int") * 3_600_000
-        + F.substring(clock, 4, 2).cast("int") * 60_000
-        + F.substring(clock, 7, 2).cast("int") * 1_000
-        + F.substring(clock, 10, 3).cast("int")
-    )
+def clock_digits(clock: Column) -> Column:
+    """A well-formed clock as the number its digits make, which orders as the clock does."""
+    return F.translate(clock, ":.", "").cast("int")
 
 
-def event_time_of_millis(
-    millis: Column, day: Column, base_date: str = DEFAULT_BASE_DATE
+def event_time_of_digits(
+    digits: Column, day: Column, base_date: str = DEFAULT_BASE_DATE
 ) -> Column:
-    """As `event_time`, of a clock as `clock_millis` gives it."""
+    """As `event_time`, of a clock as `clock_digits` gives it."""
     days = F.when(day.between(0, LAST_DAY), day).cast("int")
-    seconds = (millis / F.lit(1000)).cast("decimal(18,6)")
+    minutes = F.floor(digits / F.lit(100_000))
+    seconds = ((digits % 100_000) / F.lit(1000)).cast("decimal(18,6)")
     midnight = F.lit(f"{base_date} 00:00:00").cast("timestamp_ntz")
-    return midnight + F.make_dt_interval(days=days, secs=seconds)
+    return midnight + F.make_dt_interval(
+        days=days,
+        hours=F.floor(minutes / F.lit(100)).cast("int"),
+        mins=(minutes % 100).cast("int"),
+        secs=seconds,
+    )
 
 
 def event_time(clock: Column, day: Column, base_date: str = DEFAULT_BASE_DATE) -> Column:

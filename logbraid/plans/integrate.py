@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.times import DEFAULT_BASE_DATE, clock_millis
+from logbraid.functions.times import DEFAULT_BASE_DATE, clock_digits
 from logbraid.operators.fuse import fuse_chosen, latest_partners, pack, unpack
 from logbraid.operators.normalize import normalize, without_session
 from logbraid.operators.target import (
@@ -76,11 +76,11 @@ def integrate(
     def packed(log: Callable[[SourceSpec], DataFrame]) -> DataFrame:
         logs = (
             log(s)
-            .withColumn("__millis", clock_millis(F.col(s.clock)))
+            .withColumn("__digits", clock_digits(F.col(s.clock)))
             .selectExpr(
                 KEY,
                 SEQUENCE,
-                "__millis AS clock",
+                "__digits AS clock",
                 REJECTED_CLOCK,
                 f"{number} AS source",
                 pack(s.name, columns[s.name]),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logbraid.functions.lineage import materialize
-from logbraid.functions.times import event_time_of_millis
+from logbraid.functions.times import event_time_of_digits
 from logbraid.operators.clock import clock_parts, clock_ticks, group_sizes, tick_days
 from logbraid.operators.profile import choose_main
 from logbraid.sources.registry import EVENT_TS, KEY, SEQUENCE
@@ -25,7 +25,7 @@ class Placement:
     how many rows each has, and which log is the spine of each session.
 
     `rows` are those of all logs in one layout, each with the number of its log as `source` and
-    its clock as milliseconds, as both travel with every tick; `declared` has the numbers in order.
+    its clock as a number, as both travel with every tick; `declared` has the numbers in order.
     Everything is computed on first use.
     """
 
@@ -67,7 +67,7 @@ class Placement:
         return timed.join(self.mains, KEY).select(*timed.columns, is_main)
 
     def _time(self) -> Column:
-        return event_time_of_millis(F.col("clock"), F.col("day"), self._base_date)
+        return event_time_of_digits(F.col("clock"), F.col("day"), self._base_date)
 
     @property
     def timeless(self) -> DataFrame:
