@@ -8,10 +8,6 @@ Hamming distance to the parent, and a search follows only edges that the radius
 
 A tree keeps its members' components as it grows and hands on one edge per member and component,
 not one per pair. Components over all trees are found in rounds over stars.
-
-Texts of a given similarity differ in more bits than blocks can be cut for. For those, shards are
-the documents that share a smallest hash of a shingle, the trees' radius is wide, and what a tree
-finds is verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -33,11 +29,6 @@ from logbraid.llm.rows import packed, row_of, unpacked
 # The seed of the shingles' hashes and the width of a fingerprint.
 SEED, WIDTH = 42, 64
 TREE_SIZE = 4096
-# Trees of whole shingle sets are smaller.
-SET_TREE_SIZE = 512
-# Of two texts whose shingles are as similar as 0.8, one in 390,000 pairs shares none of so many
-# smallest hashes, and about one in 100,000 differs in more bits.
-SMALLEST, SIMILAR_RADIUS = 8, 24
 # Texts that are surely not among those asked for stay out of a shuffle. Which may be is told by
 # slots of their hashes, whose broadcast is bounded: two million rows of eight bytes.
 SLOTS = 1 << 21
@@ -200,148 +191,6 @@ def near_links(values: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> Da
     )
 
 
-def _smallest_hashes(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Per run of `counts` hashes its smallest under each of `SMALLEST` mixings."""
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    out = []
-    for n in range(SMALLEST):
-        mixed = hashes ^ np.uint64(0x9E3779B97F4A7C15 * (n + 1) & (1 << 64) - 1)
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(29)
-        out.append(np.minimum.reduceat(mixed, starts) if len(starts) else mixed)
-    return out
-
-
-def _sketches(words: int):
-    """Of each text the fingerprint of its distinct shingles and smallest hashes; none of a text
-    without words."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in in_parts(batch, "text"):
-                # Similarity is of sets, so a repeated shingle counts once here.
-                hashes = [
-                    np.unique(np.array(shingle_hashes(t, words), dtype=np.uint64))
-                    for t in texts_of(part, "text")
-                ]
-                counts = np.array([len(h) for h in hashes], dtype=np.int64)
-                flat = np.concatenate([*hashes, np.array([], dtype=np.uint64)])
-                prints = majority_bits(flat, counts).view(np.int64)
-                some = np.flatnonzero(counts)
-                smallest = np.stack(_smallest_hashes(flat, counts), axis=1).view(np.int64)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(some) + 1) * SMALLEST, pa.int32()),
-                    pa.array(smallest.ravel(), pa.int64()),
-                )
-                places = np.full(len(counts), -1, dtype=np.int64)
-                places[some] = np.arange(len(some))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c) for c in ("id", "v1", "v2")),
-                        pa.array(prints, pa.int64()),
-                        lists.take(pa.array(places, mask=places < 0)),
-                    ],
-                    ["id", "v1", "v2", "value", "smallest"],
-                )
-
-    return run
-
-
-def _shingle_sets(words: int):
-    """Of each text its distinct shingles' hashes in order, cut to 32 bits."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in in_parts(batch, "text"):
-                sets = [
-                    np.unique(np.array(shingle_hashes(t, words), dtype=np.uint64).astype("<u4"))
-                    for t in texts_of(part, "text")
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array([x.tobytes() for x in sets], pa.binary())],
-                    ["node", "shingles"],
-                )
-
-    return run
-
-
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity of two sorted arrays without repeats."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    both = int((b[at] == a).sum())
-    return both / (len(a) + len(b) - both)
-
-
-def _search_sets(similarity: float, radius: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, tree, forest = None, BKTree(radius), Forest()
-        nodes: list[int] = []
-        sets: list[np.ndarray] = []
-        for batch in batches:
-            edges = []
-            names = ("block", "bits", "tree", "member", "node", "value")
-            columns = (batch.column(n).to_pylist() for n in names)
-            raw = batch.column("shingles")
-            for i, (block, bits, number, member, node, value) in enumerate(zip(*columns)):
-                if (block, bits, number) != shard:
-                    shard, tree, forest = (block, bits, number), BKTree(radius), Forest()
-                    nodes, sets = [], []
-                value &= (1 << WIDTH) - 1
-                own = np.frombuffer(raw[i].as_py(), dtype="<u4")
-                found = sorted(tree.near(value), key=lambda x: (tree.values[x] ^ value).bit_count())
-                linked: set[int] = set()
-                # Once linked with a component of the tree, its other members add nothing.
-                for x in found:
-                    if (root := forest.root(nodes[x])) not in linked:
-                        if jaccard(own, sets[x]) >= similarity:
-                            linked.add(root)
-                edges += [(node, root) for root in linked]
-                if member:
-                    tree.add(value)
-                    nodes.append(node)
-                    sets.append(own)
-                    for root in linked:
-                        forest.join(node, root)
-            columns = list(zip(*edges)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-    return run
-
-
-def _with_company(radius: int):
-    """The nodes for which a tree of theirs holds another one within the radius."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, tree = None, BKTree(radius)
-        nodes: list[int] = []
-        for batch in batches:
-            met: set[int] = set()
-            names = ("block", "bits", "tree", "member", "node", "value")
-            for *place, member, node, value in zip(*(batch.column(n).to_pylist() for n in names)):
-                if place != shard:
-                    shard, tree, nodes = place, BKTree(radius), []
-                value &= (1 << WIDTH) - 1
-                if found := tree.near(value):
-                    met.add(node)
-                    met.update(nodes[x] for x in found)
-                if member:
-                    tree.add(value)
-                    nodes.append(node)
-            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64())], ["met"])
-
-    return run
-
-
-def _in_trees(visits: DataFrame) -> DataFrame:
-    """Every tree's rows together, its members first."""
-    return visits.repartition("block", "bits", "tree").sortWithinPartitions(
-        "block", "bits", "tree", F.desc("member")
-    )
-
-
 def _slots(keys: DataFrame, column: str) -> DataFrame:
     """The slots that `keys` fall into: at most `SLOTS` rows, however many keys there are."""
     return materialize(keys.select(_slot(column).alias("slot")).distinct(), "slots")
@@ -351,122 +200,53 @@ def _slot(column: str) -> Column:
     return F.pmod(column, F.lit(SLOTS))
 
 
+def text_key(text: Column) -> tuple[Column, Column]:
+    """Two hashes of the whole text."""
+    return F.xxhash64(text).alias("v1"), F.xxhash64(F.lit("second"), text).alias("v2")
+
+
 def near_copy_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    words: int = 5,
-    similarity: float = 0.8,
+    words: int = 3,
+    radius: int = 2,
 ) -> DataFrame:
-    """(v1, v2, component_id, n_rows): for each distinct text of `docs`, by two hashes, the
-    smallest id of its group and how many rows that has. Groups are what links between texts connect whose sets of shingles have a Jaccard
-    similarity of at least `similarity`, candidates being found as described above.
-
-    Texts without words are alike and one group, NULL with them. Fewer words than a shingle has
-    are one shingle. Rows may repeat. A NULL id is never the smallest unless there is no other.
+    """(v1, v2, root, component_id): each distinct text of `docs`, by two hashes, that shares its
+    group with another row; the group, and its smallest id. Groups are `near_duplicates`'
+    components; its rules for NULLs, empty and short texts hold.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(doc_id).alias("id"), *text_key(whole), whole.alias("text"))
-    sketched = materialize(
-        texts.mapInArrow(
-            _sketches(words), "id long, v1 long, v2 long, value long, smallest array<long>"
-        ),
-        "sketches",
-    )
-    distinct = sketched.groupBy("v1", "v2").agg(
-        F.min("id").alias("id"),
-        F.count(F.lit(1)).alias("rows"),
-        F.first("value").alias("value"),
-        F.first("smallest").alias("smallest"),
-    )
-    distinct = materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "texts")
-    keyed = materialize(
-        distinct.where("smallest IS NOT NULL").select(
-            "node", "value", F.posexplode("smallest").alias("block", "bits")
-        ),
-        "smallest",
-    )
-    shards = materialize(
-        keyed.groupBy(F.col("block").alias("b"), F.col("bits").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("b", "v", F.ceil(F.col("n") / SET_TREE_SIZE).cast("int").alias("trees")),
-        "shards",
+    printed = materialize(with_fingerprint(texts, words=words), "fingerprints")
+    distinct = materialize(
+        printed.groupBy("v1", "v2", "fingerprint").agg(F.count(F.lit(1)).alias("n")), "texts"
     )
-    own = F.pmod(F.xxhash64("node"), F.col("trees")).cast("int")
-    visits = materialize(
-        keyed.join(shards, (F.col("block") == F.col("b")) & (F.col("bits") == F.col("v")))
-        .withColumn("own", own)
-        .select(
-            "node", "value", "block", "bits", "own",
-            F.explode(F.sequence("own", F.col("trees") - 1)).alias("tree"),
-        )
-        .withColumn("member", F.col("tree") == F.col("own"))
-        .drop("own"),
-        "visits",
-    )
-    # Fingerprints alone tell who may be similar to anyone; only of those are shingles needed.
-    met = _in_trees(visits).mapInArrow(_with_company(SIMILAR_RADIUS), "met long").distinct()
-    met = materialize(met, "met")
-    wanted = materialize(
-        distinct.join(met, F.col("node") == F.col("met"), "left_semi").select(
-            "node", *(F.col(c).alias(f"w_{c}") for c in ("id", "v1", "v2"))
-        ),
-        "wanted",
-    )
-    same = (
-        (F.col("v1") == F.col("w_v1"))
-        & (F.col("v2") == F.col("w_v2"))
-        & F.col("id").eqNullSafe(F.col("w_id"))
-    )
-    perhaps = texts.join(
-        F.broadcast(_slots(wanted, "w_v1")), _slot("v1") == F.col("slot"), "left_semi"
-    )
-    sets = (
-        perhaps.join(wanted, same)
-        # Rows that repeat an id and a text have one set.
-        .dropDuplicates(["node"])
-        .select("node", "text")
-        .mapInArrow(_shingle_sets(words), "node long, shingles binary")
-    )
-    sets = materialize(sets, "shingle_sets").withColumnRenamed("node", "set_node")
-    edges = _in_trees(visits.join(sets, F.col("node") == F.col("set_node")).drop("set_node"))
-    edges = edges.mapInArrow(_search_sets(similarity, SIMILAR_RADIUS), "a long, b long")
-    roots = connected_components(edges).withColumnsRenamed({"node": "n", "root": "r"})
-    # Texts without words are one group although no shingle links them.
-    empty = F.when(F.col("smallest").isNull(), F.lit(-1).cast("long"))
-    rooted = materialize(
-        distinct.join(roots, F.col("node") == F.col("n"), "left").select(
-            "v1", "v2", "id", "rows", F.coalesce(empty, "r", "node").alias("root")
-        ),
-        "rooted",
-    )
-    least = rooted.groupBy(F.col("root").alias("r")).agg(
-        F.min("id").alias("component_id"), F.sum("rows").alias("n_rows")
-    )
-    least = materialize(least, "component_ids")
-    return rooted.join(least, F.col("root") == F.col("r")).select(
-        "v1", "v2", "component_id", "n_rows"
+    members = members_of(printed, radius)
+    joined = distinct.join(members, F.col("fingerprint") == F.col("value"))
+    sizes = joined.groupBy(F.col("root").alias("r")).agg(F.sum("n").alias("n_rows"))
+    larger = materialize(sizes.where("n_rows > 1").select("r"), "larger_groups")
+    return joined.join(larger, F.col("root") == F.col("r")).select(
+        "v1", "v2", "root", "component_id"
     )
 
 
-def text_key(text: Column) -> tuple[Column, Column]:
-    """Two hashes of the whole text."""
-    return F.xxhash64(text).alias("v1"), F.xxhash64(F.lit("second"), text).alias("v2")
-
-
 def keep_one_of_each(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    words: int = 5,
-    similarity: float = 0.8,
+    words: int = 3,
+    radius: int = 2,
 ) -> DataFrame:
-    """The rows of `docs` with the smallest id of each group of near copies, as
-    `near_copy_groups` has them; rows that repeat an id and its text stay once."""
-    groups = near_copy_groups(docs, doc_id, text, words, similarity).where("n_rows > 1")
-    groups = materialize(groups, "groups").select(
-        F.col("v1").alias("k1"), F.col("v2").alias("k2"), F.col("component_id").alias("kept_id")
+    """One row of each of `near_duplicates`' components of `docs`: the one with the smallest id,
+    and of rows that share it the least by the hashes of their text, then of the whole row.
+
+    NULL and empty texts are one group, with all whose fingerprint is near zero. A NULL id stays
+    only where its group has no other. An empty table gives an empty result, and columns beside
+    id and text may have any name.
+    """
+    groups = materialize(near_copy_groups(docs, doc_id, text, words, radius), "groups").select(
+        F.col("v1").alias("k1"), F.col("v2").alias("k2"), "root", F.col("component_id").alias("kept_id")
     )
     v1, v2 = text_key(F.coalesce(F.col(text), F.lit("")))
     rows = packed(docs, id=F.col(doc_id), v1=v1, v2=v2)
@@ -474,10 +254,12 @@ def keep_one_of_each(
     slots, in_slot = F.broadcast(_slots(groups, "k1")), _slot("v1") == F.col("slot")
     alone, unsure = rows.join(slots, in_slot, "left_anti"), rows.join(slots, in_slot, "left_semi")
     same_text = (F.col("v1") == F.col("k1")) & (F.col("v2") == F.col("k2"))
-    grouped = unsure.join(groups, same_text, "left")
-    chosen = grouped.where("kept_id <=> id OR k1 IS NULL").drop("k1", "k2", "kept_id")
-    once = chosen.dropDuplicates(["id", "v1", "v2"])
-    return unpacked(alone.unionByName(once), docs.columns, [])
+    grouped = unsure.join(groups, same_text, "left").where("kept_id <=> id OR k1 IS NULL")
+    # A text in no group is its only row, so that it is a group by its own hashes.
+    own = [F.when(F.col("k1").isNull(), F.col(v)).alias(f"own_{v}") for v in ("v1", "v2")]
+    order = F.struct("v1", "v2", F.xxhash64("row"))
+    once = grouped.groupBy("root", *own).agg(F.min_by("row", order).alias("row"))
+    return unpacked(alone.select("row").unionByName(once.select("row")), docs.columns, [])
 
 
 def near_duplicates(
@@ -513,7 +295,8 @@ def near_duplicates(
 
 
 def members_of(printed: DataFrame, radius: int) -> DataFrame:
-    """(value, component_id) of every fingerprint of `printed`, which has id and fingerprint."""
+    """(value, root, component_id) of every fingerprint of `printed`, which has id and fingerprint.
+    One component has one root."""
     values = materialize(
         printed.groupBy(F.col("fingerprint").alias("value")).agg(F.min("id").alias("least_id")),
         "values",
@@ -525,5 +308,7 @@ def members_of(printed: DataFrame, radius: int) -> DataFrame:
     rooted = materialize(rooted, "rooted")
     least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least_id").alias("component_id"))
     least = materialize(least, "component_ids")
-    members = rooted.join(least, F.col("root") == F.col("r")).select("value", "component_id")
+    members = rooted.join(least, F.col("root") == F.col("r")).select(
+        "value", "root", "component_id"
+    )
     return materialize(members, "members")

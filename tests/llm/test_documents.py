@@ -331,55 +331,46 @@ def test_trees_link_what_all_pairs_link(spark, tree_size):
     assert components(len(signed), lambda i, j: (i, j) in joined) == want
 
 
-def test_near_copies_that_differ_in_repetition_only(documents):
-    rows = []
-    for n in range(30):
-        single = " ".join(f"s{n}x{i}" for i in range(204))
-        passage = " ".join(f"p{n}x{i}" for i in range(20))
-        for times in (1, 80):
-            rows.append((len(rows), f"{single} " + " ".join([passage] * times), "en", "a", 1))
-    kept = simhash.keep_one_of_each(documents(rows))
-    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 60, 2))
-
-
-def test_pairs_at_the_threshold_share_a_smallest_hash():
-    random_ = np.random.default_rng(0)
-    pairs, common, own = 4000, 80, 10
-    parts = random_.integers(0, 1 << 63, (pairs, common + 2 * own), dtype=np.uint64)
-    counts = np.full(pairs, common + own)
-    a, b = parts[:, : common + own], np.concatenate([parts[:, :common], parts[:, common + own :]], axis=1)
-    ours, theirs = (simhash._smallest_hashes(x.ravel(), counts) for x in (a, b))
-    assert np.any([x == y for x, y in zip(ours, theirs)], axis=0).all()
-
-
-def test_near_copies_equal_all_pairs(spark, documents):
+def near_copies_to_keep(rows):
+    """The smallest id of each component of fingerprints at most two bits apart."""
+    prints = [plain_fingerprint(text, 3) for _, text in rows]
+    roots = components(len(rows), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
+    ids = defaultdict(list)
+    for (doc_id, _), root in zip(rows, roots):
+        ids[root].append(doc_id)
+    order = lambda x: (x is None, x or 0)
+    return sorted((min(v, key=order) for v in ids.values()), key=order)
+
+
+def test_kept_of_near_copies_equal_all_pairs(documents):
     pick = random.Random(9)
-    rows, n = [], 0
-    for _ in range(25):
-        base = [f"w{pick.randint(0, 5000)}" for _ in range(pick.randint(20, 150))]
+    rows = []
+    for _ in range(40):
+        base = [f"w{pick.randint(0, 5000)}" for _ in range(pick.choice([1, 3, 5, 12, 150, 600]))]
         for _ in range(pick.randint(1, 5)):
             copy = list(base)
-            for _ in range(pick.randint(0, 5)):
+            for _ in range(pick.randint(0, 2)):
                 copy[pick.randrange(len(copy))] = f"e{pick.randint(0, 5000)}"
-            rows.append((n, " ".join(copy), "en", "s", 0))
-            n += 1
+            rows.append((len(rows), " ".join(copy), "en", "s", 0))
+    n = len(rows)
     rows += [(n, "", "en", "s", 0), (n + 1, None, "en", "s", 0), (n + 2, "two words", "en", "s", 0)]
-    rows += [(n + 3, "two  Words", "en", "s", 0), rows[0]]
-
-    def shingles(text):
-        words = (text or "").lower().split()
-        return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    sets = [shingles(r[1]) for r in rows]
-
-    def linked(i, j):
-        a, b = sets[i], sets[j]
-        return (not a and not b) or (a and b and len(a & b) / len(a | b) >= 0.8)
-
-    roots = components(len(rows), linked)
-    want = sorted({min(rows[i][0] for i in range(len(rows)) if roots[i] == r) for r in set(roots)})
-    kept = simhash.keep_one_of_each(documents(rows))
-    assert sorted(r["doc_id"] for r in rows_of(kept)) == want
+    rows += [(n + 3, "two  Words", "en", "s", 0), (None, "two words", "en", "s", 0), rows[0], rows[0]]
+    # One id with texts of one group, and of two groups.
+    rows += [(0, rows[0][1] + " ", "fr", "s", 0), (0, "another group's text altogether", "en", "s", 0)]
+    kept = rows_of(simhash.keep_one_of_each(documents(rows).repartition(5)))
+    want = near_copies_to_keep([r[:2] for r in rows])
+    assert sorted(r["doc_id"] for r in kept) == want
+    again = rows_of(simhash.keep_one_of_each(documents(rows[::-1]).repartition(3)))
+    assert Counter(map(str, kept)) == Counter(map(str, again))
+
+
+def test_kept_of_near_copies_on_odd_rows(odd_documents):
+    out = simhash.keep_one_of_each(odd_documents)
+    assert out.columns == odd_documents.columns
+    kept, given = rows_of(out), rows_of(odd_documents)
+    want = near_copies_to_keep([(r["doc_id"], r["text"]) for r in given])
+    assert sorted((r["doc_id"] for r in kept), key=lambda x: (x is None, x or 0)) == want
+    assert not Counter(map(str, kept)) - Counter(map(str, given))
 
 
 # SentencePiece

@@ -10,30 +10,18 @@ import sentencepiece
 
 import corpus_pipeline
 from logbraid.functions.lineage import materialize
-from tests.llm.test_documents import MODEL, WORD, components, plain_line_dedup, plain_targets, rows_of
+from tests.llm.test_documents import (
+    MODEL,
+    WORD,
+    near_copies_to_keep,
+    plain_line_dedup,
+    plain_targets,
+    rows_of,
+)
 
 COLUMNS = list(corpus_pipeline.COLUMNS)
 
 
-def plain_near_copies(rows):
-    def shingles(text):
-        words = [w.lower() for w in WORD.findall(text or "")]
-        return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    sets = [shingles(r["text"]) for r in rows]
-
-    def linked(i, j):
-        a, b = sets[i], sets[j]
-        return (not a and not b) or bool(a and b and len(a & b) >= 0.8 * len(a | b))
-
-    roots = components(len(rows), linked)
-    ids = [r["doc_id"] for r in rows]
-    least = {}
-    for i, root in zip(ids, roots):
-        least[root] = min((x for x in (i, least.get(root)) if x is not None), default=None)
-    return sorted(least.values(), key=lambda x: (x is None, x or 0))
-
-
 def check_language(given, got):
     want = [r for r in given if any(c.isalpha() for c in r["text"] or "")]
     assert Counter(map(str, got)) == Counter(map(str, want))
@@ -50,7 +38,7 @@ def check_lines(given, got):
 
 def check_near_copies(given, got):
     ids = sorted((r["doc_id"] for r in got), key=lambda x: (x is None, x or 0))
-    assert ids == plain_near_copies(given)
+    assert ids == near_copies_to_keep([(r["doc_id"], r["text"]) for r in given])
     assert {str(r) for r in got} <= {str(r) for r in given}
 
 
