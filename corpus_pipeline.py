@@ -40,8 +40,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words, a similarity of 0.8."""
-    return keep_one_of_each(docs.select(*COLUMNS), words=5, similarity=0.8)
+    """One document of each group that links of at most two differing bits between fingerprints
+    of three-word shingles connect: the one of the smallest id."""
+    return keep_one_of_each(docs.select(*COLUMNS), words=3, radius=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
