@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -125,6 +126,39 @@ def test_shuffle_depends_on_the_seed_only(documents):
     assert 100 < np.abs(np.diff(first)).mean() < 167
 
 
+def test_many_buckets_in_few_parts(documents, monkeypatch):
+    """Buckets are those of the first pass, one after the other, each in a new order, and how the
+    input lies changes nothing."""
+    monkeypatch.setattr(sharding, "_RUN", 64)
+    df = documents([(i, f"text {i} é", "en", "s", 0) for i in range(3000)])
+    size = sum(len(f"text {i} é".encode()) + 1 for i in range(3000)) // 1000
+    buckets, orders = 0, []
+    for given in (df.repartition(3), df.repartition(7)):
+        out = sharding.shuffle_into_shards(given, seed=5, bucket_bytes=size, most_parts=8)
+        assert out.rdd.getNumPartitions() == 8
+        got = rows_of(out)
+        check_shards(got, 3000, 16)
+        assert all(r["text_crc32"] == zlib.crc32(r["text"].encode()) for r in got)
+        buckets = -(-sum(r["size"] for r in got) // size)
+        orders.append([r["doc_id"] for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))])
+    assert orders[0] == orders[1] and buckets >= 1000
+    scattered = df.select(
+        "doc_id",
+        F.pmod(F.xxhash64(F.lit(5), "doc_id", F.lit(0)), F.lit(buckets)).alias("bucket"),
+        F.xxhash64(F.lit(6), "doc_id", F.crc32("text")).alias("place"),
+    )
+    members = defaultdict(list)
+    for r in sorted(scattered.collect(), key=lambda r: (r.bucket, r.place)):
+        members[r.bucket].append(r.doc_id)
+    at = moved = 0
+    for bucket in sorted(members):
+        part = orders[0][at : at + len(members[bucket])]
+        assert sorted(part) == sorted(members[bucket])
+        moved += part != members[bucket]
+        at += len(part)
+    assert moved > len(members) / 2
+
+
 def test_shards_are_written_as_folders(documents, tmp_path, spark):
     df = documents([(i, f"text {i}", "en", "s", 0) for i in range(40)])
     sharding.write_shards(sharding.shuffle_into_shards(df, shards=4), str(tmp_path / "out"))
