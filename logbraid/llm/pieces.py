@@ -2,8 +2,8 @@
 
 A batch's texts are cut into words at white space, which no piece crosses. The distinct words
 lie behind each other in one flat array of symbols. A round looks up the rank of every pair of
-neighbours, takes the smallest rank in each word's segment, merges the leftmost pairs of that
-rank in all words at once and compacts the array; words without a pair leave it. Words are
+neighbours, takes the smallest rank in each segment of a word, merges the leftmost pairs of that
+rank in all segments at once and compacts the array; segments without a pair leave it. Words are
 remembered between batches up to a bound.
 
 The model is read on the driver and its table of pieces, of fixed size, goes to the tasks.
@@ -30,7 +30,6 @@ SPACE = "▁"
 UNKNOWN_TEXT = " ⁇ "
 
 CACHED_WORDS = 100_000
-_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _NONE = np.iinfo(np.int32).max
 RESULTS = ("ids", "n_tokens", "decoded")
 
@@ -117,36 +116,50 @@ class Pieces:
         return out
 
     @cached_property
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(left * size + right in order, rank, piece) of all pairs that merge."""
-        size, found = len(self.texts), []
-        for text, i in self.ids.items():
-            for cut in range(1, len(text)):
-                left, right = self.ids.get(text[:cut]), self.ids.get(text[cut:])
-                if left is not None and right is not None:
-                    found.append((left * size + right, self.ranks[text], i))
-        table = np.array(sorted(found), dtype=np.int64).reshape(-1, 3)
-        return table[:, 0], table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(left * size + right in order, rank, piece, reach, reach without spaces) of all pairs of
+        pieces that stand beside each other in some piece. Rank and piece are those of a pair that
+        merges; the reach is the least rank of a piece that the pair is in, of all pieces and of
+        those without a space."""
+        size, ids, ranks = len(self.texts), self.ids, self.ranks
+        reach: dict[int, int] = {}
+        inner: dict[int, int] = {}
+        for text in sorted(ids, key=ranks.__getitem__):
+            rank, n = ranks[text], len(text)
+            parts = [[ids.get(text[a:b]) for b in range(n + 1)] for a in range(n)]
+            for first in range(n - 1):
+                for cut in range(first + 1, n):
+                    if (left := parts[first][cut]) is None:
+                        continue
+                    for right in parts[cut][cut + 1 :]:
+                        if right is not None:
+                            reach.setdefault(left * size + right, rank)
+                            if SPACE not in text:
+                                inner.setdefault(left * size + right, rank)
+        keys = np.array(sorted(reach), dtype=np.int64)
+        merged = [ids.get(self.texts[k // size] + self.texts[k % size]) for k in keys.tolist()]
+        return (
+            keys,
+            np.array([_NONE if i is None else ranks[self.texts[i]] for i in merged], np.int32),
+            np.array([i or 0 for i in merged], np.int32),
+            np.array([reach[k] for k in keys.tolist()], np.int32),
+            np.array([inner.get(k, _NONE) for k in keys.tolist()], np.int32),
+        )
 
     @cached_property
-    def one_at_a_time(self) -> np.ndarray:
-        """By piece, whether only its leftmost pair in a word may be merged in a round.
+    def word(self) -> re.Pattern[str]:
+        """What no merge crosses: spaces and what follows them, less whole longest pieces of spaces.
 
-        Merging it may make a longer piece of smaller rank that reaches into the next pair.
-        That piece holds this one and, later, this one's first character.
+        Pieces of spaces are merged last and all by one rank, so from the left. If that makes the
+        longest piece out of as many spaces, longer runs begin with it whatever follows.
         """
-        out = np.zeros(len(self.texts), dtype=bool)
-        rank = self.ranks
-        shared = {r for r, n in zip(*np.unique(list(rank.values()), return_counts=True)) if n > 1}
-        for text, i in self.ids.items():
-            out[i] = rank[text] in shared
-        for longer in rank:
-            for first in range(len(longer)):
-                for last in range(first + 2, len(longer)):
-                    inner = longer[first:last]
-                    if rank.get(inner, -1) > rank[longer] and inner[0] in longer[last:]:
-                        out[self.ids[inner]] = True
-        return out
+        spaces = [t for t in self.ids if t.startswith(SPACE * 2)]
+        longest = max(map(len, spaces), default=0)
+        alike = {self.ranks[t] for t in spaces} == {max(self.ranks.values())}
+        if alike and not any(t.strip(SPACE) for t in spaces):
+            if len(merge_words(self, [SPACE * longest])[0]) == 1:
+                return re.compile(f"{SPACE}{{{longest}}}(?={SPACE})|{SPACE}+[^{SPACE}]*")
+        return re.compile(f"{SPACE}+[^{SPACE}]*")
 
     @cached_property
     def byte_ids(self) -> np.ndarray:
@@ -175,49 +188,71 @@ class Pieces:
 
 
 def merge_words(pieces: Pieces, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words one after the other, number of ids of each word)."""
-    keys, ranks, results = pieces.pairs
-    size, single = len(pieces.texts), pieces.one_at_a_time
+    """(ids of all words one after the other, number of ids of each word).
+
+    A word falls into segments where no piece holds the two symbols beside each other, as no merge
+    will ever cross there; each has its own least rank, so that long words take few rounds.
+    """
+    size = len(pieces.texts)
+    keys, ranks, results, reach, reach_inside = pieces.pairs
+    longest = max(map(len, pieces.ids))
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
     symbols = pieces.of_character[points]
-    word = np.repeat(
-        np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words))
-    )
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    place = np.arange(len(symbols))
+    # Pieces with a space reach no further than their length from one.
+    since_space = place - np.maximum.accumulate(np.where(points == ord(SPACE), place, -longest))
+    opens = np.r_[True, word[1:] != word[:-1]][: len(symbols)]  # a segment begins here
     rank = np.full(len(symbols), _NONE, dtype=np.int32)
     into = np.zeros(len(symbols), dtype=np.int32)
 
-    def look_up(places: np.ndarray) -> None:
-        """Rank the pairs that begin at `places`, of which those in one word can merge."""
-        left, right = symbols[places], symbols[places + 1]
-        near = (word[places] == word[places + 1]) & (left >= 0) & (right >= 0)
+    def find(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = left.astype(np.int64) * size + right
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        hit = near & (keys[at] == key)
-        rank[places] = np.where(hit, ranks[at], _NONE)
+        return at, (keys[at] == key) & (left >= 0) & (right >= 0)
+
+    def look_up(places: np.ndarray) -> None:
+        """Rank the pairs that begin at `places`, and end segments at those in no piece."""
+        at, found = find(symbols[places], symbols[places + 1])
+        found &= ~opens[places + 1]
+        rank[places] = np.where(found, ranks[at], _NONE)
         into[places] = results[at]
+        opens[places + 1] |= ~found
 
     look_up(np.arange(len(symbols) - 1))
-    done_symbols, done_words = [], []
+    done_symbols, done_places = [], []
     while len(symbols):
-        starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        starts = np.flatnonzero(opens)
         least = np.minimum.reduceat(rank, starts)
-        of_word = np.repeat(least, np.diff(np.r_[starts, len(symbols)]))
-        kept = of_word != _NONE
+        of_segment = np.repeat(least, np.diff(np.r_[starts, len(symbols)]))
+        kept = of_segment != _NONE
         if not kept.all():
             done_symbols.append(symbols[~kept])
-            done_words.append(word[~kept])
-        chosen = np.flatnonzero(kept & (rank == of_word))
+            done_places.append(place[~kept])
+        chosen = np.flatnonzero(kept & (rank == of_segment))
         if not len(chosen):
             break
-        same_word = word[chosen[1:]] == word[chosen[:-1]]
-        first = np.r_[True, ~same_word]
         # Of pairs that overlap, every second one from the left.
-        opens = np.r_[True, ~(same_word & (chosen[1:] == chosen[:-1] + 1))]
-        run = np.maximum.accumulate(np.where(opens, chosen, 0))
-        merged = chosen[first | (((chosen - run) % 2 == 0) & ~single[into[chosen]])]
+        begins = np.r_[True, chosen[1:] != chosen[:-1] + 1]
+        run = np.maximum.accumulate(np.where(begins, chosen, 0))
+        chosen = chosen[(chosen - run) % 2 == 0]
+        # A pair waits if one before it in its segment may first become a piece of no larger rank
+        # that reaches beyond its end.
+        segment = np.searchsorted(starts, chosen, side="right")
+        followed = np.flatnonzero(segment[1:] == segment[:-1])
+        at, found = find(into[chosen[followed]], symbols[chosen[followed] + 2])
+        holds_up = np.zeros(len(chosen), dtype=np.int64)
+        spaceless = since_space[place[chosen[followed]]] >= longest
+        first_rank = np.where(spaceless, reach_inside[at], reach[at])
+        holds_up[followed] = found & (first_rank <= rank[chosen[followed]])
+        before = np.cumsum(holds_up) - holds_up
+        first = np.r_[True, segment[1:] != segment[:-1]]
+        merged = chosen[before == np.maximum.accumulate(np.where(first, before, 0))]
         symbols[merged] = into[merged]
         kept[merged + 1] = False
-        symbols, word, rank, into = symbols[kept], word[kept], rank[kept], into[kept]
+        symbols, place, rank = symbols[kept], place[kept], rank[kept]
+        into, opens = into[kept], opens[kept]
         # Only the pairs on either side of a merged symbol are new.
         at = np.cumsum(kept)[merged] - 1
         touched = np.zeros(len(symbols), dtype=bool)
@@ -227,9 +262,9 @@ def merge_words(pieces: Pieces, words: Sequence[str]) -> tuple[np.ndarray, np.nd
         look_up(np.flatnonzero(touched[:-1]))
 
     symbols = np.concatenate(done_symbols) if done_symbols else np.zeros(0, dtype=np.int32)
-    word = np.concatenate(done_words) if done_words else np.zeros(0, dtype=np.int32)
-    order = np.argsort(word, kind="stable")
-    return _bytes_for_unknown(pieces, symbols[order], word[order], len(words))
+    place = np.concatenate(done_places) if done_places else np.zeros(0, dtype=np.int64)
+    order = np.argsort(place)
+    return _bytes_for_unknown(pieces, symbols[order], word[place[order]], len(words))
 
 
 def _bytes_for_unknown(
@@ -277,7 +312,7 @@ class Encoder:
         per_text = np.zeros(len(texts), dtype=np.int64)
         for n, text in enumerate(texts):
             if text:
-                words = _WORD.findall(SPACE + text.replace(" ", SPACE))
+                words = self.pieces.word.findall(SPACE + text.replace(" ", SPACE))
                 sequence += [places[w] for w in words]
                 per_text[n] = len(words)
         if len(places) > known:
@@ -345,6 +380,8 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     result, and columns named as the results are replaced.
     """
     pieces = Pieces.load(model)
+    # Tables that depend on the model alone are made once, here.
+    pieces.pairs, pieces.word, pieces.of_character, pieces.surfaces, pieces.byte_ids
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

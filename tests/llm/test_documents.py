@@ -436,6 +436,53 @@ def test_decoding_any_ids_equals_the_library():
         assert pieces.decode(table, ids, [len(ids)]) == [library.decode(ids.tolist())]
 
 
+def test_long_words_and_runs_equal_the_library_in_few_rounds(monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    table, pick = pieces.Pieces.load(MODEL), random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [
+        " " * 100_000, " " * 99_999 + "the" + " " * 77, "#" * 100_001, "la" * 50_000, "-" * 100_003,
+        "".join(pick.choices(letters, k=1_000_000)), "".join(pick.choices("acgt", k=200_000)),
+        "".join(pick.choices("日本語の文章é́", k=100_000)), "thequickbrownfox" * 20_000,
+    ]
+    texts += [" " * n + tail for n in range(1, 50) for tail in ("", "the", "x", "日")]
+    rounds = []
+    table.pairs, table.word
+    for text in texts:
+        rounds.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(pieces.np, "minimum", Minimum(np.minimum, rounds))
+            ids, counts = pieces.Encoder(table).encode([text])
+        want = library.encode(text, add_bos=True, add_eos=True)
+        assert ids.tolist() == want
+        assert pieces.decode(table, ids, counts) == [library.decode(want)]
+        assert len(rounds) <= 100
+
+
+class Minimum:
+    """`np.minimum` that notes each round of merges."""
+
+    def __init__(self, minimum, rounds):
+        self.minimum, self.rounds = minimum, rounds
+
+    def __call__(self, *args):
+        return self.minimum(*args)
+
+    def reduceat(self, *args):
+        self.rounds.append(1)
+        return self.minimum.reduceat(*args)
+
+
+def test_words_put_together_from_pieces_equal_the_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    table, pick = pieces.Pieces.load(MODEL), random.Random(8)
+    for _ in range(1500):
+        some = [table.texts[pick.randrange(300, 32000)] for _ in range(pick.randint(1, 30))]
+        text = "".join(t.replace("▁", pick.choice(["", " ", "  "])) for t in some)
+        ids, _ = pieces.Encoder(table).encode([text])
+        assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
+
+
 def test_forgetting_words_changes_nothing():
     table = pieces.Pieces.load(MODEL)
     texts = awkward_texts()[:200]
