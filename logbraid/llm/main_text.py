@@ -5,7 +5,11 @@ adverts and the like negative too; the weights are log odds of being content, le
 whose markup labels it (`article` or `main`). One linear scan finds the contiguous run with the
 largest sum. Its text, less what stands in such boilerplate elements, is given out by blocks.
 
-Each page is read on its own; nothing is shuffled but the counts of a few dozen features.
+On pages whose markup labels nothing words weigh by the element they stand in and by whether they
+are a link, and tags by their own name, whatever class or boilerplate the labelled pages had them
+in. So a menu's links or an advert's bare `div` go there without being named.
+
+Each page is read on its own; nothing is shuffled but the counts of some hundred features.
 """
 
 from __future__ import annotations
@@ -36,11 +40,17 @@ _BLOCK = frozenset(
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav"
     " ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp"
+    " small span strike strong sub sup time tt u var".split()
+)
 _LABELS = frozenset({"article", "main"})
 _BOILERPLATE = frozenset(
     "aside audio button canvas datalist dialog fieldset footer form head iframe input label menu"
     " nav object option select textarea title video".split()
 )
+# All other elements are one feature, so that features are bounded in number.
+_KNOWN, _OTHER = _VOID | _BLOCK | _INLINE | _BOILERPLATE | {"body"}, "?"
 # Words in a class, id or role that name boilerplate.
 _NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising advertorial alert banner"
@@ -55,6 +65,13 @@ _NAMES = frozenset(
 # beside which `header` is a heading's wrapper.
 _ABOUT = frozenset("category format has is js layout no postid status tag type with".split())
 _OF_CONTENT = frozenset("article content entry post story title".split())
+# Names that may as well be what an article is about (`search-results`,
+# `notice-board`), and what may follow them where they are not.
+_SUBJECTS = frozenset("alert form login notice notices search".split())
+_LAYOUT = frozenset(
+    "area bar block bottom box button container field icon inner input left message right section"
+    " text top wrapper".split()
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
@@ -74,6 +91,10 @@ _PARTS = re.compile(r"[a-z]+", re.IGNORECASE)
 # short advert if there is enough content behind it, but over no menu.
 _WORDS, _BOILERPLATE_WORDS, _TAGS = (0.1, 3.0), (-0.3, -0.01), (-1.0, -0.01)
 _BOUNDS = {"word": _WORDS, "-word": _BOILERPLATE_WORDS, "~word": _BOILERPLATE_WORDS}
+# On pages without a label a tag that is only beside content outweighs some words that are in it.
+_WORDS_THERE, _TAGS_THERE = (-1.0, 1.0), (-8.0, -0.01)
+# A block of so many words is another feature: few adverts and no menus have as many.
+LONG = 20
 _UNSEEN_TAG, _UNSEEN_WORD, _UNSEEN_BOILERPLATE = -0.2, 1.0, -0.3
 
 
@@ -86,6 +107,7 @@ class Token(NamedTuple):
     text: str
     breaks: bool  # a block begins or ends here
     labelled: bool
+    where: str = ""  # the feature on pages without a label: a tag, or what words stand in
 
 
 # Whether an element is boilerplate: not, by a name or as a form, which a page's wrapper may be
@@ -99,17 +121,22 @@ def _boilerplate(tag: str, attributes: str, labelled: bool) -> int:
     if attributes and tag not in ("html", "body"):
         if _HIDDEN.search(attributes):
             return _SURELY
-        if _has_name(attributes):
+        if _has_name(attributes, labelled):
             return _PERHAPS
     return _PERHAPS if tag == "form" else _NOT
 
 
-def _has_name(attributes: str) -> bool:
+def _has_name(attributes: str, labelled: bool) -> bool:
+    """Whether a class, id or role names boilerplate. In what the markup labels as content a name
+    that may be a subject does only where its last word, but for those of layout, is one."""
     for _, value in _ATTRIBUTE.findall(attributes):
         for name in value.strip("\"'").lower().split():
             parts = _PARTS.findall(name)
             if parts and parts[0] not in _ABOUT:
                 found = _NAMES.intersection(parts)
+                if labelled and found <= _SUBJECTS:
+                    last = [p for p in parts if p not in _LAYOUT][-1:]
+                    found = found.intersection(last)
                 if found - {"header"} or (found and not _OF_CONTENT.intersection(parts)):
                     return True
     return False
@@ -124,6 +151,8 @@ class _Open:
     def __init__(self, wrappers: frozenset[int] = frozenset(), lifts: bool = True) -> None:
         # Tag, whether it is boilerplate, and how much boilerplate it puts out of force.
         self.stack: list[tuple[str, bool, int]] = []
+        # Beside each the block that words in it stand in, and whether they are a link.
+        self.blocks: list[tuple[str, bool]] = []
         self.boilerplate = self.labelled = 0
         self.seen_label = False
         self.wrappers, self.lifts = wrappers, lifts
@@ -162,6 +191,8 @@ class _Open:
             self.seen_label = True
             self.labelled += 1
         self.stack.append((tag, marked, lifted))
+        block, link = self.blocks[-1] if self.blocks else ("body", False)
+        self.blocks.append((tag, False) if tag in _BLOCK else (block, link or tag == "a"))
         self.boilerplate += marked - lifted
 
     def close(self, tag: str) -> None:
@@ -177,7 +208,11 @@ class _Open:
         for height in [h for h in self.perhaps if h >= place]:
             number, words, labelled = self.perhaps.pop(height)
             self.closed.append((number, self.words - words, self.words_labelled - labelled))
-        del self.stack[place:]
+        del self.stack[place:], self.blocks[place:]
+
+    def words_in(self) -> str:
+        block, link = self.blocks[-1] if self.blocks else ("body", False)
+        return f"words in {block} a" if link else f"words in {block}"
 
     def wrapping(self) -> frozenset[int]:
         """Elements perhaps boilerplate that hold most of the page's words: forms and names, if
@@ -222,6 +257,7 @@ def tokens(html: str) -> list[Token]:
     if elements.lifted and inside < beside:
         found = list(_tokens(html, _Open(wrappers, lifts=False)))
         inside, beside = _label_words(found)
+    found = _with_lengths(found)
     if inside < beside:
         return [t._replace(labelled=False) for t in found]
     if inside:
@@ -230,6 +266,25 @@ def tokens(html: str) -> list[Token]:
     return found
 
 
+def _with_lengths(found: list[Token]) -> list[Token]:
+    """Words of long blocks are told from those of short ones."""
+    out, block = [], []
+    for token in found:
+        if token.breaks:
+            out += _block(block)
+            out.append(token)
+            block = []
+        else:
+            block.append(token)
+    return out + _block(block)
+
+
+def _block(block: list[Token]) -> list[Token]:
+    if sum(t.words for t in block) < LONG:
+        return block
+    return [t._replace(where=f"{t.where}, long") if t.text else t for t in block]
+
+
 def _label_words(found: list[Token]) -> tuple[int, int]:
     """Words in labelled elements and beside them, but for boilerplate."""
     words = [(t.words, t.labelled) for t in found if t.feature == "word"]
@@ -245,7 +300,7 @@ def _tokens(html: str, elements: _Open) -> Iterator[Token]:
         elements.count(n)
         if n or found:
             feature = "-word" if elements.boilerplate else "word"
-            yield Token(feature, n, found, False, bool(elements.labelled))
+            yield Token(feature, n, found, False, bool(elements.labelled), elements.words_in())
 
     for match in _TOKEN.finditer(html):
         if match.start() > at:
@@ -261,7 +316,8 @@ def _tokens(html: str, elements: _Open) -> Iterator[Token]:
                 elements.push(tag, match[4] or match[7] or "")
             labelled = bool(elements.labelled or before[0])
             marked = bool(elements.boilerplate or before[1])
-            yield Token("-" * marked + tag, 0, "", tag in _BLOCK, labelled)
+            name = tag if tag in _KNOWN else _OTHER
+            yield Token("-" * marked + name, 0, "", tag in _BLOCK, labelled, f"<{name}>")
     if at < len(html):
         yield from words(html[at:])
 
@@ -271,13 +327,18 @@ def weights_from(counts: Mapping[str, tuple[int, int]]) -> dict[str, float]:
     words positive, tags and all in boilerplate negative."""
     out = {}
     for feature, (a, b) in counts.items():
-        low, high = _BOUNDS.get(feature, _TAGS)
+        if feature.startswith("words in "):
+            low, high = _WORDS_THERE
+        else:
+            low, high = _BOUNDS.get(feature, _TAGS_THERE if feature[0] == "<" else _TAGS)
         out[feature] = min(max(log((a + 1) / (b + 1)), low), high)
     return out
 
 
-def _weight(weights: Mapping[str, float], token: Token) -> float:
-    if token.feature in weights:
+def _weight(weights: Mapping[str, float], token: Token, by_place: bool) -> float:
+    if by_place and token.feature[0] != "-" and token.where in weights:
+        each = weights[token.where]
+    elif token.feature in weights:
         each = weights[token.feature]
     elif token.feature == "word":
         each = _UNSEEN_WORD
@@ -300,9 +361,16 @@ def best_run(scores: Iterable[float]) -> tuple[int, int]:
 
 
 def main_text(html: str, weights: Mapping[str, float]) -> str:
-    """The text of the best run: white space in a block is one space, blocks are lines."""
+    """The text of the best run: white space in a block is one space, blocks are lines.
+
+    If a page without a label has no run that is positive by what its words stand in, words count
+    as words wherever they stand.
+    """
     found = tokens(html)
-    first, last = best_run(_weight(weights, t) for t in found)
+    by_place = not any(t.labelled for t in found)
+    first, last = best_run(_weight(weights, t, by_place) for t in found)
+    if by_place and first == last:
+        first, last = best_run(_weight(weights, t, False) for t in found)
     blocks, block = [], []
     for token in found[first:last]:
         if token.breaks:
@@ -324,7 +392,9 @@ def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if not any(t.labelled for t in found):
             continue
         for token in found:
-            counts[token.feature, token.labelled] += token.words if token.text else 1
+            n = token.words if token.text else 1
+            counts[token.feature, token.labelled] += n
+            counts[token.where, token.labelled and token.feature[0] != "-"] += n
     rows = [(feature, n * labelled, n * (not labelled)) for (feature, labelled), n in counts.items()]
     columns = list(zip(*rows)) or [()] * 3
     kinds = (pa.string(), pa.int64(), pa.int64())
@@ -336,8 +406,8 @@ def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
     """Weights from a sample of about `LABELLED_PAGES` pages that have `article` or `main`.
 
-    The result has one number per feature, of which only the most frequent thousand are kept;
-    the rest have the weight of unseen ones.
+    The result has one number per feature. Elements that HTML doesn't know are one, so there are
+    some hundred at most.
     """
     labelled = pages.select(F.col(html).alias("html")).where(
         F.col("html").rlike(r"(?i)<(article|main)[\s>]")
@@ -348,8 +418,6 @@ def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
         sample.mapInArrow(_count_features, "feature string, inside long, outside long")
         .groupBy("feature")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy(F.desc(F.col("inside") + F.col("outside")), "feature")
-        .limit(1000)
         .collect()
     )
     return weights_from({r.feature: (r.inside, r.outside) for r in rows})

@@ -316,6 +316,73 @@ def test_articles_of_the_given_pages(spark, sf_dir):
         assert text[r.page_id] == "\n".join(x for x in lines if x)
 
 
+def given_pages(spark, sf_dir):
+    import html
+    import re
+
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", inner)
+        lines = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in blocks)
+        yield r.html, "\n".join(x for x in lines if x)
+
+
+def without_marks(page):
+    """The page with neither label, names nor tags that tell of boilerplate."""
+    import re
+
+    page = re.sub(r"<(/?)(?:article|nav|aside|footer|header)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r""" (?:class|id)=(?:"[^"]*"|'[^']*')""", "", page)
+
+
+def test_the_scan_alone_finds_articles_of_pages_without_marks(spark, sf_dir, monkeypatch):
+    weights = main_text.learn_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    pages = [(without_marks(page), want) for page, want in given_pages(spark, sf_dir)]
+    found = sum(main_text.main_text(page, weights) == want for page, want in pages)
+    assert found >= 0.9 * len(pages)
+    monkeypatch.setattr(main_text, "best_run", lambda scores: (0, len(list(scores))))
+    assert not any(main_text.main_text(page, weights) == want for page, want in pages)
+
+
+def test_articles_without_a_label_are_found_by_weights(spark, sf_dir):
+    weights = main_text.learn_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    for page, want in given_pages(spark, sf_dir):
+        page = page.replace("<article>", "<section>").replace("</article>", "</section>")
+        assert main_text.main_text(page, weights) == want
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article>{}<p class='search-results'>and what was found</p></article>",
+        "<main><div class='notice-board'>{}<p>and what was found</p></div></main>",
+    ],
+)
+def test_names_an_article_may_be_about_keep_their_words(page):
+    want = "one two three four five six seven\neight nine ten eleven twelve\nand what was found"
+    assert main_text.main_text(f"<body>{page.format(STORY)}</body>", WEIGHTS) == want
+
+
+@pytest.mark.parametrize("name", ["search-box", "notice", "cookie-notice", "login-form", "search"])
+def test_names_of_boilerplate_in_an_article_lose_their_words(name):
+    page = f"<article>{STORY}<div class='{name}'>no</div></article>"
+    want = "one two three four five six seven\neight nine ten eleven twelve"
+    assert main_text.main_text(f"<body>{page}</body>", WEIGHTS) == want
+
+
+def test_words_of_elements_that_only_adverts_had_stay_if_they_are_all_or_long():
+    weights = WEIGHTS | {"words in div": -1.0, "<div>": -6.0}
+    assert main_text.main_text("<div>all there is</div>", weights) == "all there is"
+    story = " ".join(["word"] * main_text.LONG)
+    html = f"<body><div>an advert</div><div>{story}</div><div>another</div></body>"
+    assert main_text.main_text(html, weights) == story
+
+
+def test_elements_unknown_to_html_are_one_feature():
+    found = main_text.tokens("".join(f"<x-{i}>word</x-{i}>" for i in range(2000)))
+    assert len({t.feature for t in found} | {t.where for t in found}) <= 6
+
+
 # Url rules
 
 
