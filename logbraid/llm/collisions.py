@@ -159,8 +159,9 @@ def nearest_by_inner_product(
     Scores are in double precision, on the vectors as they are. Vectors that are NULL, empty or
     zero, or have a NULL or non-finite component, and rows without an id, take no part; vectors
     meet only those of their length. Rows with a query's id are its own. Repeated rows are rows
-    each, with a rank each. An id with several vectors asks with the least of them. An empty
-    table gives an empty result.
+    each, with a rank each. An id with several vectors asks with the least of them. Columns that
+    `is_query` doesn't name are not read, so they may have any name. An empty table gives an empty
+    result.
     """
     rows = (
         table.select(

@@ -74,7 +74,8 @@ def drop_repeated_lines(
 
     A NULL or empty text is one empty line and stays one; NULL becomes empty. Rows with one id are
     one document, and a NULL id is a document that comes last; each row loses its own lines, so
-    repeated rows come out alike. An empty table gives an empty result. Columns of `docs` named
+    repeated rows come out alike. Texts are split whole in one row each, so a text and its lines
+    must fit into a task; its hashed lines travel one by one. An empty table gives an empty result. Columns of `docs` named
     as the results are replaced, others pass through.
     """
     hashes = materialize(line_hashes(docs, doc_id, text, min_length), "line_hashes")

@@ -218,8 +218,10 @@ def mix(
 
     A NULL size is none, and documents without words are taken as often as all of their source.
     A NULL source is a source, and a NULL id an id. Rows that share an id, a source and a size
-    have one place in the seeded order, so that they are taken once more together. An empty
-    table gives an empty result. Columns named as the results are replaced.
+    have one place in the seeded order, so that they are taken once more together. A long text is
+    one document of its size. What a budget has left over the share of each length is fitted
+    exactly, after single documents of the lengths whose share was cut most, where it is over
+    `KNAPSACK_WORDS` words. An empty table gives an empty result. Columns named as the results are replaced.
     """
     rows = packed(
         docs,

@@ -524,8 +524,8 @@ def link_near_duplicates(
 
     Vectors that are NULL, empty or zero, or have a NULL or non-finite component, link with
     nothing; vectors link only with those of their length. Repeated rows are rows each and link
-    with each other. A row without an id links, and its id counts as larger than all others. An
-    empty table gives an empty result.
+    with each other. A row without an id links, and its id counts as larger than all others. Other
+    columns are not read, so they may have any name. An empty table gives an empty result.
     """
     rows = table.select(F.col(vec_id).alias("id"), F.col(vector).alias("given"))
     whole = F.col("given").cast("array<double>")

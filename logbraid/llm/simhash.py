@@ -36,22 +36,19 @@ RESULTS = ("fingerprint", "component_id")
 _HASHES_AT_ONCE = 1 << 14
 
 
-def shingle_hashes(text: str, words: int) -> list[int]:
+def shingle_hashes(text: str, words: int) -> np.ndarray:
     """XXH64 of every run of `words` words, A-Z in lower case, joined by spaces; of all words if
-    they are fewer."""
+    they are fewer. Flat arrays hold the places and hashes, as a text may have millions of words."""
     found = text.encode("utf-8", "replace").lower().split()
-    if not found:
-        return []
     # `lower` and `split` on bytes know ASCII only, as asked for.
-    joined, ends, at = b" ".join(found), [], -1
-    for word in found:
-        at += len(word) + 1
-        ends.append(at)
-    if len(found) <= words:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
-    starts = [0, *(e + 1 for e in ends)]
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1 :])]
+    joined, n, digest = b" ".join(found), len(found), xxhash.xxh64_intdigest
+    if n <= words:
+        return np.array([digest(joined, SEED)] if found else [], dtype=np.uint64)
+    starts = np.zeros(n + 1, dtype=np.int64)
+    np.cumsum(np.fromiter(map(len, found), np.int64, n) + 1, out=starts[1:])
+    del found
+    runs = zip(map(int, starts), map(int, starts[words:] - 1))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in runs), np.uint64, n - words + 1)
 
 
 def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -76,7 +73,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3) -> Dat
             for part in in_parts(batch, "text"):
                 hashes = [shingle_hashes(t, words) for t in texts_of(part, "text")]
                 counts = np.array([len(h) for h in hashes], dtype=np.int64)
-                flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
+                flat = np.concatenate([np.zeros(0, dtype=np.uint64), *hashes])
                 prints = majority_bits(flat, counts).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(prints, pa.int64())], ["row", "fingerprint"]
@@ -214,7 +211,8 @@ def near_copy_groups(
 ) -> DataFrame:
     """(v1, v2, root, component_id): each distinct text of `docs`, by two hashes, that shares its
     group with another row; the group, and its smallest id. Groups are `near_duplicates`'
-    components; its rules for NULLs, empty and short texts hold.
+    components; its rules for NULLs, empty, short and long texts hold. Columns beside id and text
+    are not read, so they may have any name.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(doc_id).alias("id"), *text_key(whole), whole.alias("text"))
@@ -242,7 +240,7 @@ def keep_one_of_each(
     and of rows that share it the least by the hashes of their text, then of the whole row.
 
     NULL and empty texts are one group, with all whose fingerprint is near zero. A NULL id stays
-    only where its group has no other. An empty table gives an empty result, and columns beside
+    only where its group has no other. Texts are read whole, however long. An empty table gives an empty result, and columns beside
     id and text may have any name.
     """
     groups = materialize(near_copy_groups(docs, doc_id, text, words, radius), "groups").select(
@@ -274,8 +272,9 @@ def near_duplicates(
 
     A NULL or empty text has fingerprint zero, which links as any other. Fewer words than a
     shingle has are one shingle. Rows with one id each have their own fingerprint and component.
-    A NULL id is never a component's smallest unless it has no other. An empty table gives an
-    empty result, and columns named as the results are replaced.
+    A NULL id is never a component's smallest unless it has no other. Texts are read whole; a task
+    holds one long text at a time, and some bytes a word beside it. An empty table gives an empty
+    result, and columns named as the results are replaced.
     """
     without = [c for c in docs.columns if c.lower() != text.lower()]
     row = row_of(docs, without)

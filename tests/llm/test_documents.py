@@ -318,6 +318,16 @@ def plain_fingerprint(text, words):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_fingerprints_of_texts_of_megabytes():
+    pick = random.Random(3)
+    texts = [" ".join(pick.choices(["Lorem", "é", "DOLOR", "sit\u00a0amet"], k=120_000)) + "\n" * 900_000]
+    texts += [" " * 1_000_000, "x" * 1_000_000, "One two", "One two three", "a b c d", ""]
+    for text in texts:
+        hashes = simhash.shingle_hashes(text, 3)
+        bits = simhash.majority_bits(hashes, np.array([len(hashes)]))
+        assert int(bits[0]) == plain_fingerprint(text, 3)
+
+
 def components(n, linked):
     root = list(range(n))
     for i in range(n):
