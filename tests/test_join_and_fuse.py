@@ -182,3 +182,17 @@ def test_the_size_of_a_star_is_known_before_it_is_formed(spark, caplog):
         fuse(main, others, ["k"], "ts", timedelta(seconds=2), most_rows=total - 1)
     assert f"has {total} rows" in caplog.text
     assert fuse(main, others, ["k"], "ts", timedelta(seconds=2), most_rows=total).count() == total
+
+
+def test_a_pair_of_rows_costs_two_comparisons_of_numbers(spark):
+    """The star's joins add no interval to a time, and test no flag, for every pair they meet."""
+    left = spark.createDataFrame([("S1", t(0), "a"), ("S1", None, "b")], LEFT)
+    right = spark.createDataFrame([("S1", t(1), "x"), ("S1", t(2), "y")], RIGHT)
+    for joined in (
+        band_left_join(left, right, ["k"], "ts", SECOND),
+        star_band_join(left, {"a": right, "b": right}, ["k"], "ts", SECOND),
+    ):
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        conditions = [line for line in plan.splitlines() if "Join Inner" in line or "Join LeftAnti" in line]
+        assert conditions and all("__us" in c and "INTERVAL" not in c and "__lonely" not in c for c in conditions)
+        assert all("cast(" not in c for c in conditions)
