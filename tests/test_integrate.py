@@ -379,3 +379,39 @@ def test_one_moment_held_many_times_is_one(spark, log_frame):
         got = integrate(MISSILE, tables).rows.collect()
         assert [(r.message_sequence_number, r.target_id) for r in got] == [(59, "g89")]
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_times_as_numbers_are_exact_to_the_last_day(spark):
+    """Microseconds and back, before 1970 and beyond what a decimal of 18 digits can hold."""
+    from datetime import datetime, timedelta
+
+    from logbraid.functions.times import LAST_DAY, event_micros, event_time, from_micros, micros
+
+    df = spark.createDataFrame(
+        [(101112013, "10:11:12.013", LAST_DAY), (235959999, "23:59:59.999", 0),
+         (1, "00:00:00.001", LAST_DAY + 1), (None, None, 3)], "digits int, clock string, day long"
+    )
+    us, ts = event_micros(F.col("digits"), F.col("day"), "1969-12-30"), event_time(
+        F.col("clock"), F.col("day"), "1969-12-30"
+    )
+    got = df.select(us.alias("us"), from_micros(us).eqNullSafe(ts), micros(ts).eqNullSafe(us)).collect()
+    want = lambda day, **t: (day * timedelta(days=1) // timedelta(microseconds=1)) + timedelta(**t) // timedelta(microseconds=1)
+    assert [r.us for r in got] == [
+        (LAST_DAY - 2) * 86_400_000_000 + want(0, hours=10, minutes=11, seconds=12, milliseconds=13),
+        -2 * 86_400_000_000 + want(0, days=1) - 1000, None, None,
+    ]
+    assert all(r[1] and r[2] for r in got)
+    before = spark.createDataFrame([(datetime(1899, 12, 31, 23, 59, 59, 999999),)], "ts timestamp_ntz")
+    want_us = (datetime(1899, 12, 31, 23, 59, 59, 999999) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    assert before.select(micros(F.col("ts"))).first()[0] == want_us
+
+
+def test_few_lost_ticks_shuffle_nothing_wide(spark, sf_dir):
+    """Rejects meet the ticks without a time by a broadcast, as there are few."""
+    import event_logs as logs
+    from logbraid import integrate
+    from logbraid.sources.registry import PLANE_STATES
+
+    rejected = integrate(PLANE_STATES, logs.log_tables(spark, sf_dir, PLANE_STATES), ["S1"]).rejected
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hash" not in plan
