@@ -412,6 +412,13 @@ def test_few_lost_ticks_shuffle_nothing_wide(spark, sf_dir):
     from logbraid import integrate
     from logbraid.sources.registry import PLANE_STATES
 
-    rejected = integrate(PLANE_STATES, logs.log_tables(spark, sf_dir, PLANE_STATES), ["S1"]).rejected
-    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    few = 1 << 16  # bytes: more than the lost ticks are, less than Spark thought of them before
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", few)
+    try:
+        tables = logs.log_tables(spark, sf_dir, PLANE_STATES)
+        rejected = integrate(PLANE_STATES, tables, ["S1"]).rejected
+        plan = rejected._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hash" not in plan
