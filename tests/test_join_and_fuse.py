@@ -196,3 +196,64 @@ def test_a_pair_of_rows_costs_two_comparisons_of_numbers(spark):
         conditions = [line for line in plan.splitlines() if "Join Inner" in line or "Join LeftAnti" in line]
         assert conditions and all("__us" in c and "INTERVAL" not in c and "__lonely" not in c for c in conditions)
         assert all("cast(" not in c for c in conditions)
+
+
+@pytest.mark.parametrize("tolerance", [timedelta(0), timedelta(milliseconds=700), timedelta(seconds=3)])
+def test_a_star_of_many_chunks_equals_all_pairs(spark, monkeypatch, tolerance):
+    """Buckets of many chunks, with repeated rows, missing times and keys, and a log of structs."""
+    from logbraid.operators import bandjoin
+
+    monkeypatch.setattr(bandjoin, "MOST_IN_CHUNK", 3, raising=False)
+    monkeypatch.setattr(bandjoin, "MOST_COMBINATIONS", 9, raising=False)
+    rng = random.Random(11)
+    key = lambda: rng.choice(["A", "A", "B", None])
+    stamp = lambda: rng.choice([None] + [t(rng.randint(0, 60) / 10) for _ in range(9)])
+    many = lambda n: [(key(), stamp(), rng.choice([None, *range(9)])) for _ in range(n)]
+    main = spark.createDataFrame(many(70) + [("C", t(1), 1)] * 2, "k string, ts timestamp_ntz, l int")
+    a = spark.createDataFrame(many(40), "k string, ts timestamp_ntz, r int")
+    b = spark.createDataFrame(many(15), "k string, ts timestamp_ntz, r int")
+    b = b.select("k", "ts", F.struct(F.col("r").alias("x")).alias("r"))
+    star = star_band_join(main, {"a": a, "b": b}, ["k"], "ts", tolerance)
+    assert star.columns == ["k", "ts", "l", "a__r", "b__r"]
+
+    width, naive = F.lit(tolerance), main
+    for name, other in (("a", a), ("b", b)):
+        other = other.withColumnsRenamed({"k": "k2", "ts": "ts2", "r": f"{name}__r"})
+        in_band = F.col("ts2").between(F.col("ts") - width, F.col("ts") + width)
+        naive = naive.join(other, (F.col("k") == F.col("k2")) & in_band, "left").drop("k2", "ts2")
+    assert rows(star) == rows(naive)
+    assert rows(star.select("l", "b__r.x")) == rows(naive.select("l", "b__r.x"))
+
+
+def test_one_instant_of_a_star_is_spread_over_tasks(spark):
+    """All rows fall into one bucket, which is far too small for Spark to split it."""
+    log_of = lambda n, c: spark.range(n).selectExpr(
+        "concat('S', id % 1) AS k", "timestamp_ntz'1970-01-01 10:00:00' AS ts", f"id AS {c}"
+    )
+    star = star_band_join(
+        log_of(1500, "l"), {"a": log_of(300, "r"), "b": log_of(2, "r")}, ["k"], "ts", SECOND
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as of logs of real size
+    try:
+        of_task = [r["count"] for r in star.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(of_task) == 1500 * 300 * 2
+    assert len(of_task) > 3 and max(of_task) < sum(of_task) / 2
+
+
+def test_rows_of_a_star_are_not_shuffled(spark):
+    """What crosses the last shuffle are tuples of chunks, at most as many as chunks that meet."""
+    log_of = lambda n, c: spark.range(n).selectExpr(
+        "'S1' AS k", "timestamp_ntz'1970-01-01 10:00:00' + make_dt_interval(0, 0, 0, id) AS ts", f"id AS {c}"
+    )
+    star = star_band_join(
+        log_of(200, "l"), {"a": log_of(200, "r"), "b": log_of(200, "r")}, ["k"], "ts", timedelta(seconds=30)
+    )
+    run = star._jdf.queryExecution()
+    made = run.executedPlan().executeCollect()
+    plan = run.executedPlan().toString()
+    final = plan[plan.index("Final Plan"):].split("Initial Plan")[0]
+    assert len(made) > 200 * 30 * 30
+    assert "Exchange" in final
+    assert "Join" not in final[: final.index("Exchange")]
