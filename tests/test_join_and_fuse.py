@@ -257,3 +257,19 @@ def test_rows_of_a_star_are_not_shuffled(spark):
     assert len(made) > 200 * 30 * 30
     assert "Exchange" in final
     assert "Join" not in final[: final.index("Exchange")]
+
+
+def test_chunks_of_a_star_are_told_by_all_columns(spark):
+    """A task that runs again must form the same chunks, whatever order its rows come in; columns
+    without an order, as maps, still come through."""
+    main = spark.createDataFrame([("S1", t(0), "m")], LEFT).withColumn("tags", F.create_map("l", "ts"))
+    a = spark.createDataFrame([("S1", t(0.5), "x"), ("S1", t(0.5), "y")], RIGHT)
+    star = star_band_join(main, {"a": a.withColumn("tags", F.create_map("r", "ts"))}, ["k"], "ts", SECOND)
+    assert [(r.l, r.a__r, r.tags, r.a__tags) for r in star.orderBy("a__r").collect()] == [
+        ("m", "x", {"m": t(0)}, {"x": t(0.5)}), ("m", "y", {"m": t(0)}, {"y": t(0.5)})
+    ]
+    plan = star._jdf.queryExecution().optimizedPlan().toString()
+    numbered = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
+    assert len(numbered) == 2
+    assert any("a__r" in line.split("ASC", 1)[1] for line in numbered)
+    assert any(" l#" in line.split("ASC", 1)[1] for line in numbered)
